@@ -52,7 +52,19 @@ def split_line_counts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def list_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of all files below a folder; the content column is pruned."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select("path", "length")
+    )
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str | None = None, escape: str = "\\"
+) -> DataFrame:
     """Rows of CSV files that share a header; every value is text.
 
     Records do not span lines. Without ``schema`` (column names typed string)
@@ -65,6 +77,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
         .option("inferSchema", False)
         .option("multiLine", False)
         .option("mode", "PERMISSIVE")
+        .option("escape", escape)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
         .option("recursiveFileLookup", "true")
