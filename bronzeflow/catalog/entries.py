@@ -448,7 +448,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def slow_runs(spark: SparkSession, sf: str) -> DataFrame:
     counted = metrics.run_metrics(_run_log(spark, sf), "PVDAQ-historical-worker", "ts", "ts")
-    return metrics.slow_runs(counted, 86_300_000.0).select("correlation_id", "duration_ms")
+    return metrics.slow_runs(counted, 86_200_000.0).select("correlation_id", "duration_ms")
 
 
 def _dispatch(spark: SparkSession, sf: str) -> dispatcher.Dispatch:
