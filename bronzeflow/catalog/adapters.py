@@ -192,8 +192,8 @@ def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(
         "seq", F.col("ts").cast("timestamp").alias("ts"), "partition_key", "s3_key", "version",
         "kind",
-        keys.row_key("s3_key").alias("row_key"),
-        F.when(queued, keys.basename("s3_key")).alias("file_name"),
+        F.expr(keys.row_key("s3_key")).alias("row_key"),
+        F.when(queued, F.expr(keys.basename("s3_key"))).alias("file_name"),
         F.when(queued | completed, F.concat(F.lit("c"), amount % 5)).alias("category"),
         F.when(queued, amount).alias("size"),
         F.when(queued, F.concat(F.lit("m"), amount)).alias("last_modified"),

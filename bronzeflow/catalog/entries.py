@@ -10,6 +10,7 @@ from bronzeflow import contracts
 from bronzeflow.catalog import adapters
 from bronzeflow.catalog.adapters import CONTEXT, PREFIX
 from bronzeflow.functions import keys
+from bronzeflow.functions.sql import text
 from bronzeflow.operators import (
     builders, failures, guard, incremental, messages, metrics, profile, tracking,
 )
@@ -34,7 +35,9 @@ def listing_status(spark: SparkSession, sf: str) -> DataFrame:
 def site_fan_in(spark: SparkSession, sf: str) -> DataFrame:
     sites = listing.sites_from_text(spark, "9068, 9070,,9071 ,9068").filter("rejected IS NULL")
     found = listing.fan_in(adapters.listing(spark, sf), sites, PREFIX)
-    return found.select("site_id", "key", keys.source_endpoint(PREFIX, "site_id").alias("endpoint"))
+    return found.selectExpr(
+        "site_id", "key", f"{keys.source_endpoint(PREFIX, 'site_id')} AS endpoint"
+    )
 
 
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,51 +75,51 @@ def csv_map_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, sf: str) -> DataFrame:
-    category = keys.extract_category(keys.basename("key"), "site_id")
-    return adapters.listing(spark, sf).select(
-        "site_id", "doc_id", "key", "last_modified", keys.basename("key").alias("file_name"),
-        category.alias("category"),
+    files = adapters.listing(spark, sf).selectExpr(
+        "site_id", "doc_id", "key", "last_modified", f"{keys.basename('key')} AS file_name"
     )
+    return files.selectExpr("*", f"{keys.extract_category('file_name', 'site_id')} AS category")
 
 
 def category_extract(spark: SparkSession, sf: str) -> DataFrame:
-    given = F.when(F.col("site_id") == 9068, "").when(F.col("site_id") == 9069, "given")
-    return _named(spark, sf).select(
+    given = "CASE site_id WHEN 9068 THEN '' WHEN 9069 THEN 'given' END"
+    return _named(spark, sf).selectExpr(
         "key", "site_id", "file_name", "category",
-        keys.dataset_id("site_id", "category").alias("dataset_id"),
-        keys.category_or_default(given, "file_name", "site_id").alias("category_used"),
+        f"{keys.dataset_id('site_id', 'category')} AS dataset_id",
+        f"{keys.category_or_default(given, 'file_name', 'site_id')} AS category_used",
     )
 
 
 def bronze_paths(spark: SparkSession, sf: str) -> DataFrame:
     ctx = CONTEXT
-    named = _named(spark, sf).withColumn("version", (F.col("doc_id") % 3 + 1).cast("bigint"))
-    return named.withColumn("dataset_id", keys.dataset_id("site_id", "category")).select(
+    named = _named(spark, sf).selectExpr(
+        "*", "doc_id % 3 + 1 AS version", f"{keys.dataset_id('site_id', 'category')} AS dataset_id"
+    )
+    date = text(ctx.run_date)
+    path = keys.storage_path("dataset_id", date, "version")
+    modified = "to_timestamp(last_modified)"
+    return named.selectExpr(
         "key",
-        keys.storage_path("dataset_id", F.lit(ctx.run_date), "version").alias("storage_path"),
-        keys.metadata_path("dataset_id", F.lit(ctx.run_date)).alias("metadata_path"),
-        keys.source_url(ctx.bucket_url + "/", "key").alias("source_url"),
-        keys.blob_url(
-            ctx.account_url, ctx.container,
-            keys.storage_path("dataset_id", F.lit(ctx.run_date), "version"),
-        ).alias("blob_url"),
-        keys.partition_key("site_id").alias("partition_key"),
-        keys.row_key("key").alias("row_key"),
-        keys.versioned_row_key("key", "version").alias("versioned_row_key"),
-        keys.utc_date(F.to_timestamp("last_modified")).alias("modified_date"),
-        keys.utc_iso(F.to_timestamp("last_modified")).alias("modified_iso"),
+        f"{path} AS storage_path",
+        f"{keys.metadata_path('dataset_id', date)} AS metadata_path",
+        f"{keys.source_url(ctx.bucket_url + '/', 'key')} AS source_url",
+        f"{keys.blob_url(ctx.account_url, ctx.container, path)} AS blob_url",
+        f"{keys.partition_key('site_id')} AS partition_key",
+        f"{keys.row_key('key')} AS row_key",
+        f"{keys.versioned_row_key('key', 'version')} AS versioned_row_key",
+        f"{keys.utc_date(modified)} AS modified_date",
+        f"{keys.utc_iso(modified)} AS modified_iso",
     )
 
 
 def event_ids(spark: SparkSession, sf: str) -> DataFrame:
     versions = adapters.tracking_versions(spark, sf)
-    ingestion = keys.ingestion_id("s3_key", "version", CONTEXT.attempt)
-    return versions.select(
+    identified = versions.selectExpr(
         "s3_key", "version",
-        keys.event_id("s3_key", "version").alias("event_id"),
-        ingestion.alias("ingestion_id"),
-        keys.traceparent(ingestion).alias("traceparent"),
+        f"{keys.event_id('s3_key', 'version')} AS event_id",
+        f"{keys.ingestion_id('s3_key', 'version', CONTEXT.attempt)} AS ingestion_id",
     )
+    return identified.selectExpr("*", f"{keys.traceparent('ingestion_id')} AS traceparent")
 
 
 def incremental_detect(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,14 +241,16 @@ def work_item_validate(spark: SparkSession, sf: str) -> DataFrame:
         "correlation_id",
         F.when(
             stage.isNotNull(),
-            failures.file_reference(stage, keys.body_preview("body"), F.col("raw_body"), F.lit(None)),
+            failures.file_reference(
+                stage, F.expr(keys.body_preview("body")), F.col("raw_body"), F.lit(None)
+            ),
         ).alias("file_reference"),
         F.array_join(
             F.transform(errors, lambda e: F.concat(e["path"], F.lit(":"), e["validator"])), ","
         ).alias("violations"),
         F.when(stage.isNull(), F.col("site_id")).alias("site_id"),
         F.when(
-            stage.isNull(), keys.category_or_default("category", "file_name", "site_id")
+            stage.isNull(), F.expr(keys.category_or_default("category", "file_name", "site_id"))
         ).alias("category"),
     )
 
@@ -658,8 +663,8 @@ def api_flatten(spark: SparkSession, sf: str) -> DataFrame:
 def incident_link(spark: SparkSession, sf: str) -> DataFrame:
     items = _resolved(spark, sf).select("s3_key", "dataset_id", "version")
     incidents = adapters.listing(spark, sf).select(
-        keys.dataset_id(
-            "site_id", keys.extract_category("file_name", "site_id")
+        F.expr(
+            keys.dataset_id("site_id", keys.extract_category("file_name", "site_id"))
         ).alias("dataset_id"),
         F.lit(2).cast("bigint").alias("version"),
         F.concat(F.lit("INC-"), "doc_id").alias("incident_id"),
@@ -697,9 +702,9 @@ def ingest_run(spark: SparkSession, sf: str) -> DataFrame:
     letters = worker.dead_letter_table(spark, tables).groupBy(
         F.col("file_reference").alias("s3_key")
     ).agg(F.max("error_type").alias("error_type"))
-    sent = run.work_items.select(
-        "s3_key", keys.partition_key("site_id").alias("partition_key"),
-        keys.row_key("s3_key").alias("row_key"),
+    sent = run.work_items.selectExpr(
+        "s3_key", f"{keys.partition_key('site_id')} AS partition_key",
+        f"{keys.row_key('s3_key')} AS row_key",
     )
     return (
         sent.join(worked, ["partition_key", "row_key"], "left")

@@ -8,22 +8,24 @@ from pyspark.sql import functions as F
 from bronzeflow import contracts
 from bronzeflow.context import RunContext
 from bronzeflow.functions import keys
-from bronzeflow.operators.once import compute_once
-from bronzeflow.operators.schema import errors_of_struct
+from bronzeflow.functions.sql import text
+from bronzeflow.operators.schema import check_struct
 
 _JSON = {"ignoreNullFields": "false"}
+_WORK_ITEM_FIELDS = [
+    "site_id", "s3_key", "file_name", "category", "correlation_id", "enqueued_at", "last_modified",
+]
 
 
 def work_items(files: DataFrame, ctx: RunContext) -> DataFrame:
     """Work items of listed files: file name, category and run fields added."""
-    name = keys.basename("key")
-    return files.select(
+    return files.withColumn("file_name", F.expr(keys.basename("key"))).selectExpr(
         "site_id",
-        F.col("key").alias("s3_key"),
-        name.alias("file_name"),
-        keys.extract_category(name, "site_id").alias("category"),
-        F.lit(ctx.correlation_id).alias("correlation_id"),
-        F.lit(ctx.run_ts).alias("enqueued_at"),
+        "key AS s3_key",
+        "file_name",
+        f"{keys.extract_category('file_name', 'site_id')} AS category",
+        f"{text(ctx.correlation_id)} AS correlation_id",
+        f"{text(ctx.run_ts)} AS enqueued_at",
         "last_modified",
         "size",
     )
@@ -31,158 +33,163 @@ def work_items(files: DataFrame, ctx: RunContext) -> DataFrame:
 
 def check_built_work_items(items: DataFrame) -> DataFrame:
     """Add the errors of built work items, so that a bad one is never sent."""
-    fields = ["site_id", "s3_key", "file_name", "category", "correlation_id", "enqueued_at",
-              "last_modified"]
-    item = F.struct(*fields)
-    kind = items.select(item.alias("i")).schema["i"].dataType
-    return compute_once(items, "errors", errors_of_struct(item, kind, contracts.work_item()))
+    built = items.withColumn("_item", F.struct(*_WORK_ITEM_FIELDS))
+    return check_struct(built, "_item", contracts.work_item(), "errors").drop("_item")
 
 
 def work_item_json() -> Column:
-    fields = ["site_id", "s3_key", "file_name", "category", "correlation_id", "enqueued_at",
-              "last_modified"]
-    return F.to_json(F.struct(*fields), _JSON)
+    return F.to_json(F.struct(*_WORK_ITEM_FIELDS), _JSON)
 
 
 def with_paths(items: DataFrame, ctx: RunContext) -> DataFrame:
     """Add dataset_id, storage_path, metadata_path, source_url and ids to versioned items."""
-    dataset = keys.dataset_id("site_id", "category")
-    date = F.lit(ctx.run_date)
-    return (
-        items.withColumn("dataset_id", dataset)
-        .withColumn("storage_path", keys.storage_path("dataset_id", date, "version"))
-        .withColumn("metadata_path", keys.metadata_path("dataset_id", date))
-        .withColumn("source_url", keys.source_url(ctx.bucket_url, "s3_key"))
-        .withColumn("event_id", keys.event_id("s3_key", "version"))
-        .withColumn("ingestion_id", keys.ingestion_id("s3_key", "version", ctx.attempt))
+    date = text(ctx.run_date)
+    named = items.selectExpr("*", f"{keys.dataset_id('site_id', 'category')} AS dataset_id")
+    return named.selectExpr(
+        "*",
+        f"{keys.storage_path('dataset_id', date, 'version')} AS storage_path",
+        f"{keys.metadata_path('dataset_id', date)} AS metadata_path",
+        f"{keys.source_url(ctx.bucket_url, 's3_key')} AS source_url",
+        f"{keys.event_id('s3_key', 'version')} AS event_id",
+        f"{keys.ingestion_id('s3_key', 'version', ctx.attempt)} AS ingestion_id",
     )
 
 
-def trigger_type(version: Column) -> Column:
-    return F.when(version > 1, "rerun").otherwise("scheduled")
+def trigger_type(version: str) -> str:
+    return f"if({version} > 1, 'rerun', 'scheduled')"
 
 
-def parent_version(version: Column) -> Column:
-    return F.when(version > 1, version - 1)
+def parent_version(version: str) -> str:
+    return f"if({version} > 1, {version} - 1, NULL)"
 
 
-def rerun_of(dataset: Column, version: Column) -> Column:
-    return F.when(version > 1, F.concat(dataset, F.lit("_v"), (version - 1).cast("string")))
+def rerun_of(dataset: str, version: str) -> str:
+    return f"if({version} > 1, concat({dataset}, '_v', {version} - 1), NULL)"
 
 
-def latency(seconds: Column) -> Column:
+def latency(seconds: float) -> str:
     """Seconds to one decimal, ties to even."""
-    return F.bround(seconds, 1)
+    return f"bround({float(seconds)!r}D, 1)"
 
 
-def metadata(ctx: RunContext, profile: dict[str, Column] | None = None,
-             incident: Column | None = None) -> Column:
+def _struct(**fields: str) -> str:
+    pairs = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"named_struct({pairs})"
+
+
+def metadata(
+    ctx: RunContext, profile: dict[str, str] | None = None, incident: str = "NULL"
+) -> Column:
     """Sidecar struct over the columns of profiled items.
 
-    What needs parsed rows is null unless ``profile`` supplies it, keyed by
-    field name as ``profile_dataset`` names its columns.
+    What needs parsed rows is null unless ``profile`` maps the field name to a
+    SQL expression, as ``profile_dataset`` names its columns.
     """
     given = profile or {}
 
-    def known(name: str, kind: str) -> Column:
-        return given.get(name, F.lit(None)).cast(kind).alias(name)
-
-    version = F.col("version")
-    return F.struct(
-        F.struct(
-            F.col("dataset_id"),
-            F.lit(contracts.DATASET_TYPE).alias("dataset_type"),
-            version,
-            F.lit(contracts.BRONZE_SCHEMA_VERSION).alias("schema_version"),
-            F.array(*map(F.lit, contracts.TAGS)).alias("tags"),
-        ).alias("dataset"),
-        F.struct(
-            F.lit(contracts.SOURCE).alias("source"),
-            F.lit(contracts.SOURCE_TYPE).alias("source_type"),
-            keys.source_endpoint(ctx.endpoint_prefix, "site_id").alias("endpoint"),
-            F.lit(contracts.PROVIDER).alias("provider"),
-            F.lit(contracts.REGION).alias("region"),
-        ).alias("source"),
-        F.struct(
-            F.lit(ctx.run_ts).alias("ingestion_time"),
-            F.col("ingestion_id"),
-            F.col("correlation_id").alias("batch_id"),
-            F.lit(ctx.pipeline).alias("pipeline"),
-            trigger_type(version).alias("trigger_type"),
-            F.lit(ctx.retry_count).alias("retry_count"),
-            F.col("file_name").alias("source_file_name"),
-            F.col("file_size").alias("file_size_bytes"),
-            F.col("file_hash").alias("checksum"),
-            latency(F.lit(ctx.elapsed_seconds)).alias("ingestion_latency_seconds"),
-            F.lit(contracts.INGESTED).alias("status"),
-        ).alias("ingestion"),
-        F.struct(
-            known("event_time_start", "string"),
-            known("event_time_end", "string"),
-            F.lit(contracts.FREQUENCY_SECONDS).alias("expected_frequency_seconds"),
-            known("expected_records", "bigint"),
-        ).alias("event_time"),
-        F.struct(
-            F.col("row_count"),
-            known("null_percentage", "double"),
-            known("duplicate_rows", "bigint"),
-            known("min_timestamp", "string"),
-            known("max_timestamp", "string"),
-            known("schema_detected", "boolean"),
-            known("corrupted_rows", "bigint"),
-        ).alias("data_profile"),
-        F.struct(
-            known("basic_quality_score", "double"),
-            known("schema_valid", "boolean"),
-            known("time_continuity_suspected_gap", "boolean"),
-            F.coalesce(given.get("notes", F.lit(None)).cast("array<string>"),
-                       F.array().cast("array<string>")).alias("notes"),
-        ).alias("quality_hint"),
-        F.struct(
-            parent_version(version).alias("parent_dataset_version"),
-            rerun_of(F.col("dataset_id"), version).alias("rerun_of"),
-            (F.lit(None) if incident is None else incident).cast("string")
-            .alias("related_incident_id"),
-        ).alias("lineage"),
+    def known(**kinds: str) -> dict[str, str]:
+        return {n: f"CAST({given.get(n, 'NULL')} AS {kind})" for n, kind in kinds.items()}
+
+    notes = f"coalesce(CAST({given.get('notes', 'NULL')} AS array<string>), CAST(array() AS array<string>))"
+    tags = f"array({', '.join(map(text, contracts.TAGS))})"
+    return F.expr(
+        _struct(
+            dataset=_struct(
+                dataset_id="dataset_id",
+                dataset_type=text(contracts.DATASET_TYPE),
+                version="version",
+                schema_version=text(contracts.BRONZE_SCHEMA_VERSION),
+                tags=tags,
+            ),
+            source=_struct(
+                source=text(contracts.SOURCE),
+                source_type=text(contracts.SOURCE_TYPE),
+                endpoint=keys.source_endpoint(ctx.endpoint_prefix, "site_id"),
+                provider=text(contracts.PROVIDER),
+                region=text(contracts.REGION),
+            ),
+            ingestion=_struct(
+                ingestion_time=text(ctx.run_ts),
+                ingestion_id="ingestion_id",
+                batch_id="correlation_id",
+                pipeline=text(ctx.pipeline),
+                trigger_type=trigger_type("version"),
+                retry_count=str(ctx.retry_count),
+                source_file_name="file_name",
+                file_size_bytes="file_size",
+                checksum="file_hash",
+                ingestion_latency_seconds=latency(ctx.elapsed_seconds),
+                status=text(contracts.INGESTED),
+            ),
+            event_time=_struct(
+                **known(event_time_start="string", event_time_end="string"),
+                expected_frequency_seconds=str(contracts.FREQUENCY_SECONDS),
+                **known(expected_records="bigint"),
+            ),
+            data_profile=_struct(
+                row_count="row_count",
+                **known(
+                    null_percentage="double",
+                    duplicate_rows="bigint",
+                    min_timestamp="string",
+                    max_timestamp="string",
+                    schema_detected="boolean",
+                    corrupted_rows="bigint",
+                ),
+            ),
+            quality_hint=_struct(
+                **known(
+                    basic_quality_score="double",
+                    schema_valid="boolean",
+                    time_continuity_suspected_gap="boolean",
+                ),
+                notes=notes,
+            ),
+            lineage=_struct(
+                parent_dataset_version=parent_version("version"),
+                rerun_of=rerun_of("dataset_id", "version"),
+                related_incident_id=f"CAST({incident} AS string)",
+            ),
+        )
     )
 
 
 def envelope(ctx: RunContext) -> Column:
     """Event struct over the columns of profiled items."""
-    return F.struct(
-        F.lit("1.0").alias("specversion"),
-        F.lit(contracts.EVENT_TYPE).alias("type"),
-        F.lit(ctx.event_source).alias("source"),
-        F.col("event_id").alias("id"),
-        F.lit(ctx.run_ts).alias("time"),
-        F.lit(contracts.CONTENT_TYPE).alias("datacontenttype"),
-        F.lit(ctx.dataschema).alias("dataschema"),
-        F.lit(ctx.tenant_id).alias("tenant_id"),
-        F.lit(contracts.SOURCE_VENDOR).alias("source_vendor"),
-        F.lit(ctx.schema_version).alias("schema_version"),
-        F.lit(ctx.mapping_version).alias("mapping_version"),
-        F.col("correlation_id"),
-        F.lit(ctx.run_ts).alias("ingestion_timestamp"),
-        keys.traceparent("ingestion_id").alias("traceparent"),
-        F.struct(
-            F.col("site_id"),
-            F.col("category"),
-            F.lit("csv").alias("file_format"),
-            keys.blob_url(ctx.account_url, ctx.container, "storage_path").alias("storage_path"),
-            F.col("version"),
-            F.col("ingestion_id"),
-            F.col("source_url"),
-            F.col("file_size"),
-            F.col("file_hash"),
-        ).alias("data"),
+    return F.expr(
+        _struct(
+            specversion="'1.0'",
+            type=text(contracts.EVENT_TYPE),
+            source=text(ctx.event_source),
+            id="event_id",
+            time=text(ctx.run_ts),
+            datacontenttype=text(contracts.CONTENT_TYPE),
+            dataschema=text(ctx.dataschema),
+            tenant_id=text(ctx.tenant_id),
+            source_vendor=text(contracts.SOURCE_VENDOR),
+            schema_version=text(ctx.schema_version),
+            mapping_version=text(ctx.mapping_version),
+            correlation_id="correlation_id",
+            ingestion_timestamp=text(ctx.run_ts),
+            traceparent=keys.traceparent("ingestion_id"),
+            data=_struct(
+                site_id="site_id",
+                category="category",
+                file_format="'csv'",
+                storage_path=keys.blob_url(ctx.account_url, ctx.container, "storage_path"),
+                version="version",
+                ingestion_id="ingestion_id",
+                source_url="source_url",
+                file_size="file_size",
+                file_hash="file_hash",
+            ),
+        )
     )
 
 
 def with_checked(rows: DataFrame, name: str, value: Column, schema: dict) -> DataFrame:
     """Add a struct column and, as ``<name>_errors``, its contract violations."""
-    built = rows.withColumn(name, value)
-    errors = errors_of_struct(F.col(name), built.schema[name].dataType, schema)
-    return compute_once(built, f"{name}_errors", errors)
+    return check_struct(rows.withColumn(name, value), name, schema, f"{name}_errors")
 
 
 def as_json(column: str) -> Column:

@@ -25,8 +25,8 @@ def detect_changes(listing: DataFrame, tracking_base: DataFrame) -> DataFrame:
         F.col("last_modified").alias("_modified"),
     )
     same = (
-        (keys.partition_key("site_id") == F.col("_pk"))
-        & (keys.row_key("key") == F.col("_rk"))
+        (F.expr(keys.partition_key("site_id")) == F.col("_pk"))
+        & (F.expr(keys.row_key("key")) == F.col("_rk"))
         & F.col("size").eqNullSafe(F.col("_size"))
         & F.col("last_modified").eqNullSafe(F.col("_modified"))
     )
@@ -61,7 +61,7 @@ def latest_versions(versions: DataFrame) -> DataFrame:
 
 def resolve_versions(items: DataFrame, versions: DataFrame) -> DataFrame:
     """Add ``version``: one above the highest completed version of the same object."""
-    keyed = items.withColumn("partition_key", keys.partition_key("site_id"))
+    keyed = items.withColumn("partition_key", F.expr(keys.partition_key("site_id")))
     joined = skew_join(
         keyed,
         latest_versions(versions),

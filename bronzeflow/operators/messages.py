@@ -68,7 +68,7 @@ def check_work_items(messages: DataFrame, body: str = "body") -> DataFrame:
 
 def accepted_work_items(checked: DataFrame) -> DataFrame:
     """Typed work items of the accepted messages, with the category filled in."""
-    category = keys.category_or_default("category", "file_name", "site_id")
+    category = F.expr(keys.category_or_default("category", "file_name", "site_id"))
     return checked.filter(F.col("stage").isNull()).select(
         *[category.alias(c) if c == "category" else F.col(c) for c in WORK_ITEM_TYPES]
     )
@@ -82,7 +82,7 @@ def rejected_work_items(checked: DataFrame, body: str = "body") -> DataFrame:
         rejected,
         F.col("correlation_id"),
         failures.dead_letter_reason(stage),
-        failures.file_reference(stage, keys.body_preview(body), F.col("raw_body"), F.lit(None)),
+        failures.file_reference(stage, F.expr(keys.body_preview(body)), F.col("raw_body"), F.lit(None)),
         F.coalesce(F.col("body_problem"), first_error(F.col("errors"))),
     )
 

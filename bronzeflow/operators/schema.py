@@ -1,9 +1,9 @@
 """JSON-Schema subset compiled to an array of errors per row.
 
-``errors_of_variant`` checks message bodies held as VARIANT, where every type
-is open; ``errors_of_struct`` checks typed columns, where types are settled
-when the plan is built and only nulls, ranges and patterns are left to check.
-A null field of a struct stands for JSON null.
+A schema becomes one SQL expression. ``check_variant`` checks message bodies
+held as VARIANT, where every type is open; ``check_struct`` checks typed
+columns, where types are settled when the plan is built and only nulls, ranges
+and patterns are left to look at. A null field of a struct stands for JSON null.
 
 Errors of an object itself (missing or unknown members) come before those of
 its members, so the first error is the one closest to the root.
@@ -11,12 +11,13 @@ its members, so the first error is the one closest to the root.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bronzeflow.functions.sql import text
 from bronzeflow.operators.once import compute_once
 
 ERROR_TYPE = "struct<path:string,validator:string,message:string>"
@@ -25,92 +26,99 @@ SUPPORTED = {
     "minLength", "maxLength", "minimum", "maximum", "items", "minItems", "oneOf", "allOf", "not",
     "$ref", "$defs", "$id", "$schema", "title", "description", "format", "examples",
 }
+TRUE, FALSE = "true", "false"
+_ONE_NEWLINE = r"\n?\z"
 
 
 def java_pattern(pattern: str) -> str:
     """``$`` at the end also allows one final newline, as the schema dialect's engine does."""
-    return pattern[:-1] + r"\n?\z" if pattern.endswith("$") else pattern
+    return pattern[:-1] + _ONE_NEWLINE if pattern.endswith("$") else pattern
+
+
+def _not(condition: str) -> str:
+    return {TRUE: FALSE, FALSE: TRUE}.get(condition, f"NOT ({condition})")
+
+
+def _and(*conditions: str) -> str:
+    if FALSE in conditions:
+        return FALSE
+    return " AND ".join(f"({c})" for c in conditions if c != TRUE) or TRUE
+
+
+def _or(*conditions: str) -> str:
+    if TRUE in conditions:
+        return TRUE
+    return " OR ".join(f"({c})" for c in conditions if c != FALSE) or FALSE
 
 
 class VariantNode:
     """A JSON value of unknown type; SQL NULL when the member is absent."""
 
-    def __init__(self, value: Column):
+    def __init__(self, value: str, **parts: str):
         self.value = value
-        self.kind = F.schema_of_variant(value)
-        self.present = value.isNotNull()
-        self.as_text = F.try_variant_get(value, "$", "string")
-        self.as_number = F.try_variant_get(value, "$", "double")
-        self.names = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+        self.present = f"{value} IS NOT NULL"
+        self.kind = parts.get("kind", f"schema_of_variant({value})")
+        self.text = parts.get("text", f"try_variant_get({value}, '$', 'string')")
+        self.number = parts.get("number", f"try_variant_get({value}, '$', 'double')")
+        self.names = parts.get(
+            "names", f"map_keys(try_variant_get({value}, '$', 'map<string,variant>'))"
+        )
+        self.elements = f"try_variant_get({value}, '$', 'array<variant>')"
+        self.shown = f"coalesce(to_json({value}), 'null')"
         self.children: dict[str, VariantNode] = {}
 
-    @classmethod
-    def bound(cls, value: Column, kind: Column, text: Column, number: Column) -> VariantNode:
-        """A node whose parts were already computed as columns."""
-        node = cls(value)
-        node.kind, node.as_text, node.as_number = kind, text, number
-        return node
-
-    def has_type(self, name: str) -> Column:
-        number = self.kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    def has_type(self, name: str) -> str:
+        number = f"{self.kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'"
         return {
-            "string": lambda: self.kind == "STRING",
-            "null": lambda: self.kind == "VOID",
-            "boolean": lambda: self.kind == "BOOLEAN",
-            "array": lambda: self.kind.startswith("ARRAY"),
-            "object": lambda: self.kind.startswith("OBJECT"),
-            "number": lambda: number,
-            "integer": lambda: number & (F.floor(self.number()) == self.number()),
-        }[name]()
-
-    def text(self) -> Column:
-        return self.as_text
-
-    def number(self) -> Column:
-        return self.as_number
-
-    def literal(self, value) -> Column:
-        """Whether the value equals a JSON scalar, type included."""
+            "string": f"{self.kind} = 'STRING'",
+            "null": f"{self.kind} = 'VOID'",
+            "boolean": f"{self.kind} = 'BOOLEAN'",
+            "array": f"startswith({self.kind}, 'ARRAY')",
+            "object": f"startswith({self.kind}, 'OBJECT')",
+            "number": number,
+            "integer": f"{number} AND floor({self.number}) = {self.number}",
+        }[name]
+
+    def equals(self, value) -> str:
+        """Whether the value is this JSON scalar, type included."""
         if value is None:
             return self.has_type("null")
         if isinstance(value, bool):
-            return self.has_type("boolean") & (self.text() == str(value).lower())
+            return _and(self.has_type("boolean"), f"{self.text} = '{str(value).lower()}'")
         if isinstance(value, str):
-            return self.has_type("string") & (self.text() == value)
-        return self.has_type("number") & (self.number() == float(value))
+            return _and(self.has_type("string"), f"{self.text} = {text(value)}")
+        return _and(self.has_type("number"), f"{self.number} = {float(value)}D")
 
     def child(self, name: str) -> VariantNode:
         return self.children.get(name) or VariantNode(_member(self.value, name))
 
-    def unknown(self, known: list[str]) -> Column:
-        """Sorted names of members outside ``known``."""
-        return F.array_sort(F.array_except(self.names, F.array(*map(F.lit, known))))
+    def unknown(self, known: list[str]) -> str | None:
+        """Sorted names of members outside ``known``; None when there cannot be any."""
+        return f"array_sort(array_except({self.names}, array({', '.join(map(text, known))})))"
 
-    def elements(self) -> Column:
-        return F.try_variant_get(self.value, "$", "array<variant>")
-
-    def element(self, value: Column) -> VariantNode:
+    def element(self, value: str) -> VariantNode:
         return VariantNode(value)
 
-    def shown(self) -> Column:
-        return F.coalesce(F.to_json(self.value), F.lit("null"))
-
 
 class ColumnNode:
     """A typed column; null stands for JSON null, the member itself is always there."""
 
-    def __init__(self, value: Column | None, data_type: T.DataType | None):
-        self.value = F.lit(None) if value is None else value
+    def __init__(self, value: str, data_type: T.DataType | None):
+        self.value = value
         self.data_type = data_type
-        self.present = F.lit(data_type is not None)
-
-    def has_type(self, name: str) -> Column:
-        is_null = self.value.isNull()
+        self.present = FALSE if data_type is None else TRUE
+        self.text = value
+        self.number = f"CAST({value} AS DOUBLE)"
+        self.elements = value
+        nested = isinstance(data_type, (T.StructType, T.ArrayType, T.MapType))
+        self.shown = f"coalesce({f'to_json({value})' if nested else f'CAST({value} AS STRING)'}, 'null')"
+
+    def has_type(self, name: str) -> str:
         if name == "null":
-            return is_null
-        dt = self.data_type
-        if name == "integer" and isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-            return ~is_null & (F.floor(self.value) == self.value)
+            return f"{self.value} IS NULL"
+        fractional = (T.FloatType, T.DoubleType, T.DecimalType)
+        if name == "integer" and isinstance(self.data_type, fractional):
+            return f"{self.value} IS NOT NULL AND floor({self.value}) = {self.value}"
         classes = {
             "string": (T.StringType,),
             "boolean": (T.BooleanType,),
@@ -119,80 +127,57 @@ class ColumnNode:
             "integer": (T.IntegralType,),
             "number": (T.NumericType,),
         }[name]
-        return ~is_null if isinstance(dt, classes) else F.lit(False)
-
-    def text(self) -> Column:
-        return self.value.cast("string")
-
-    def number(self) -> Column:
-        return self.value.cast("double")
+        return f"{self.value} IS NOT NULL" if isinstance(self.data_type, classes) else FALSE
 
-    def literal(self, value) -> Column:
+    def equals(self, value) -> str:
         if value is None:
-            return self.value.isNull()
+            return f"{self.value} IS NULL"
         wanted = {bool: T.BooleanType, str: T.StringType}.get(type(value), T.NumericType)
         if not isinstance(self.data_type, wanted):
-            return F.lit(False)
-        return F.coalesce(self.value == F.lit(value), F.lit(False))
+            return FALSE
+        literal = text(value) if isinstance(value, str) else str(value).lower()
+        return f"{self.value} <=> {literal}"
 
     def child(self, name: str) -> ColumnNode:
         if isinstance(self.data_type, T.StructType) and name in self.data_type.names:
-            return ColumnNode(self.value[name], self.data_type[name].dataType)
-        return ColumnNode(None, None)
+            return ColumnNode(f"{self.value}.`{name}`", self.data_type[name].dataType)
+        return ColumnNode("NULL", None)
 
-    def unknown(self, known: list[str]) -> Column:
+    def unknown(self, known: list[str]) -> str | None:
         names = self.data_type.names if isinstance(self.data_type, T.StructType) else []
         extra = sorted(set(names) - set(known))
-        return F.array(*map(F.lit, extra)).cast("array<string>")
+        return f"array({', '.join(map(text, extra))})" if extra else None
 
-    def elements(self) -> Column:
-        return self.value if isinstance(self.data_type, T.ArrayType) else F.lit(None)
-
-    def element(self, value: Column) -> ColumnNode:
+    def element(self, value: str) -> ColumnNode:
         return ColumnNode(value, self.data_type.elementType)
 
-    def shown(self) -> Column:
-        if isinstance(self.data_type, (T.StructType, T.ArrayType, T.MapType)):
-            return F.to_json(self.value)
-        return F.coalesce(self.text(), F.lit("null"))
-
-
-def errors_of_variant(value: Column, schema: dict) -> Column:
-    """Errors of a VARIANT column against a schema; empty when valid, null when absent."""
-    return F.when(value.isNotNull(), _all_errors(VariantNode(value), schema, F.lit("$"), schema))
-
 
 def check_variant(df: DataFrame, column: str, schema: dict, into: str) -> DataFrame:
-    """Add the errors of a VARIANT column.
+    """Add the errors of a VARIANT column: empty when valid, null when the column is.
 
-    Same as ``errors_of_variant``, but the members named in the schema are
-    taken apart once, in projections of their own, instead of once per rule.
+    The members named in the schema are taken apart once, in projections of
+    their own, instead of once per rule.
     """
-    value = F.col(column)
     names = list(schema.get("properties", {}))
-    taken = {f"_{into}_v{i}": _member(value, name) for i, name in enumerate(names)}
-    taken[f"_{into}_kind"] = F.schema_of_variant(value)
-    taken[f"_{into}_names"] = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-    parts = {}
-    for i in range(len(names)):
-        member = F.col(f"_{into}_v{i}")
-        parts[f"_{into}_k{i}"] = F.schema_of_variant(member)
-        parts[f"_{into}_t{i}"] = F.try_variant_get(member, "$", "string")
-        parts[f"_{into}_n{i}"] = F.try_variant_get(member, "$", "double")
-    root = VariantNode(value)
-    root.kind, root.names = F.col(f"_{into}_kind"), F.col(f"_{into}_names")
-    root.children = {
-        name: VariantNode.bound(*[F.col(f"_{into}_{part}{i}") for part in "vktn"])
-        for i, name in enumerate(names)
-    }
-    errors = F.when(value.isNotNull(), _all_errors(root, schema, F.lit("$"), schema))
-    checked = compute_once(df.withColumns(taken).withColumns(parts), into, errors)
-    return checked.select(*df.columns, into)
-
-
-def errors_of_struct(value: Column, data_type: T.DataType, schema: dict) -> Column:
-    """Errors of a typed column against a schema; empty when valid."""
-    return _all_errors(ColumnNode(value, data_type), schema, F.lit("$"), schema)
+    taken = [f"schema_of_variant({column}) AS _kind"]
+    taken.append(f"map_keys(try_variant_get({column}, '$', 'map<string,variant>')) AS _names")
+    parts, root = [], VariantNode(column, kind="_kind", names="_names")
+    for i, name in enumerate(names):
+        taken.append(f"{_member(column, name)} AS _v{i}")
+        member = VariantNode(f"_v{i}")
+        parts += [
+            f"{member.kind} AS _k{i}", f"{member.text} AS _t{i}", f"{member.number} AS _n{i}"
+        ]
+        root.children[name] = VariantNode(f"_v{i}", kind=f"_k{i}", text=f"_t{i}", number=f"_n{i}")
+    errors = f"CASE WHEN {column} IS NOT NULL THEN {_all_errors(root, schema, text('$'), schema)} END"
+    apart = df.selectExpr("*", *taken).selectExpr("*", *parts)
+    return compute_once(apart, into, F.expr(errors)).select(*df.columns, into)
+
+
+def check_struct(df: DataFrame, column: str, schema: dict, into: str) -> DataFrame:
+    """Add the errors of a struct column: empty when valid."""
+    node = ColumnNode(f"`{column}`", df.schema[column].dataType)
+    return compute_once(df, into, F.expr(_all_errors(node, schema, text("$"), schema)))
 
 
 def first_error(errors: Column) -> Column:
@@ -200,119 +185,101 @@ def first_error(errors: Column) -> Column:
     return F.try_element_at(errors, F.lit(1))["message"]
 
 
-def _all_errors(node, schema: dict, path: Column, root: dict) -> Column:
+def _all_errors(node, schema: dict, path: str, root: dict) -> str:
+    """SQL of the array of all errors."""
     singles, arrays = _rules(node, schema, path, root)
-    empty = F.array().cast(f"array<{ERROR_TYPE}>")
-    found = F.array_compact(F.array(*singles)) if singles else empty
-    return F.concat(found, *[F.coalesce(a, empty) for a in arrays]) if arrays else found
+    empty = f"CAST(array() AS array<{ERROR_TYPE}>)"
+    found = f"array_compact(array({', '.join(singles)}))" if singles else empty
+    more = [f"coalesce({a}, {empty})" for a in arrays]
+    return f"concat({', '.join([found, *more])})" if more else found
 
 
-def _rules(node, schema: dict, path: Column, root: dict) -> tuple[list[Column], list[Column]]:
-    """(columns that are one error or null, columns that are arrays of errors)."""
+def _rules(node, schema: dict, path: str, root: dict) -> tuple[list[str], list[str]]:
+    """(SQL of one error or null each, SQL of arrays of errors)."""
     unsupported = set(schema) - SUPPORTED
     if unsupported:
         raise ValueError(f"unsupported schema keywords: {sorted(unsupported)}")
     if "$ref" in schema:
-        schema = {**_resolve(schema["$ref"], root), **{k: v for k, v in schema.items() if k != "$ref"}}
-
-    own: list[Column] = []
-    members: list[Column] = []
-    arrays: list[Column] = []
-
-    def fail(condition: Column, validator: str, *message) -> Column:
-        parts = [p if isinstance(p, Column) else F.lit(p) for p in message]
-        error = F.struct(
-            path.alias("path"),
-            F.lit(validator).alias("validator"),
-            F.concat(*parts).alias("message"),
-        )
-        return F.when(node.present & condition, error)
+        own_part = {k: v for k, v in schema.items() if k != "$ref"}
+        schema = {**_resolve(schema["$ref"], root), **own_part}
+
+    own: list[str] = []
+    members: list[str] = []
+    arrays: list[str] = []
+
+    def fail(condition: str, validator: str, message: str, lead: str = node.shown) -> None:
+        when = _and(node.present, condition)
+        if when != FALSE:
+            error = (
+                f"named_struct('path', {path}, 'validator', {text(validator)}, "
+                f"'message', concat({lead}, {text(message)}))"
+            )
+            own.append(f"CASE WHEN {when} THEN {error} END")
 
     if "type" in schema:
-        names = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-        matches = reduce(lambda a, b: a | b, [node.has_type(n) for n in names])
-        own.append(fail(~matches, "type", node.shown(), f" is not of type {', '.join(names)}"))
+        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
+        matches = _or(*[node.has_type(kind) for kind in kinds])
+        fail(_not(matches), "type", f" is not of type {', '.join(kinds)}")
     if "const" in schema:
-        own.append(
-            fail(~node.literal(schema["const"]), "const", node.shown(),
-                 f" is not {schema['const']}")
-        )
+        fail(_not(node.equals(schema["const"])), "const", f" is not {schema['const']}")
     if "enum" in schema:
-        hit = reduce(lambda a, b: a | b, [node.literal(v) for v in schema["enum"]])
-        own.append(fail(~hit, "enum", node.shown(), f" is not one of {schema['enum']}"))
+        hit = _or(*[node.equals(value) for value in schema["enum"]])
+        fail(_not(hit), "enum", f" is not one of {schema['enum']}")
     if "pattern" in schema:
-        miss = node.has_type("string") & ~node.text().rlike(java_pattern(schema["pattern"]))
-        own.append(fail(miss, "pattern", node.shown(), " does not match ", schema["pattern"]))
-    for keyword, short in (("minLength", True), ("maxLength", False)):
-        if keyword in schema:
-            limit, length = schema[keyword], F.length(node.text())
-            off = length < limit if short else length > limit
-            word = "shorter" if short else "longer"
-            own.append(
-                fail(node.has_type("string") & off, keyword, node.shown(), f" is {word} than {limit}")
-            )
-    for keyword, low in (("minimum", True), ("maximum", False)):
-        if keyword in schema:
-            limit = float(schema[keyword])
-            off = node.number() < limit if low else node.number() > limit
-            word = "less" if low else "greater"
-            own.append(
-                fail(node.has_type("number") & off, keyword, node.shown(),
-                     f" is {word} than {schema[keyword]}")
-            )
-    if "minItems" in schema:
-        few = F.size(node.elements()) < schema["minItems"]
-        own.append(
-            fail(node.has_type("array") & few, "minItems", node.shown(),
-                 f" has fewer than {schema['minItems']} items")
-        )
+        miss = f"NOT {node.text} RLIKE {text(java_pattern(schema['pattern']))}"
+        fail(_and(node.has_type("string"), miss), "pattern", f" does not match {schema['pattern']}")
+    bounds: list[tuple[str, str, str, Callable[[], str]]] = [
+        ("minLength", "string", "is shorter than", lambda: f"length({node.text}) <"),
+        ("maxLength", "string", "is longer than", lambda: f"length({node.text}) >"),
+        ("minimum", "number", "is less than", lambda: f"{node.number} <"),
+        ("maximum", "number", "is greater than", lambda: f"{node.number} >"),
+        ("minItems", "array", "has fewer items than", lambda: f"size({node.elements}) <"),
+    ]
+    for keyword, kind, words, beyond in bounds:
+        if keyword in schema and node.has_type(kind) != FALSE:
+            off = f"{beyond()} {schema[keyword]}"
+            fail(_and(node.has_type(kind), off), keyword, f" {words} {schema[keyword]}")
     if "oneOf" in schema:
         valid = [
-            (F.size(_all_errors(node, branch, path, root)) == 0).cast("int")
+            f"CAST(size({_all_errors(node, branch, path, root)}) = 0 AS INT)"
             for branch in schema["oneOf"]
         ]
-        own.append(
-            fail(reduce(lambda a, b: a + b, valid) != 1, "oneOf", node.shown(),
-                 " does not match exactly one alternative")
-        )
+        fail(f"{' + '.join(valid)} <> 1", "oneOf", " does not match exactly one alternative")
     if "not" in schema:
-        clean = F.size(_all_errors(node, schema["not"], path, root)) == 0
-        own.append(fail(clean, "not", node.shown(), " is excluded"))
+        clean = f"size({_all_errors(node, schema['not'], path, root)}) = 0"
+        fail(clean, "not", " is excluded")
     for branch in schema.get("allOf", []):
         extra, extra_arrays = _rules(node, branch, path, root)
         own += extra
         arrays += extra_arrays
 
+    properties = schema.get("properties", {})
     is_object = node.has_type("object")
     for name in schema.get("required", []):
-        missing = is_object & ~node.child(name).present
-        own.append(fail(missing, "required", f"'{name}' is a required property"))
-    if schema.get("additionalProperties", True) is False:
-        extra = node.unknown(list(schema.get("properties", {})))
-        own.append(
-            fail(is_object & (F.size(extra) > 0), "additionalProperties", "unexpected properties: ",
-                 F.array_join(extra, ", "))
-        )
-    for name, member in schema.get("properties", {}).items():
-        singles, nested = _rules(node.child(name), member, F.concat(path, F.lit(f".{name}")), root)
+        missing = _and(is_object, _not(node.child(name).present))
+        fail(missing, "required", " is a required property", text(name))
+    if schema.get("additionalProperties", True) is False and is_object != FALSE:
+        extra = node.unknown(list(properties))
+        if extra:
+            listed = f"array_join({extra}, ', ')"
+            fail(_and(is_object, f"size({extra}) > 0"), "additionalProperties", " not expected", listed)
+    for name, member in properties.items():
+        inner = f"'{path[1:-1]}.{name}'" if path.startswith("'") else f"concat({path}, '.{name}')"
+        singles, nested = _rules(node.child(name), member, inner, root)
         members += singles
         arrays += nested
-    if "items" in schema:
-        indexed = F.transform(
-            node.elements(),
-            lambda item, i: _all_errors(
-                node.element(item),
-                schema["items"],
-                F.concat(path, F.lit("["), i.cast("string"), F.lit("]")),
-                root,
-            ),
-        )
-        arrays.append(F.when(node.present & node.has_type("array"), F.flatten(indexed)))
+    if "items" in schema and node.has_type("array") != FALSE:
+        i, item = f"i{len(path)}", f"item{len(path)}"
+        inner = f"concat({path}, '[', CAST({i} AS STRING), ']')"
+        errors = _all_errors(node.element(item), schema["items"], inner, root)
+        each = f"flatten(transform({node.elements}, ({item}, {i}) -> {errors}))"
+        arrays.append(f"CASE WHEN {_and(node.present, node.has_type('array'))} THEN {each} END")
     return own + members, arrays
 
 
-def _member(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f"$['{name}']", "variant")
+def _member(value: str, name: str) -> str:
+    quoted = text(f"$['{name}']")
+    return f"try_variant_get({value}, {quoted}, 'variant')"
 
 
 def _resolve(ref: str, root: dict) -> dict:

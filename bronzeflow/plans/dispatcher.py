@@ -74,8 +74,8 @@ def queued_events(items: DataFrame, ctx: RunContext) -> DataFrame:
         tracking.QUEUED,
         F.lit(ctx.run_ts).cast("timestamp"),
         {
-            "partition_key": keys.partition_key("site_id"),
-            "row_key": keys.row_key("s3_key"),
+            "partition_key": F.expr(keys.partition_key("site_id")),
+            "row_key": F.expr(keys.row_key("s3_key")),
             **{name: F.col(name) for name in names},
         },
     )

@@ -64,7 +64,9 @@ def prepare(
     """
     checked = messages.check_work_items(work_messages)
     items = incremental.unique_work_items(messages.accepted_work_items(checked))
-    own = items.select(keys.partition_key("site_id").alias("partition_key"), "s3_key").distinct()
+    own = items.selectExpr(
+        f"{keys.partition_key('site_id')} AS partition_key", "s3_key"
+    ).distinct()
     versions = tracking.fold_versions(log.join(own, ["partition_key", "s3_key"], "left_semi"))
     located = builders.with_paths(incremental.resolve_versions(items, versions), ctx)
     return Prepared(checked, guard.guard_paths(located, manifest))
@@ -79,8 +81,8 @@ def lifecycle(
         kind,
         F.lit(ctx.run_ts).cast("timestamp"),
         {
-            "partition_key": keys.partition_key("site_id"),
-            "row_key": keys.row_key("s3_key"),
+            "partition_key": F.expr(keys.partition_key("site_id")),
+            "row_key": F.expr(keys.row_key("s3_key")),
             "s3_key": F.col("s3_key"),
             "version": F.col("version"),
             **(extra or {}),

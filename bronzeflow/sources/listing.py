@@ -126,7 +126,7 @@ def fan_in(listing: DataFrame, sites: DataFrame, prefix: str) -> DataFrame:
     placed = listing.drop("site_id").withColumn(
         "site_id", F.when(F.startswith(F.col("key"), lead), found.try_cast("bigint"))
     )
-    placed = placed.filter(F.startswith(F.col("key"), keys.listing_prefix(prefix, "site_id")))
+    placed = placed.filter(F.startswith(F.col("key"), F.expr(keys.source_endpoint(prefix, "site_id"))))
     return skew_join(
         placed, sites.select("site_id"), on=["site_id"], how="inner", spread=["key"]
     )
@@ -142,6 +142,6 @@ def list_folder(spark: SparkSession, path: str) -> DataFrame:
         .select(
             F.col("path").alias("key"),
             F.col("length").alias("size"),
-            keys.utc_iso("modificationTime").alias("last_modified"),
+            F.expr(keys.utc_iso("modificationTime")).alias("last_modified"),
         )
     )
