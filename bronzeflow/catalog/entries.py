@@ -20,7 +20,7 @@ from bronzeflow.sinks import bronze
 from bronzeflow.sinks.messages import dead_letter_messages, event_messages, work_item_messages
 from bronzeflow.sources import files, listing
 from bronzeflow.streaming import queue
-from bronzeflow.workspace import scratch_dir
+from bronzeflow.workspace import materialize, scratch_dir
 
 
 def listing_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,19 +163,22 @@ def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     """Versioned work items of all dated CSV objects, with paths and ids."""
     dated, _ = incremental.split_dated(adapters.csv_listing(spark, sf))
     items = builders.work_items(dated, CONTEXT)
-    versioned = incremental.resolve_versions(items, adapters.tracking_versions(spark, sf))
+    versioned = incremental.resolve_versions(
+        items, adapters.tracking_versions(spark, sf), unique=True
+    )
     return builders.with_paths(versioned, CONTEXT)
 
 
-def _stored_paths(spark: SparkSession, sf: str) -> DataFrame:
+def _stored_paths(resolved: DataFrame) -> DataFrame:
     """Paths that objects of site 9068 already hold; some without a recorded owner."""
     owner = F.when(F.col("file_name") == "src5.csv", "").otherwise(F.col("s3_key"))
-    held = _resolved(spark, sf).filter((F.col("site_id") == 9068) & (F.col("version") == 1))
+    held = resolved.filter((F.col("site_id") == 9068) & (F.col("version") == 1))
     return held.groupBy("storage_path").agg(F.max(owner).alias("s3_key"))
 
 
 def identity_guard(spark: SparkSession, sf: str) -> DataFrame:
-    guarded = guard.guard_paths(_resolved(spark, sf), _stored_paths(spark, sf))
+    resolved = materialize(_resolved(spark, sf), "candidates")
+    guarded = guard.guard_paths(resolved, _stored_paths(resolved))
     return guarded.select(
         "s3_key", "storage_path", "path_owner", "admitted",
         F.when(~F.col("admitted"), guard.collision_reason()).alias("failure_reason"),
@@ -720,7 +723,9 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     )
     dated, _ = incremental.split_dated(changed)
     items = builders.work_items(dated, CONTEXT)
-    versioned = incremental.resolve_versions(items, adapters.tracking_versions(spark, sf))
+    versioned = incremental.resolve_versions(
+        items, adapters.tracking_versions(spark, sf), unique=True
+    )
     located = builders.with_paths(versioned, CONTEXT)
     stored = bronze.attach_content(located, adapters.contents(spark, sf))
     return stored.select(

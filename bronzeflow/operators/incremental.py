@@ -9,6 +9,7 @@ from bronzeflow.functions import keys
 from bronzeflow.operators.skew import skew_join
 
 NEW, RETRY_EMIT, DUPLICATE = "NEW", "RETRY_EMIT", "DUPLICATE"
+RECORD_KEY = ["partition_date", "record_key"]
 
 
 def detect_changes(listing: DataFrame, tracking_base: DataFrame) -> DataFrame:
@@ -40,13 +41,17 @@ def split_dated(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def unique_work_items(items: DataFrame) -> DataFrame:
-    """One work item per object state; the earliest enqueued one stays."""
-    rest = [c for c in items.columns if c not in ("s3_key", "last_modified")]
-    first = F.min_by(F.struct(*rest), F.struct("enqueued_at", "correlation_id"))
+    """One work item per object: of several in a batch, the one of its latest state.
+
+    The bytes copied are the object's present ones whichever item asks for
+    them, and two items would resolve the same version.
+    """
+    rest = [c for c in items.columns if c != "s3_key"]
+    last = F.max_by(F.struct(*rest), F.struct("last_modified", "enqueued_at", "correlation_id"))
     return (
-        items.groupBy("s3_key", "last_modified")
-        .agg(first.alias("_first"))
-        .select(*[c if c not in rest else F.col(f"_first.{c}").alias(c) for c in items.columns])
+        items.groupBy("s3_key")
+        .agg(last.alias("_last"))
+        .select(*[c if c == "s3_key" else F.col(f"_last.{c}").alias(c) for c in items.columns])
     )
 
 
@@ -59,18 +64,21 @@ def latest_versions(versions: DataFrame) -> DataFrame:
     )
 
 
-def resolve_versions(items: DataFrame, versions: DataFrame) -> DataFrame:
-    """Add ``version``: one above the highest completed version of the same object."""
+def resolve_versions(items: DataFrame, versions: DataFrame, unique: bool = False) -> DataFrame:
+    """Add ``version``: one above the highest completed version of the same object.
+
+    ``unique`` tells that an object occurs once in ``items``, as after
+    ``unique_work_items`` or in a listing; then no key can be hot.
+    """
     keyed = items.withColumn("partition_key", F.expr(keys.partition_key("site_id")))
-    joined = skew_join(
-        keyed,
-        latest_versions(versions),
-        on=["partition_key", "s3_key"],
-        how="left",
-        spread=[c for c in items.columns if c != "content"],
+    highest, on = latest_versions(versions), ["partition_key", "s3_key"]
+    if unique:
+        joined = keyed.join(highest, on, "left")
+    else:
+        joined = skew_join(keyed, highest, on, "left", spread=items.columns)
+    return joined.select(
+        *items.columns, (F.coalesce(F.col("max_version"), F.lit(0)) + 1).alias("version")
     )
-    version = F.coalesce(F.col("max_version"), F.lit(0).cast("bigint")) + 1
-    return joined.withColumn("version", version).drop("max_version", "partition_key")
 
 
 def tracked_versions(versions: DataFrame, site_id: int, s3_key: str) -> DataFrame:
@@ -89,39 +97,61 @@ def with_record_key(
 
 
 def reserve_records(records: DataFrame, store: DataFrame, order_by: list[str]) -> DataFrame:
-    """Add ``outcome`` to keyed records: NEW, RETRY_EMIT or DUPLICATE.
+    """Add ``outcome`` to every keyed record: NEW, RETRY_EMIT or DUPLICATE.
 
     A key the store holds as completed is a duplicate, as pending a retry. Of
     several records with one key only the first by ``order_by`` (which has to
     be unique within the key) counts; the others are duplicates of it. First
     record and stored status come from one partial aggregate over both inputs.
+    ``records`` is read three times: hand in a written table if it is costly.
     """
-    key = ["partition_date", "record_key"]
-    order = F.struct(*order_by)
-    order_type = records.select(order.alias("o")).schema["o"].dataType
-    seen = records.select(*key, order.alias("_order"), F.lit(None).cast("int").alias("_rank"))
-    stored = store.select(
-        *key,
-        F.lit(None).cast(order_type).alias("_order"),
-        F.when(F.col("status") == "completed", 2).when(F.col("status") == "pending", 1)
-        .alias("_rank"),
-    )
-    per_key = (
-        seen.unionByName(stored)
-        .groupBy(*key)
-        .agg(F.min("_order").alias("_first"), F.max("_rank").alias("_stored"))
-        .filter(F.col("_first").isNotNull())
-    )
+    per_key = _per_key(records, store, order_by, [])
     outcome = (
         F.when(F.col("_stored") == 2, DUPLICATE)
-        .when(order != F.col("_first"), DUPLICATE)
+        .when(F.struct(*order_by) != F.col("_first.o"), DUPLICATE)
         .when(F.col("_stored") == 1, RETRY_EMIT)
         .otherwise(NEW)
     )
-    joined = skew_join(records, per_key, on=key, how="left", spread=order_by)
+    joined = skew_join(records, per_key, RECORD_KEY, "left", spread=order_by)
     return joined.withColumn("outcome", outcome).drop("_first", "_stored")
 
 
+def reserve_first(records: DataFrame, store: DataFrame, order_by: list[str]) -> DataFrame:
+    """Only the records to emit, NEW or RETRY_EMIT: the first of each key not completed.
+
+    One aggregate and no join, so the duplicates are dropped before the shuffle.
+    """
+    rest = [c for c in records.columns if c not in RECORD_KEY]
+    first = _per_key(records, store, order_by, rest).filter(F.coalesce("_stored", F.lit(0)) < 2)
+    return first.select(
+        *[c if c in RECORD_KEY else F.col(f"_first.r.{c}").alias(c) for c in records.columns],
+        F.when(F.col("_stored") == 1, RETRY_EMIT).otherwise(NEW).alias("outcome"),
+    )
+
+
+def _per_key(
+    records: DataFrame, store: DataFrame, order_by: list[str], carry: list[str]
+) -> DataFrame:
+    """Per record key its first record (order ``o``, columns ``r``) and its rank in the store."""
+    parts = [F.struct(*order_by).alias("o")] + ([F.struct(*carry).alias("r")] if carry else [])
+    seen = records.select(
+        *RECORD_KEY, F.struct(*parts).alias("_record"), F.lit(None).cast("int").alias("_rank")
+    )
+    rank = F.when(F.col("status") == "completed", 2).when(F.col("status") == "pending", 1)
+    stored = store.select(
+        *RECORD_KEY,
+        F.lit(None).cast(seen.schema["_record"].dataType).alias("_record"),
+        rank.alias("_rank"),
+    )
+    first = F.min_by("_record", "_record.o") if carry else F.min("_record")
+    return (
+        seen.unionByName(stored)
+        .groupBy(*RECORD_KEY)
+        .agg(first.alias("_first"), F.max("_rank").alias("_stored"))
+        .filter(F.col("_first").isNotNull())
+    )
+
+
 def purge_expired(store: DataFrame, as_of: str, ttl_days: int) -> DataFrame:
     """Idempotency rows inside the window; whole date partitions are pruned."""
     if ttl_days < 1:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeflow.operators.skew import skew_join
+from bronzeflow.operators.skew import spread_join
 
 STAGES = ("discovered", "downloaded", "stored", "emitted", "failed")
 
@@ -72,13 +72,16 @@ def failed_sites(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(F.sort_array(F.collect_set(failed)).alias("failed_sites"))
 
 
-def invocation_stats(records: DataFrame, valid: str, emitted: str, by: list[str]) -> DataFrame:
-    """Retrieved, valid, invalid and emitted records per run."""
-    return records.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("number_of_records_retrieved"),
-        F.count_if(F.col(valid)).alias("number_valid"),
-        F.count_if(~F.col(valid)).alias("number_invalid"),
-        F.count_if(F.col(emitted)).alias("number_emitted"),
+def invocation_stats(log: DataFrame, by: list[str]) -> DataFrame:
+    """Retrieved, valid, invalid and emitted records per run.
+
+    ``log`` has ``retrieved`` (0 or 1), ``valid`` (null where not judged) and ``emitted``.
+    """
+    return log.groupBy(*by).agg(
+        F.sum("retrieved").alias("number_of_records_retrieved"),
+        F.count_if(F.col("valid")).alias("number_valid"),
+        F.count_if(~F.col("valid")).alias("number_invalid"),
+        F.count_if(F.col("emitted")).alias("number_emitted"),
     )
 
 
@@ -122,7 +125,7 @@ def link_incidents(versions: DataFrame, incidents: DataFrame) -> DataFrame:
     per_version = incidents.groupBy("dataset_id", "version").agg(
         F.min("incident_id").alias("_incident")
     )
-    joined = skew_join(
+    joined = spread_join(
         versions, per_version, on=["dataset_id", "version"], how="left",
         spread=[c for c in versions.columns if c not in ("dataset_id", "version")],
     )

@@ -2,9 +2,14 @@
 
 AQE splits a skewed shuffle partition only where the shuffle feeds the join
 directly; a right side that was just aggregated on the join keys does not.
-Here hot keys are found first, with one constant-size frequent-items sketch
-over the key columns, and only those keys are salted. The sketch decides
-nothing but the salting, so its error never changes a result.
+Two ways around that, both exact:
+
+* ``skew_join`` finds hot keys with one constant-size frequent-items sketch
+  over the key columns and salts only those. The sketch decides nothing but
+  the salting, so its error never changes a result. It reads ``left`` twice:
+  hand in a written table when computing ``left`` is costly.
+* ``spread_join`` salts every key and repeats the right side per salt. It
+  reads ``left`` once and suits a right side that is small next to it.
 """
 
 from __future__ import annotations
@@ -43,8 +48,6 @@ def skew_join(
     is a hash of them, so a retried task sends each row to the same place.
     Columns of ``right`` outside ``on`` must not clash with those of ``left``.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"unsupported join type: {how}")
     hot = F.broadcast(hot_key_hashes(left, on))  # at most MAX_HOT_KEYS rows of one bigint
 
     salted_left = left.join(hot, F.xxhash64(*on) == F.col("hot_hash"), "left").withColumn(
@@ -61,6 +64,32 @@ def skew_join(
             F.when(F.col("hot_hash").isNotNull(), all_salts).otherwise(F.array(F.lit(0)))
         ).alias("_r_salt"),
     )
+    return _join_salted(left, salted_left, salted_right, right, on, how)
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str]
+) -> DataFrame:
+    """``skew_join`` for a right side that is small next to the left one."""
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    salted_right = right.select(
+        *[F.col(c).alias(f"_r_{c}") for c in on],
+        *[c for c in right.columns if c not in on],
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_r_salt"),
+    )
+    return _join_salted(left, salted_left, salted_right, right, on, how)
+
+
+def _join_salted(
+    left: DataFrame,
+    salted_left: DataFrame,
+    salted_right: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str,
+) -> DataFrame:
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type: {how}")
     condition = F.col("_salt") == F.col("_r_salt")
     for c in on:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))

@@ -37,24 +37,17 @@ def process_records(
         }
     )
     keyed = incremental.with_record_key(valid.drop("document", "errors"))
-    outcomes = incremental.reserve_records(keyed, store, order_by)
-    emitted = outcomes.filter(F.col("outcome") != incremental.DUPLICATE)
+    emitted = incremental.reserve_first(keyed, store, order_by)
     reserved = emitted.select(
         "partition_date", "record_key",
         F.lit(ctx.correlation_id).alias("correlation_id"),
         F.lit(ctx.run_ts).alias("created_at"),
     )
-    # both sides of the split have the same columns, so the counters take one pass over each
-    counted = outcomes.select(
-        F.lit(True).alias("valid"), (F.col("outcome") != incremental.DUPLICATE).alias("emitted")
-    ).unionByName(
-        checked.filter(F.size("errors") > 0).select(
-            F.lit(False).alias("valid"), F.lit(False).alias("emitted")
-        )
-    )
+    counted = checked.selectExpr("1L AS retrieved", "size(errors) = 0 AS valid", "false AS emitted")
+    sent = emitted.selectExpr("0L AS retrieved", "NULL AS valid", "true AS emitted")
     stats = metrics.invocation_stats(
-        counted.withColumn("correlation_id", F.lit(ctx.correlation_id)),
-        "valid", "emitted", ["correlation_id"],
+        counted.unionByName(sent).withColumn("correlation_id", F.lit(ctx.correlation_id)),
+        ["correlation_id"],
     )
     return RecordRun(
         emitted,

@@ -23,6 +23,7 @@ from bronzeflow.operators.schema import first_error
 from bronzeflow.sinks import bronze
 from bronzeflow.sinks.messages import event_messages
 from bronzeflow.sinks.tables import read_batch, read_table, write_batch
+from bronzeflow.workspace import materialize
 
 Store = Callable[[DataFrame], DataFrame]
 
@@ -60,15 +61,19 @@ def prepare(
     """Validate bodies, drop repeated items, resolve versions and settle path ownership.
 
     ``log`` holds the lifecycle events of earlier batches; only those of the
-    batch's own objects are folded.
+    batch's own objects are folded. Items and located items, metadata only, are
+    written once because the joins after them read them several times.
     """
     checked = messages.check_work_items(work_messages)
-    items = incremental.unique_work_items(messages.accepted_work_items(checked))
+    items = materialize(
+        incremental.unique_work_items(messages.accepted_work_items(checked)), "items"
+    )
     own = items.selectExpr(
         f"{keys.partition_key('site_id')} AS partition_key", "s3_key"
     ).distinct()
     versions = tracking.fold_versions(log.join(own, ["partition_key", "s3_key"], "left_semi"))
-    located = builders.with_paths(incremental.resolve_versions(items, versions), ctx)
+    versioned = incremental.resolve_versions(items, versions, unique=True)
+    located = materialize(builders.with_paths(versioned, ctx), "located")
     return Prepared(checked, guard.guard_paths(located, manifest))
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bronzeflow.operators.profile import profile_content
-from bronzeflow.operators.skew import skew_join
 
 CHUNK = 4 * 1024 * 1024
 RESULT_FIELDS = [
@@ -101,10 +100,13 @@ def _copy_one(origin: str, target: str, attempt: int) -> tuple:
 def attach_content(items: DataFrame, contents: DataFrame) -> DataFrame:
     """Same result columns for objects whose bytes are already in a table.
 
-    ``contents`` has (s3_key, content), one row per object. An item without
-    content is an error row, as a missing source file is.
+    Both sides have one row per ``s3_key``, so the join cannot be skewed. The
+    content is profiled before it. An item without content is an error row, as
+    a missing source file is.
     """
-    joined = skew_join(items, profile_content(contents), ["s3_key"], "left", spread=items.columns)
+    joined = items.join(profile_content(contents), "s3_key", "left").select(
+        *items.columns, "content", "file_size", "file_hash", "row_count"
+    )
     missing = F.col("file_hash").isNull()
     return joined.withColumns(
         {

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bronzeflow.operators.skew import skew_join
+from bronzeflow.operators.skew import spread_join
 
 CORRUPT = "_corrupt"
 _END = "\u0002"  # marks the end of the fields of a line
@@ -125,7 +125,7 @@ def read_csv_maps(spark: SparkSession, path: str) -> DataFrame:
         F.struct("_first.block", "_first.position").alias("_at"),
         _fields(F.col("_first.line"), widest).alias("_names"),
     )
-    joined = skew_join(lines, headers, ["source_file"], "inner", spread=["block", "position"])
+    joined = spread_join(lines, headers, ["source_file"], "inner", spread=["block", "position"])
     rows = joined.filter(order != F.col("_at"))
     return rows.select(
         "source_file", _zip_last(F.col("_names"), _fields(F.col("line"), widest)).alias("row")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bronzeflow.functions import keys
 from bronzeflow.operators.once import compute_once
-from bronzeflow.operators.skew import skew_join
+from bronzeflow.operators.skew import spread_join
 
 PAGE_SCHEMA = "site_id bigint, page_no bigint, http_status int, body string"
 _XML = (
@@ -100,7 +100,7 @@ def list_files(pages: DataFrame, status: DataFrame | None = None) -> DataFrame:
             size_text.alias("size_text"),
         )
     )
-    joined = skew_join(
+    joined = spread_join(
         files, reached.select("site_id", "last_page"), on=["site_id"], how="inner", spread=["key"]
     )
     return joined.filter(F.col("page_no") <= F.col("last_page")).drop("page_no", "last_page")
@@ -127,7 +127,7 @@ def fan_in(listing: DataFrame, sites: DataFrame, prefix: str) -> DataFrame:
         "site_id", F.when(F.startswith(F.col("key"), lead), found.try_cast("bigint"))
     )
     placed = placed.filter(F.startswith(F.col("key"), F.expr(keys.source_endpoint(prefix, "site_id"))))
-    return skew_join(
+    return spread_join(
         placed, sites.select("site_id"), on=["site_id"], how="inner", spread=["key"]
     )
 

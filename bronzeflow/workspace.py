@@ -5,7 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and read it back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
