@@ -148,7 +148,7 @@ def run_batch(
     copied = kept.filter(F.col("error_class").isNull())
     missing = kept.filter(F.col("error_class").isNotNull())
 
-    built = with_artifacts(copied, ctx)
+    built = materialize(with_artifacts(copied, ctx), "built")
     sidecar_ok = F.size("metadata_errors") == 0
     event_ok = sidecar_ok & (F.size("envelope_errors") == 0)
     write_batch(

@@ -97,14 +97,18 @@ def _copy_one(origin: str, target: str, attempt: int) -> tuple:
         return None, None, None, type(error).__name__, None, str(error)
 
 
-def attach_content(items: DataFrame, contents: DataFrame) -> DataFrame:
+def attach_content(
+    items: DataFrame, contents: DataFrame, tasks: int | None = None
+) -> DataFrame:
     """Same result columns for objects whose bytes are already in a table.
 
     Both sides have one row per ``s3_key``, so the join cannot be skewed. The
     content is profiled before it. An item without content is an error row, as
-    a missing source file is.
+    a missing source file is. The number of join tasks, and so of tasks that
+    write the content, is fixed: small items say little about the work per row.
     """
-    joined = items.join(profile_content(contents), "s3_key", "left").select(
+    tasks = tasks or int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = items.repartition(tasks, "s3_key").join(profile_content(contents), "s3_key", "left").select(
         *items.columns, "content", "file_size", "file_hash", "row_count"
     )
     missing = F.col("file_hash").isNull()
