@@ -134,6 +134,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the input has fewer files than cores; large inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     """Run SQL over DataFrames given by the name the text uses for them."""
     text = text.replace("<bytes>", "CAST(octet_length(text) AS BIGINT)")
@@ -170,9 +176,8 @@ def from_events(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def work_item_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, WORK_ITEM_BODIES, listing=listing(spark, sf_dir)).withColumn(
-        "body", F.encode("body", "UTF-8")
-    )
+    bodies = _sql(spark, WORK_ITEM_BODIES, listing=listing(spark, sf_dir))
+    return spread(bodies, "doc_id").withColumn("body", F.encode("body", "UTF-8"))
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

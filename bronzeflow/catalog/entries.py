@@ -515,7 +515,7 @@ def lineitem_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
-    return adapters.from_events(spark, sf, adapters.RECORDS)
+    return adapters.spread(adapters.from_events(spark, sf, adapters.RECORDS), "event_id")
 
 
 def record_validate(spark: SparkSession, sf: str) -> DataFrame:
@@ -698,7 +698,9 @@ def ingest_run(spark: SparkSession, sf: str) -> DataFrame:
         return bronze.attach_content(items, contents)
 
     stream = queue.read_queue(spark, "parquet", {"path": f"{root}/queue"}, "value string")
-    queue.run_worker(stream, tables, store, CONTEXT, f"{root}/checkpoint").awaitTermination()
+    queue.run_worker(
+        stream, tables, store, CONTEXT, f"{root}/checkpoint", packed=True
+    ).awaitTermination()
     worked = worker.tracking_table(spark, tables).select(
         "partition_key", "row_key", "status", "completed_at"
     )

@@ -29,7 +29,7 @@ Store = Callable[[DataFrame], DataFrame]
 
 _BRONZE_KEYS = (
     "storage_path string, s3_key string, error_class string, "
-    "batch_id int, source string, dataset string, ingestion_date string"
+    "batch_id int, source string, ingestion_date string"
 )
 _DEAD_LETTER = "correlation_id string, error_type string, file_reference string, failure_reason string"
 
@@ -121,8 +121,13 @@ def run_batch(
     store: Store,
     ctx: RunContext,
     batch_id: int,
+    packed: bool = False,
 ) -> None:
-    """Process one batch and write all its outputs, in order."""
+    """Process one batch and write all its outputs, in order.
+
+    ``packed`` keeps many small objects in few bronze files instead of a
+    folder per dataset.
+    """
     log = read_table(spark, tables.lifecycle, tracking.EVENT_SCHEMA + ", batch_id int")
     # a path carries its date, so only today's partition can hold an owner
     held = read_table(spark, tables.bronze, _BRONZE_KEYS).filter(
@@ -142,7 +147,11 @@ def run_batch(
     refusal = guard.collision_reason()
 
     stored = store(admitted)
-    write_batch(bronze.with_partitions(stored, ctx.run_date), tables.bronze, batch_id, bronze.BRONZE_PARTITIONS)
+    by_dataset = "content" in stored.columns and not packed
+    folders = bronze.BRONZE_PARTITIONS if by_dataset else bronze.PACKED_PARTITIONS
+    write_batch(
+        bronze.with_partitions(stored, ctx.run_date), tables.bronze, batch_id, folders
+    )
     kept = read_batch(spark, tables.bronze, batch_id, stored.drop("content").schema)
     kept = kept.drop(*bronze.BRONZE_PARTITIONS)
     copied = kept.filter(F.col("error_class").isNull())

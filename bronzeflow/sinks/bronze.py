@@ -132,7 +132,10 @@ def with_partitions(stored: DataFrame, run_date: str) -> DataFrame:
     )
 
 
+# Folders of the bronze layer. A folder per dataset suits large files; thousands
+# of small objects, or rows without content, are packed under their date instead.
 BRONZE_PARTITIONS = ("source", "dataset", "ingestion_date")
+PACKED_PARTITIONS = ("source", "ingestion_date")
 
 
 def manifest(bronze: DataFrame) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bronzeflow.operators.once import compute_once
 from bronzeflow.operators.skew import spread_join
 
 CORRUPT = "_corrupt"
@@ -115,56 +116,63 @@ def read_csv_maps(spark: SparkSession, path: str) -> DataFrame:
         )
         .filter(F.col("line") != "")
     )
-    order = F.struct("block", "position")
     headers = lines.groupBy("source_file").agg(
         F.min(F.struct("block", "position", "line")).alias("_first")
     )
     widest = headers.agg(F.max(F.size(F.split("_first.line", ",")))).first()[0] or 1
-    headers = headers.select(
+    names = _with_fields(headers.selectExpr("source_file", "_first", "_first.line AS line"), widest)
+    names = names.select(
         "source_file",
         F.struct("_first.block", "_first.position").alias("_at"),
-        _fields(F.col("_first.line"), widest).alias("_names"),
+        F.col("fields").alias("names"),
     )
-    joined = spread_join(lines, headers, ["source_file"], "inner", spread=["block", "position"])
-    rows = joined.filter(order != F.col("_at"))
-    return rows.select(
-        "source_file", _zip_last(F.col("_names"), _fields(F.col("line"), widest)).alias("row")
+    joined = spread_join(lines, names, ["source_file"], "inner", spread=["block", "position"])
+    rows = joined.filter(F.struct("block", "position") != F.col("_at"))
+    return _with_fields(rows, widest).selectExpr(
+        "source_file", f"{_zip_last('names', 'fields')} AS row"
     )
 
 
-def _fields(line: Column, width: int) -> Column:
-    """Fields of one CSV line, up to ``width``; an empty field is empty text."""
-    schema = ", ".join(f"c{i} string" for i in range(width + 1))
-    parsed = F.from_csv(F.concat(line, F.lit("," + _END)), schema)
-    tokens = F.array(*[parsed[f"c{i}"] for i in range(width + 1)])
-    # the mark is a field of its own, or the tail of a field whose quote never closes
-    marked = F.transform(tokens, lambda t: F.coalesce(t.endswith(_END), F.lit(False)))
-    end = F.array_position(marked, True).cast("int")
-    alone = F.array_contains(tokens, _END)
-    present = F.slice(
-        tokens, 1, F.when(end == 0, width).when(alone, end - 1).otherwise(end)
+def _with_fields(lines: DataFrame, width: int) -> DataFrame:
+    """Add ``fields``: the first ``width`` fields of a CSV line; an empty field is empty text.
+
+    A mark is put behind the line. It comes out as a field of its own, or as
+    the tail of a field whose quote never closes, and tells where the line ends.
+    """
+    columns = [f"c{i}" for i in range(width + 1)]
+    schema = ", ".join(f"{c} string" for c in columns)
+    parsed = F.from_csv(F.concat("line", F.lit("," + _END)), schema)
+    tokens = f"array({', '.join(f'_csv.{c}' for c in columns)})"
+    marked = f"transform({tokens}, t -> coalesce(endswith(t, '{_END}'), false))"
+    split = (
+        compute_once(lines, "_csv", parsed)
+        .withColumn("_tokens", F.expr(tokens))
+        .withColumn("_end", F.expr(f"CAST(array_position({marked}, true) AS INT)"))
     )
-    return F.transform(
-        present, lambda t: F.regexp_replace(F.coalesce(t, F.lit("")), f",{_END}$", "")
+    last = (
+        f"CASE WHEN _end = 0 THEN {width} "
+        f"WHEN element_at(_tokens, _end) = '{_END}' THEN _end - 1 ELSE _end END"
     )
+    plain = f"if(endswith(t, ',{_END}'), substr(t, 1, length(t) - 2), coalesce(t, ''))"
+    fields = F.expr(f"transform(slice(_tokens, 1, {last}), t -> {plain})")
+    return split.withColumn("fields", fields).select(*lines.columns, "fields")
 
 
-def _zip_last(names: Column, values: Column) -> Column:
-    pairs = F.slice(F.arrays_zip(names.alias("k"), values.alias("v")), 1,
-                    F.least(F.size(names), F.size(values)))
-    keys = F.transform(pairs, lambda p: p["k"])
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), p["k"]),
-    )
-    return F.map_from_entries(last)
+def _zip_last(names: str, values: str) -> str:
+    """Map of names to values as far as both go; of equal names the last counts."""
+    count = f"least(size({names}), size({values}))"
+    pairs = f"slice(arrays_zip({names}, {values}), 1, {count})"
+    later = f"slice({names}, i + 2, greatest({count} - i - 1, 0))"
+    unique = f"size(array_distinct({names})) = size({names})"
+    last = f"filter({pairs}, (p, i) -> NOT array_contains({later}, p.{names}))"
+    return f"map_from_entries(CASE WHEN {unique} THEN {pairs} ELSE {last} END)"
 
 
 def flatten_api(documents: DataFrame, body: str, keep: list[str]) -> DataFrame:
     """One record map per row of {"headers": [...], "data": [[...], ...]} documents."""
     parsed = F.from_json(body, "headers array<string>, data array<array<string>>")
     return (
-        documents.select(*keep, parsed.alias("_doc"))
-        .select(*keep, F.col("_doc.headers").alias("_names"), F.explode("_doc.data").alias("_row"))
-        .select(*keep, _zip_last(F.col("_names"), F.col("_row")).alias("record"))
+        compute_once(documents.select(*keep, body), "_doc", parsed)
+        .select(*keep, F.col("_doc.headers").alias("names"), F.explode("_doc.data").alias("fields"))
+        .selectExpr(*keep, f"{_zip_last('names', 'fields')} AS record")
     )

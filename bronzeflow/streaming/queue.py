@@ -37,12 +37,12 @@ def dedupe_records(records: DataFrame, site: str, measured: str, window: str = "
 
 def run_worker(
     work_messages: DataFrame, tables: Tables, store: Store, ctx: RunContext, checkpoint: str,
-    every: str | None = None,
+    every: str | None = None, packed: bool = False,
 ) -> StreamingQuery:
     """Process a queue stream batch by batch; without ``every`` until it is drained."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        run_batch(df.sparkSession, df, tables, store, ctx, batch_id)
+        run_batch(df.sparkSession, df, tables, store, ctx, batch_id, packed)
 
     writer = work_messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
