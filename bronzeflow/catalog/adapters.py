@@ -1,7 +1,7 @@
 """The driver's tables in the shapes of the ingestion data model.
 
-The SQL here is plain enough for Spark and DuckDB alike; ``<bytes>`` and
-``<sha256>`` stand for the two functions that differ.
+The SQL here is plain enough for Spark and DuckDB alike; ``<bytes>``,
+``<sha256>`` and ``<versions>`` stand for the functions that differ.
 """
 
 from __future__ import annotations
@@ -50,10 +50,13 @@ FROM listing JOIN labels USING (doc_id)
 """
 
 TRACKING_VERSIONS = """
-SELECT doc_id, site_id, CAST(site_id AS VARCHAR(9)) AS partition_key, key AS s3_key, v AS version,
-  CASE WHEN toxic = 1 AND v = 1 + quality + toxic THEN 'failed' ELSE 'completed' END AS status
-FROM listing JOIN labels USING (doc_id) JOIN (VALUES (1), (2), (3)) AS t(v)
-  ON v <= 1 + quality + toxic
+SELECT doc_id, site_id, partition_key, s3_key, version,
+  CASE WHEN toxic = 1 AND version = newest THEN 'failed' ELSE 'completed' END AS status
+FROM (
+  SELECT doc_id, site_id, CAST(site_id AS VARCHAR(9)) AS partition_key, key AS s3_key, toxic,
+    1 + quality + toxic AS newest, <versions> AS version
+  FROM listing JOIN labels USING (doc_id)
+)
 """
 
 LIFECYCLE = """
@@ -143,6 +146,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     """Run SQL over DataFrames given by the name the text uses for them."""
     text = text.replace("<bytes>", "CAST(octet_length(text) AS BIGINT)")
+    text = text.replace("<versions>", "explode(sequence(1, 1 + quality + toxic))")
     text = text.replace("<sha256>", "sha2(key, 256)").replace("{", "{{").replace("}", "}}")
     for name in tables:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}} AS {name}")

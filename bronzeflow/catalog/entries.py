@@ -126,10 +126,8 @@ def incremental_detect(spark: SparkSession, sf: str) -> DataFrame:
     changed = incremental.detect_changes(
         adapters.csv_listing(spark, sf), adapters.tracking_base(spark, sf)
     )
-    dated, skipped = incremental.split_dated(changed)
-    names = ["site_id", "key", "size", "last_modified"]
-    return dated.select(*names, F.lit(True).alias("enqueue")).unionByName(
-        skipped.select(*names, F.lit(False).alias("enqueue"))
+    return changed.select(
+        "site_id", "key", "size", "last_modified", incremental.is_dated().alias("enqueue")
     )
 
 
@@ -463,7 +461,8 @@ def _dispatch(spark: SparkSession, sf: str) -> dispatcher.Dispatch:
     sites = listing.sites_from_text(spark, "9068,9069,9070,9071,9999,1234").select("site_id")
     status = sites.select("site_id", (F.col("site_id") != 9999).alias("listing_ok"))
     return dispatcher.dispatch(
-        sites, status, adapters.csv_listing(spark, sf).filter(F.col("site_id") != 9071),
+        sites, status,
+        adapters.csv_listing(spark, sf).drop("text").filter(F.col("site_id") != 9071),
         adapters.tracking_base(spark, sf), CONTEXT,
     )
 
@@ -631,11 +630,7 @@ def mapping_sentinel(spark: SparkSession, sf: str) -> DataFrame:
         F.when(kind == "view", "unknown").when(kind == "click", "v1").when(kind == "error", "v")
         .otherwise("v12").alias("mapping_version"),
     )
-    legal = F.col("mapping_version").rlike(r"^(v[0-9]+|unknown)\n?\z")
-    marked = rows.withColumn("legal", legal)
-    warned = metrics.sentinel_warnings(marked, "mapping_version", ["day"])
-    illegal = marked.groupBy("day").agg(F.count_if(~F.col("legal")).alias("illegal"))
-    return warned.join(illegal, "day")
+    return metrics.sentinel_warnings(rows, "mapping_version", ["day"])
 
 
 def api_flatten(spark: SparkSession, sf: str) -> DataFrame:

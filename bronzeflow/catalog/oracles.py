@@ -16,7 +16,8 @@ _DATE = CONTEXT.run_date
 
 
 def _plain(text: str) -> str:
-    return text.replace("<bytes>", "strlen(text)").replace("<sha256>", "sha256(key)")
+    text = text.replace("<bytes>", "strlen(text)").replace("<sha256>", "sha256(key)")
+    return text.replace("<versions>", "unnest(range(1, 2 + quality + toxic))")
 
 
 def _category(name: str, site: str) -> str:

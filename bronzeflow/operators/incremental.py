@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzeflow.functions import keys
-from bronzeflow.operators.skew import skew_join
+from bronzeflow.operators.skew import skew_join, spread_join
 
 NEW, RETRY_EMIT, DUPLICATE = "NEW", "RETRY_EMIT", "DUPLICATE"
 RECORD_KEY = ["partition_date", "record_key"]
@@ -36,8 +36,11 @@ def detect_changes(listing: DataFrame, tracking_base: DataFrame) -> DataFrame:
 
 def split_dated(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(files that carry a last_modified, files skipped because they do not)."""
-    dated = F.coalesce(F.col("last_modified"), F.lit("")) != ""
-    return files.filter(dated), files.filter(~dated)
+    return files.filter(is_dated()), files.filter(~is_dated())
+
+
+def is_dated() -> Column:
+    return F.coalesce(F.col("last_modified"), F.lit("")) != ""
 
 
 def unique_work_items(items: DataFrame) -> DataFrame:
@@ -46,11 +49,11 @@ def unique_work_items(items: DataFrame) -> DataFrame:
     The bytes copied are the object's present ones whichever item asks for
     them, and two items would resolve the same version.
     """
-    rest = [c for c in items.columns if c != "s3_key"]
-    last = F.max_by(F.struct(*rest), F.struct("last_modified", "enqueued_at", "correlation_id"))
+    order = ["last_modified", "enqueued_at", "correlation_id"]
+    rest = [c for c in items.columns if c not in ("s3_key", *order)]
     return (
         items.groupBy("s3_key")
-        .agg(last.alias("_last"))
+        .agg(F.max(F.struct(*order, *rest)).alias("_last"))
         .select(*[c if c == "s3_key" else F.col(f"_last.{c}").alias(c) for c in items.columns])
     )
 
@@ -162,7 +165,8 @@ def purge_expired(store: DataFrame, as_of: str, ttl_days: int) -> DataFrame:
 
 def unseen_windows(files: DataFrame, seen: DataFrame) -> DataFrame:
     """Files whose (site_id, date_window) is not stored; a missing store fails the run."""
-    return files.join(seen.select("site_id", "date_window"), ["site_id", "date_window"], "left_anti")
+    key = ["site_id", "date_window"]
+    return spread_join(files, seen.select(*key).distinct(), key, "left_anti", spread=files.columns)
 
 
 def within_lookback(records: DataFrame, ts: str, run_ts: str, hours: int = 24) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bronzeflow.contracts import MAPPING_VERSION
+from bronzeflow.operators.incremental import is_dated
+from bronzeflow.operators.schema import java_pattern
 from bronzeflow.operators.skew import spread_join
 
 STAGES = ("discovered", "downloaded", "stored", "emitted", "failed")
@@ -39,9 +42,8 @@ def site_outcomes(
     row per file; changed files without a date are not enqueued. Joins run on one row per site.
     """
     counts = listed.groupBy("site_id").agg(F.count(F.lit(1)).alias("_listed"))
-    dated = F.coalesce(F.col("last_modified"), F.lit("")) != ""
     todo = changed.groupBy("site_id").agg(
-        F.count(F.lit(1)).alias("_changed"), F.count_if(dated).alias("_dated")
+        F.count(F.lit(1)).alias("_changed"), F.count_if(is_dated()).alias("_dated")
     )
     ok = F.coalesce(F.col("listing_ok"), F.lit(False))
 
@@ -111,9 +113,11 @@ def slow_runs(metrics: DataFrame, limit_ms: float) -> DataFrame:
 
 
 def sentinel_warnings(events: DataFrame, mapping_version: str, by: list[str]) -> DataFrame:
-    """How often the mapping version is the sentinel ``unknown``."""
+    """How often the mapping version is the sentinel ``unknown``, and how often illegal."""
+    version = F.col(mapping_version)
     return events.groupBy(*by).agg(
-        F.count_if(F.col(mapping_version) == "unknown").alias("unknown_mapping_versions")
+        F.count_if(version == "unknown").alias("unknown_mapping_versions"),
+        F.count_if(~version.rlike(java_pattern(MAPPING_VERSION))).alias("illegal"),
     )
 
 

@@ -11,6 +11,7 @@ from bronzeflow.context import RunContext
 from bronzeflow.functions import keys
 from bronzeflow.operators import builders, incremental, metrics, tracking
 from bronzeflow.operators.schema import first_error
+from bronzeflow.workspace import materialize
 
 
 @dataclass(frozen=True)
@@ -35,9 +36,10 @@ def dispatch(
     """Plan a run over the CSV listing (site_id, key, size, last_modified) of the sites.
 
     A built work item is checked before its object is marked queued, so an
-    invalid one is reported and does not come back as stuck on every run.
+    invalid one is reported and does not come back as stuck on every run. The
+    changed files, which all outputs start from, are written once.
     """
-    changed = incremental.detect_changes(listing, tracking_base)
+    changed = materialize(incremental.detect_changes(listing, tracking_base), "changed")
     dated, skipped = incremental.split_dated(changed)
     checked = builders.check_built_work_items(builders.work_items(dated, ctx))
     valid = checked.filter(F.size("errors") == 0).drop("errors")

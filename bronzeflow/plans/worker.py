@@ -196,10 +196,13 @@ def run_batch(
     write_batch(letters, tables.dead_letters, batch_id, ("error_type",))
 
     known = ["site_id", "s3_key", "version"]
+    step = batch_id * 10  # batches of one run share its timestamp and follow each other by seq
     write_batch(
-        lifecycle(attempts, tracking.PROCESSING, ctx, 1)
-        .unionByName(completed_events(published, ctx, 2))
-        .unionByName(lifecycle(routed.filter("mark_failed").select(*known), tracking.FAILED, ctx, 3)),
+        lifecycle(attempts, tracking.PROCESSING, ctx, step + 1)
+        .unionByName(completed_events(published, ctx, step + 2))
+        .unionByName(
+            lifecycle(routed.filter("mark_failed").select(*known), tracking.FAILED, ctx, step + 3)
+        ),
         tables.lifecycle,
         batch_id,
     )

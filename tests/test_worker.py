@@ -112,6 +112,18 @@ def test_path_stays_with_its_first_owner_across_batches(spark, setup):
     }
 
 
+def test_batches_of_one_run_follow_each_other(spark, setup):
+    run, tables = setup
+    run([BATCH[2]], 0)
+    run([BATCH[2], BATCH[0]], 1)
+    log = spark.read.parquet(tables.lifecycle)
+    row = tracking.fold_base(log).join(
+        spark.createDataFrame([(CONTENTS[1][0],)], "k string"), F.expr(keys.row_key("k")) == F.col("row_key")
+    ).first()
+    last = log.filter(F.col("s3_key") == CONTENTS[1][0]).orderBy(F.desc("seq")).first()
+    assert row.status == last.kind == "completed" and last.version == 2
+
+
 def test_only_bad_messages(spark, setup):
     run, tables = setup
     run(BATCH[5:], 0)
