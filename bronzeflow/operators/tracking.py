@@ -125,3 +125,27 @@ def as_events(
 def apply_events(base: DataFrame, events: DataFrame, before: str) -> DataFrame:
     """Base table after a batch of events."""
     return fold_base(snapshot_events(base, before).unionByName(events))
+
+
+def compact(events: DataFrame, at: str) -> DataFrame:
+    """A short log that folds to the same base and version rows.
+
+    All events have to be older than ``at``, and later ones newer. Replaces a
+    grown log: at most three events per version and one per object remain.
+    """
+    ts = F.lit(at).cast("timestamp")
+    versions = fold_versions(events)
+    names = ["partition_key", "s3_key", "version", *_COMPLETED_COLUMNS]
+    columns = {c: F.col(c) for c in names} | {"row_key": F.sha2("s3_key", 256)}
+    identity = {c: columns[c] for c in ("partition_key", "s3_key", "version", "row_key")}
+    details = F.coalesce(*[F.col(c).cast("string") for c in _COMPLETED_COLUMNS])
+    detailed = details.isNotNull() | (F.col("status") == COMPLETED)
+    named = versions.filter(F.col("file_name").isNotNull())
+    log = as_events(named, PROCESSING, ts, identity, F.lit(0)).unionByName(
+        as_events(versions.filter(detailed), COMPLETED, ts, columns, F.lit(1))
+    )
+    for status in (PROCESSING, FAILED):
+        ended = versions.filter(F.col("status") == status)
+        log = log.unionByName(as_events(ended, status, ts, identity, F.lit(2)))
+    base = {c: F.col(c) for c in BASE_COLUMNS}
+    return log.unionByName(as_events(fold_base(events), SNAPSHOT, ts, base, F.lit(3)))

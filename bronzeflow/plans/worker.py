@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from bronzeflow import contracts
 from bronzeflow.context import RunContext
 from bronzeflow.functions import keys
-from bronzeflow.operators import builders, failures, guard, incremental, messages, tracking
+from bronzeflow.operators import (
+    builders, failures, guard, incremental, messages, metrics, tracking,
+)
 from bronzeflow.operators.schema import first_error
 from bronzeflow.sinks import bronze
 from bronzeflow.sinks.messages import event_messages
@@ -31,6 +33,10 @@ _BRONZE_KEYS = (
     "storage_path string, s3_key string, error_class string, "
     "batch_id int, source string, ingestion_date string"
 )
+_OUTCOME = (
+    "correlation_id string, s3_key string, discovered boolean, downloaded boolean, "
+    "stored boolean, emitted boolean, failed boolean, redeliver boolean, batch_id int"
+)
 _DEAD_LETTER = "correlation_id string, error_type string, file_reference string, failure_reason string"
 
 
@@ -206,11 +212,12 @@ def run_batch(
         tables.lifecycle,
         batch_id,
     )
+    copied_anyway = F.col("stage").isin("metadata", "envelope")
+    rejected = prepared.checked.filter(F.col("stage").isNotNull())
     write_batch(
-        published.select("correlation_id", "s3_key", F.lit("emitted").alias("outcome"),
-                         F.lit(False).alias("redeliver"))
-        .unionByName(routed.select("correlation_id", "s3_key", F.lit("failed").alias("outcome"),
-                                   "redeliver")),
+        _outcome(published, F.lit(True), F.lit(True), F.lit(False))
+        .unionByName(_outcome(routed, copied_anyway, F.lit(False), F.col("redeliver")))
+        .unionByName(_outcome(rejected, F.lit(False), F.lit(False), F.lit(False))),
         tables.outcomes,
         batch_id,
     )
@@ -233,10 +240,35 @@ def _failure(rows: DataFrame, stage: Column, reason: Column, transient: Column)
     )
 
 
+def _outcome(rows: DataFrame, stored: Column, emitted: Column, redeliver: Column) -> DataFrame:
+    return rows.select(
+        "correlation_id",
+        "s3_key",
+        F.lit(False).alias("discovered"),
+        stored.alias("downloaded"),
+        stored.alias("stored"),
+        emitted.alias("emitted"),
+        (~emitted).alias("failed"),
+        redeliver.alias("redeliver"),
+    )
+
+
 def redelivered(spark: SparkSession, tables: Tables) -> DataFrame:
     """Keys whose failure was transient, for the caller to deliver again."""
-    outcome = "correlation_id string, s3_key string, outcome string, redeliver boolean, batch_id int"
-    return read_table(spark, tables.outcomes, outcome).filter("redeliver")
+    return read_table(spark, tables.outcomes, _OUTCOME).filter("redeliver")
+
+
+def run_counters(spark: SparkSession, tables: Tables, ctx: RunContext) -> DataFrame:
+    """Counters per correlation id over all batches, rejected messages included."""
+    log = read_table(spark, tables.outcomes, _OUTCOME).withColumn("ts", F.lit(ctx.run_ts))
+    counters = metrics.run_metrics(log, "PVDAQ-historical-worker", "ts", "ts")
+    return counters.withColumn("duration_ms", F.lit(ctx.elapsed_seconds * 1000.0))
+
+
+def compact_log(spark: SparkSession, tables: Tables, target: Tables, at: str) -> None:
+    """Write the lifecycle log in short form as batch 0 of ``target``."""
+    log = read_table(spark, tables.lifecycle, T.StructType.fromDDL(tracking.EVENT_SCHEMA))
+    write_batch(tracking.compact(log, at), target.lifecycle, 0)
 
 
 def dead_letter_table(spark: SparkSession, tables: Tables) -> DataFrame:

@@ -60,6 +60,18 @@ def test_version_counts_completed_only(spark):
         assert got == {(1, "a"): 3, (1, "b"): 1, (1, "c"): 1, (2, "a"): 1}
 
 
+def test_point_read_prunes_and_pushes(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    rows = [("1", "a", 1), ("1", "b'c", 2), ("2", "a", 3)]
+    df = spark.createDataFrame(rows, "partition_key string, s3_key string, version int")
+    df.write.partitionBy("partition_key").parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    found = incremental.tracked_versions(stored, 1, "b'c")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_key" in plan and "EqualTo(s3_key,b'c)" in plan
+    assert [r.version for r in found.collect()] == [2]
+
+
 def test_latest_state_of_repeated_work_items(spark):
     items = spark.createDataFrame(
         [("a", "d1", "t1", "c1"), ("a", "d2", "t0", "c2"), ("a", "d2", "t0", "c2"), ("b", None, "t", "c")],

@@ -82,6 +82,10 @@ def test_batch(spark, setup):
         ("malformed_body", "�"), ("validation_failure", '{"site_id": 0, "s3_k'),
     ]
     assert worker.redelivered(spark, tables).count() == 0
+    counters = {r.correlation_id: r for r in worker.run_counters(spark, tables, CONTEXT).collect()}
+    row = counters[ID]
+    assert (row.datasets_downloaded, row.datasets_stored, row.datasets_emitted, row.datasets_failed) == (2, 2, 2, 3)
+    assert counters["unknown"].datasets_failed == 1
     stored = spark.read.parquet(tables.bronze).filter("error_class IS NULL").collect()
     assert {(r.dataset, r.ingestion_date.isoformat(), bytes(r.content)) for r in stored} == {
         ("9068_ac_power", CONTEXT.run_date, b"a,b\n1,2\n"), ("9068_irr", CONTEXT.run_date, b"x\n")
@@ -102,6 +106,18 @@ def test_replay_repeats_itself_and_later_batch_counts_up(spark, setup):
     assert newest[0]["id"] not in first
 
 
+def test_compacted_log_folds_to_the_same_state(spark, setup, tmp_path):
+    run, tables = setup
+    run(BATCH, 0)
+    run(BATCH[:3], 1)
+    short = worker.Tables(str(tmp_path / "short"))
+    worker.compact_log(spark, tables, short, "2025-01-01T00:00:00+00:00")
+    logs = [spark.read.parquet(t.lifecycle) for t in (tables, short)]
+    for fold in (tracking.fold_base, tracking.fold_versions):
+        old, new = [sorted(map(repr, fold(log).collect())) for log in logs]
+        assert old == new
+
+
 def test_path_stays_with_its_first_owner_across_batches(spark, setup):
     run, tables = setup
     run([BATCH[3]], 0)
