@@ -50,7 +50,7 @@ FROM listing JOIN labels USING (doc_id)
 """
 
 TRACKING_VERSIONS = """
-SELECT doc_id, site_id, partition_key, s3_key, version,
+SELECT doc_id, site_id, partition_key, s3_key, CAST(version AS INT) AS version,
   CASE WHEN toxic = 1 AND version = newest THEN 'failed' ELSE 'completed' END AS status
 FROM (
   SELECT doc_id, site_id, CAST(site_id AS VARCHAR(9)) AS partition_key, key AS s3_key, toxic,

@@ -175,7 +175,7 @@ _RUN_LOG = """
   FROM events GROUP BY 1"""
 
 _OUTCOMES = """
-  SELECT s.site_id,
+  SELECT CAST(s.site_id AS BIGINT) AS site_id,
     CASE WHEN s.site_id = 9999 THEN 'failed' WHEN coalesce(n, 0) = 0 THEN 'empty'
       WHEN coalesce(todo, 0) = 0 THEN 'unchanged' ELSE 'enqueued' END AS outcome,
     CAST(coalesce(n, 0) AS BIGINT) AS discovered, CAST(coalesce(dated, 0) AS BIGINT) AS enqueued
@@ -599,7 +599,7 @@ def oracle_sql() -> dict[str, str]:
     sql["record_dead_letters"] = _with(
         "records",
         f"""SELECT payload AS original_payload, 'validation_failure' AS error_type,
-          len(violations) AS errors, true AS explained, '{CONTEXT.correlation_id}' AS correlation_id,
+          CAST(len(violations) AS INT) AS errors, true AS explained, '{CONTEXT.correlation_id}' AS correlation_id,
           CASE WHEN json_type(doc, '$.SiteID') IN ('UBIGINT', 'BIGINT')
             THEN CAST(json_extract_string(doc, '$.SiteID') AS BIGINT) END AS site_id,
           '{_RUN}' AS timestamp, 'PVDAQ' AS source_vendor, 'v1' AS schema_version

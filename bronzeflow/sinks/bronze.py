@@ -39,13 +39,56 @@ def copy_objects(items: DataFrame, source: str, root: str, tasks: int | None = N
     spark = items.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType([*items.schema.fields, *RESULT_FIELDS])
-    names = [f.name for f in RESULT_FIELDS]
+    copier = _copier(source, root.rstrip("/"), [f.name for f in RESULT_FIELDS], CHUNK)
+    return items.repartition(tasks, "storage_path").mapInPandas(copier, schema)
+
+
+def _copier(source: str, root: str, names: list[str], chunk_size: int):
+    """The function run in tasks; it is self-contained, so executors need no copy of this package."""
+
+    def locate(uri: str) -> tuple[fs.FileSystem, str]:
+        if uri.startswith("file:"):
+            return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+        if "://" not in uri:
+            return fs.LocalFileSystem(), uri
+        return fs.FileSystem.from_uri(uri)
+
+    def read(uri: str):
+        if uri.startswith(("http://", "https://")):
+            return urllib.request.urlopen(uri, timeout=300)
+        system, path = locate(uri)
+        return system.open_input_stream(path)
+
+    def copy_one(origin: str, target: str, attempt: int) -> tuple:
+        """(size, sha-256, newlines, error class, HTTP status, error text) of one copy."""
+        try:
+            system, path = locate(target)
+            with read(origin) as stream:
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                part = f"{path}.{attempt}.part"
+                digest, size, newlines = hashlib.sha256(), 0, 0
+                with system.open_output_stream(part) as out:
+                    while chunk := stream.read(chunk_size):
+                        digest.update(chunk)
+                        size += len(chunk)
+                        newlines += chunk.count(b"\n")
+                        out.write(chunk)
+            system.move(part, path)
+            return size, digest.hexdigest(), newlines, None, None, None
+        except FileNotFoundError:
+            return None, None, None, "SourceNotFound", 404, f"source not found: {origin}"
+        except urllib.error.HTTPError as error:
+            return None, None, None, "HTTPStatusError", error.code, str(error)
+        except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
+            return None, None, None, "TransportError", None, str(error)
+        except OSError as error:
+            return None, None, None, type(error).__name__, None, str(error)
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
             done = [
-                _copy_one(origin, f"{root.rstrip('/')}/{path}", attempt)
+                copy_one(origin, f"{root}/{path}", attempt)
                 for origin, path in zip(batch[source], batch["storage_path"])
             ]
             result = pd.DataFrame(done, columns=names, index=batch.index)
@@ -53,48 +96,7 @@ def copy_objects(items: DataFrame, source: str, root: str, tasks: int | None = N
                 result[name] = result[name].astype("Int64")
             yield pd.concat([batch, result], axis=1)
 
-    return items.repartition(tasks, "storage_path").mapInPandas(copy, schema)
-
-
-def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
-def _open(uri: str):
-    if uri.startswith(("http://", "https://")):
-        return urllib.request.urlopen(uri, timeout=300)
-    system, path = _file_system(uri)
-    return system.open_input_stream(path)
-
-
-def _copy_one(origin: str, target: str, attempt: int) -> tuple:
-    """(size, sha-256, newlines, error class, HTTP status, error text) of one copy."""
-    try:
-        system, path = _file_system(target)
-        with _open(origin) as stream:
-            system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            part = f"{path}.{attempt}.part"
-            digest, size, newlines = hashlib.sha256(), 0, 0
-            with system.open_output_stream(part) as out:
-                while chunk := stream.read(CHUNK):
-                    digest.update(chunk)
-                    size += len(chunk)
-                    newlines += chunk.count(b"\n")
-                    out.write(chunk)
-        system.move(part, path)
-        return size, digest.hexdigest(), newlines, None, None, None
-    except FileNotFoundError:
-        return None, None, None, "SourceNotFound", 404, f"source not found: {origin}"
-    except urllib.error.HTTPError as error:
-        return None, None, None, "HTTPStatusError", error.code, str(error)
-    except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
-        return None, None, None, "TransportError", None, str(error)
-    except OSError as error:
-        return None, None, None, type(error).__name__, None, str(error)
+    return copy
 
 
 def attach_content(
