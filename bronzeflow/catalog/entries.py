@@ -18,6 +18,7 @@ from bronzeflow.operators.schema import first_error
 from bronzeflow.plans import dispatcher, records, worker
 from bronzeflow.sinks import bronze
 from bronzeflow.sinks.messages import dead_letter_messages, event_messages, work_item_messages
+from bronzeflow.sinks.tables import Tables
 from bronzeflow.sources import files, listing
 from bronzeflow.streaming import queue
 from bronzeflow.workspace import materialize, scratch_dir
@@ -683,33 +684,24 @@ def event_dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_run(spark: SparkSession, sf: str) -> DataFrame:
     """Discovery, queue, worker batches and tracking over all objects; final base rows."""
-    run = _dispatch(spark, sf)
-    root = scratch_dir(spark, "run")
-    work_item_messages(run.work_items).select("value").write.parquet(f"{root}/queue")
-    tables = worker.Tables(root)
+    tables = Tables(scratch_dir(spark, "run"))
+    dispatcher.emit(_dispatch(spark, sf), tables, 0)
     contents = adapters.contents(spark, sf)
 
     def store(items: DataFrame) -> DataFrame:
         return bronze.attach_content(items, contents)
 
-    stream = queue.read_queue(spark, "parquet", {"path": f"{root}/queue"}, "value string")
+    stream = queue.read_queue(spark, "parquet", {"path": tables.queue}, "value string")
     queue.run_worker(
-        stream, tables, store, CONTEXT, f"{root}/checkpoint", packed=True
+        stream, tables, store, CONTEXT, f"{tables.root}/checkpoint", packed=True
     ).awaitTermination()
-    worked = worker.tracking_table(spark, tables).select(
-        "partition_key", "row_key", "status", "completed_at"
-    )
     letters = worker.dead_letter_table(spark, tables).groupBy(
         F.col("file_reference").alias("s3_key")
     ).agg(F.max("error_type").alias("error_type"))
-    sent = run.work_items.selectExpr(
-        "s3_key", f"{keys.partition_key('site_id')} AS partition_key",
-        f"{keys.row_key('s3_key')} AS row_key",
-    )
     return (
-        sent.join(worked, ["partition_key", "row_key"], "left")
+        worker.tracking_table(spark, tables)
         .join(letters, "s3_key", "left")
-        .select("s3_key", "status", "completed_at", "error_type")
+        .select("s3_key", "category", "last_modified", "status", "completed_at", "error_type")
     )
 
 

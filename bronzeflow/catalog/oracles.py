@@ -672,10 +672,12 @@ def oracle_sql() -> dict[str, str]:
     sql["event_dedupe_stream"] = "SELECT event_id, event_type AS category FROM events"
     sql["ingest_run"] = _with(
         "changed named",
-        f"""SELECT s3_key, CASE WHEN owner = s3_key THEN 'completed' ELSE 'failed' END AS status,
+        f"""SELECT s3_key, category, last_modified,
+          CASE WHEN owner = s3_key THEN 'completed' ELSE 'failed' END AS status,
           CASE WHEN owner = s3_key THEN '{_RUN}' END AS completed_at,
           CASE WHEN owner <> s3_key THEN 'dataset_failure' END AS error_type
-        FROM (SELECT key AS s3_key, min(key) OVER (PARTITION BY dataset_id) AS owner
+        FROM (SELECT key AS s3_key, category, last_modified,
+            min(key) OVER (PARTITION BY dataset_id) AS owner
           FROM named SEMI JOIN changed USING (doc_id)
           WHERE last_modified IS NOT NULL AND site_id <> 9071)""",
     )

@@ -11,6 +11,8 @@ from bronzeflow.context import RunContext
 from bronzeflow.functions import keys
 from bronzeflow.operators import builders, incremental, metrics, tracking
 from bronzeflow.operators.schema import first_error
+from bronzeflow.sinks.messages import work_item_messages
+from bronzeflow.sinks.tables import Tables, write_batch
 from bronzeflow.workspace import materialize
 
 
@@ -67,6 +69,16 @@ def dispatch(
     )
 
 
+def emit(run: Dispatch, tables: Tables, batch_id: int) -> None:
+    """Write the outputs of a run; objects are marked queued before their messages are sent."""
+    write_batch(run.queued_events, tables.queued, batch_id)
+    write_batch(work_item_messages(run.work_items), tables.queue, batch_id)
+    write_batch(run.skipped.select("site_id", "key"), tables.skipped, batch_id)
+    write_batch(run.rejected, tables.rejected, batch_id)
+    write_batch(run.site_outcomes, tables.site_outcomes, batch_id)
+    write_batch(run.run_metrics, tables.run_metrics, batch_id)
+
+
 def queued_events(items: DataFrame, ctx: RunContext) -> DataFrame:
     """Lifecycle events that replace the base rows of enqueued objects."""
     names = ["s3_key", "file_name", "category", "size", "last_modified", "enqueued_at",

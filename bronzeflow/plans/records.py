@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeflow.context import RunContext
 from bronzeflow.operators import incremental, messages, metrics
+from bronzeflow.sinks.tables import Tables, read_table, write_batch
+from bronzeflow.workspace import materialize
+
+_KEYS = "partition_date string, record_key string, correlation_id string, created_at string"
 
 
 @dataclass(frozen=True)
@@ -17,7 +21,6 @@ class RecordRun:
 
     emitted: DataFrame
     dead_letters: DataFrame
-    reserved: DataFrame
     stats: DataFrame
 
 
@@ -26,8 +29,8 @@ def process_records(
 ) -> RecordRun:
     """Plan a run over JSON payloads against the idempotency store.
 
-    New and pending keys are emitted; ``reserved`` are the rows to add to the
-    store as pending before the emission and completed after it.
+    New and pending keys are emitted. ``emit`` adds them to the store as pending
+    before the emission and as completed after it.
     """
     checked = messages.check_records(payloads)
     valid = checked.filter(F.size("errors") == 0).withColumns(
@@ -38,11 +41,6 @@ def process_records(
     )
     keyed = incremental.with_record_key(valid.drop("document", "errors"))
     emitted = incremental.reserve_first(keyed, store, order_by)
-    reserved = emitted.select(
-        "partition_date", "record_key",
-        F.lit(ctx.correlation_id).alias("correlation_id"),
-        F.lit(ctx.run_ts).alias("created_at"),
-    )
     counted = checked.selectExpr("1L AS retrieved", "size(errors) = 0 AS valid", "false AS emitted")
     sent = emitted.selectExpr("0L AS retrieved", "NULL AS valid", "true AS emitted")
     stats = metrics.invocation_stats(
@@ -52,6 +50,38 @@ def process_records(
     return RecordRun(
         emitted,
         messages.record_dead_letters(checked, ctx.correlation_id, ctx.run_ts, ctx.schema_version),
-        reserved,
         stats,
     )
+
+
+def emit(run: RecordRun, tables: Tables, ctx: RunContext, batch_id: int) -> None:
+    """Write the outputs in order: reserve, emit, complete.
+
+    A crash in between leaves keys pending, which the next run emits again. A
+    replay of the same batch must see the store without that batch.
+    """
+    emitted, stats = materialize(run.emitted, "emitted"), materialize(run.stats, "stats")
+    reserved = reserved_keys(emitted, ctx)
+    write_batch(reserved, tables.pending, batch_id)
+    write_batch(emitted, tables.record_events, batch_id)
+    write_batch(run.dead_letters, tables.record_dead_letters, batch_id)
+    write_batch(stats, tables.record_metrics, batch_id)
+    write_batch(reserved, tables.completed, batch_id)
+
+
+def reserved_keys(emitted: DataFrame, ctx: RunContext) -> DataFrame:
+    """Rows of the idempotency store for the records of a run."""
+    return emitted.select(
+        "partition_date", "record_key",
+        F.lit(ctx.correlation_id).alias("correlation_id"),
+        F.lit(ctx.run_ts).alias("created_at"),
+    )
+
+
+def read_store(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The idempotency store: pending and completed keys of all batches."""
+    pending = read_table(spark, tables.pending, _KEYS).select("partition_date", "record_key")
+    done = read_table(spark, tables.completed, _KEYS).select("partition_date", "record_key")
+    return pending.withColumn("status", F.lit("pending")).unionByName(
+        done.withColumn("status", F.lit("completed"))
+    )

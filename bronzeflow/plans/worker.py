@@ -24,7 +24,7 @@ from bronzeflow.operators import (
 from bronzeflow.operators.schema import first_error
 from bronzeflow.sinks import bronze
 from bronzeflow.sinks.messages import event_messages
-from bronzeflow.sinks.tables import read_batch, read_table, write_batch
+from bronzeflow.sinks.tables import Tables, read_batch, read_table, write_batch
 from bronzeflow.workspace import materialize
 
 Store = Callable[[DataFrame], DataFrame]
@@ -40,19 +40,6 @@ _OUTCOME = (
 _DEAD_LETTER = "correlation_id string, error_type string, file_reference string, failure_reason string"
 
 
-@dataclass(frozen=True)
-class Tables:
-    """Where a worker keeps its tables."""
-
-    root: str
-
-    def __getattr__(self, name: str) -> str:
-        if name not in {"attempts", "bronze", "sidecars", "events", "lifecycle", "dead_letters",
-                        "outcomes"}:
-            raise AttributeError(name)
-        return f"{self.root}/{name}"
-
-
 @dataclass(frozen=True)
 class Prepared:
     """A batch before any content is read."""
@@ -276,8 +263,10 @@ def dead_letter_table(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def tracking_table(spark: SparkSession, tables: Tables, base: DataFrame | None = None) -> DataFrame:
-    """Current base rows: lifecycle log folded, on top of a stored snapshot if given."""
-    log = read_table(spark, tables.lifecycle, T.StructType.fromDDL(tracking.EVENT_SCHEMA))
+    """Current base rows: queued marks and lifecycle log folded, on top of a snapshot if given."""
+    schema = T.StructType.fromDDL(tracking.EVENT_SCHEMA)
+    log = read_table(spark, tables.queued, schema).select(*schema.names)
+    log = log.unionByName(read_table(spark, tables.lifecycle, schema).select(*schema.names))
     if base is not None:
         log = tracking.snapshot_events(base, "1970-01-01").unionByName(log)
     return tracking.fold_base(log)

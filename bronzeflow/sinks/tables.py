@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+TABLES = {
+    "queued", "queue", "skipped", "rejected", "site_outcomes", "run_metrics",
+    "attempts", "bronze", "sidecars", "events", "lifecycle", "dead_letters", "outcomes",
+    "pending", "completed", "record_events", "record_dead_letters", "record_metrics",
+}
+
+
+@dataclass(frozen=True)
+class Tables:
+    """Folders of the tables a run keeps, by attribute."""
+
+    root: str
+
+    def __getattr__(self, name: str) -> str:
+        if name not in TABLES:
+            raise AttributeError(name)
+        return f"{self.root}/{name}"
+
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     """Write one batch to its own folder; a replayed batch replaces it."""

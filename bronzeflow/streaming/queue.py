@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bronzeflow.context import RunContext
 from bronzeflow.operators.incremental import with_record_key
-from bronzeflow.plans.worker import Store, Tables, run_batch
+from bronzeflow.plans.worker import Store, run_batch
+from bronzeflow.sinks.tables import Tables
 
 
 def read_queue(spark: SparkSession, fmt: str, options: dict[str, str], schema: str | None = None) -> DataFrame:

@@ -9,8 +9,10 @@ from bronzeflow.catalog.adapters import CONTEXT
 from bronzeflow.context import RunContext
 from bronzeflow.functions import keys
 from bronzeflow.operators import tracking
-from bronzeflow.plans import worker
+from bronzeflow.plans import dispatcher, records, worker
 from bronzeflow.sinks import bronze
+from bronzeflow.sinks.messages import publish, work_item_messages
+from bronzeflow.sinks.tables import Tables
 from bronzeflow.streaming import queue
 
 ID = "c0ffee00-0000-4000-8000-000000000001"
@@ -41,7 +43,7 @@ CONTENTS = [
 @pytest.fixture
 def setup(spark, tmp_path):
     contents = spark.createDataFrame(CONTENTS, "s3_key string, content binary")
-    tables = worker.Tables(str(tmp_path))
+    tables = Tables(str(tmp_path))
 
     def run(bodies, batch_id, ctx=CONTEXT):
         df = spark.createDataFrame([(b,) for b in bodies], "body binary")
@@ -110,7 +112,7 @@ def test_compacted_log_folds_to_the_same_state(spark, setup, tmp_path):
     run, tables = setup
     run(BATCH, 0)
     run(BATCH[:3], 1)
-    short = worker.Tables(str(tmp_path / "short"))
+    short = Tables(str(tmp_path / "short"))
     worker.compact_log(spark, tables, short, "2025-01-01T00:00:00+00:00")
     logs = [spark.read.parquet(t.lifecycle) for t in (tables, short)]
     for fold in (tracking.fold_base, tracking.fold_versions):
@@ -148,7 +150,7 @@ def test_only_bad_messages(spark, setup):
 
 
 def test_transient_store_failure_is_redelivered(spark, tmp_path):
-    tables = worker.Tables(str(tmp_path))
+    tables = Tables(str(tmp_path))
 
     def busy(items):
         return items.selectExpr(
@@ -168,7 +170,7 @@ def test_queue_stream_with_file_copies(spark, tmp_path):
     (source / "d").mkdir(parents=True)
     for key, content in CONTENTS:
         (source / key).write_bytes(content)
-    tables = worker.Tables(str(tmp_path / "tables"))
+    tables = Tables(str(tmp_path / "tables"))
     spark.createDataFrame([(b.decode(),) for b in BATCH[:5]], "value string").coalesce(1).write.parquet(
         str(tmp_path / "queue")
     )
@@ -209,3 +211,71 @@ def test_tracking_fold_of_a_stream(spark, sf_dir, tmp_path):
     assert sorted(map(repr, spark.table("base").collect())) == sorted(
         map(repr, tracking.fold_base(log).collect())
     )
+
+
+def test_records_are_emitted_once(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    good = '{"SiteID":5,"measdatetime":"2024-01-01T00:00:00"}'
+    rows = [(1, good), (2, good), (3, '{"SiteID":6,"measdatetime":"2024-01-01 00:05"}'), (4, "{bad")]
+    payloads = spark.createDataFrame(rows, "n int, payload string")
+
+    def run(batch_id):
+        planned = records.process_records(payloads, records.read_store(spark, tables), ["n"], CONTEXT)
+        records.emit(planned, tables, CONTEXT, batch_id)
+        return planned
+
+    run(0)
+    emitted = spark.read.parquet(tables.record_events).collect()
+    assert sorted((r.n, r.outcome) for r in emitted) == [(1, "NEW"), (3, "NEW")]
+    stats = spark.read.parquet(tables.record_metrics).first()
+    assert (stats.number_of_records_retrieved, stats.number_valid, stats.number_invalid, stats.number_emitted) == (4, 3, 1, 2)
+    assert spark.read.parquet(tables.record_dead_letters).first().original_payload == "{bad"
+    run(1)
+    assert spark.read.parquet(f"{tables.record_events}/batch_id=1").count() == 0
+
+
+def test_pending_records_are_emitted_again(spark, tmp_path):
+    payloads = spark.createDataFrame([(1, '{"SiteID":5,"measdatetime":"2024-01-01T00:00:00"}')], "n int, payload string")
+    store = spark.createDataFrame(
+        [("2024-01-01", "5_2024-01-01T00:00:00", "pending")], "partition_date string, record_key string, status string"
+    )
+    planned = records.process_records(payloads, store, ["n"], CONTEXT)
+    assert [r.outcome for r in planned.emitted.collect()] == ["RETRY_EMIT"]
+
+
+def test_dispatch_to_tables(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    sites = spark.createDataFrame([(9068,), (9069,)], "site_id bigint")
+    status = spark.createDataFrame([(9068, True), (9069, False)], "site_id bigint, listing_ok boolean")
+    files = spark.createDataFrame(
+        [(9068, "p/9068_ac_power_data.csv", 5, "2024-01-15T12:00:00Z"), (9068, "p/9068_b_data.csv", 5, ""),
+         (9068, "p/9068_c_data.csv", 5, "yesterday")],
+        "site_id bigint, key string, size bigint, last_modified string",
+    )
+    base = spark.createDataFrame(
+        [], "partition_key string, row_key string, s3_key string, size bigint, last_modified string, status string"
+    )
+    dispatcher.emit(dispatcher.dispatch(sites, status, files, base, CONTEXT), tables, 0)
+    item = json.loads(spark.read.parquet(tables.queue).first().value)
+    assert list(item) == ["site_id", "s3_key", "file_name", "category", "correlation_id", "enqueued_at", "last_modified"]
+    assert item["category"] == "ac_power"
+    assert [r.key for r in spark.read.parquet(tables.skipped).collect()] == ["p/9068_b_data.csv"]
+    assert [r.s3_key for r in spark.read.parquet(tables.rejected).collect()] == ["p/9068_c_data.csv"]
+    outcomes = {r.site_id: r.outcome for r in spark.read.parquet(tables.site_outcomes).collect()}
+    assert outcomes == {9068: "enqueued", 9069: "failed"}
+    assert spark.read.parquet(tables.run_metrics).first().datasets_discovered == 3
+    row = worker.tracking_table(spark, tables).first()
+    assert (row.status, row.s3_key, row.size) == ("queued", "p/9068_ac_power_data.csv", 5)
+
+
+def test_publish_appends(spark, tmp_path):
+    items = spark.createDataFrame(
+        [(1, "k", "f", "c", ID, "t", None)],
+        "site_id bigint, s3_key string, file_name string, category string, correlation_id string, "
+        "enqueued_at string, last_modified string",
+    )
+    for _ in range(2):
+        publish(work_item_messages(items), "parquet", {"path": str(tmp_path / "out")})
+    sent = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(sent) == 2 and json.loads(sent[0].value)["last_modified"] is None
+    assert {h.key: bytes(h.value) for h in sent[0].headers}["subject"] == b"historical_work_item"
