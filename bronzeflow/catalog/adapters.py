@@ -138,9 +138,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the input has fewer files than cores; large inputs stay as read."""
+    """Rows over all cores when the scan has fewer splits than cores; large inputs stay as read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:

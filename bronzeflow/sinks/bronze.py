@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
@@ -27,17 +28,17 @@ RESULT_FIELDS = [
 ]
 
 
-def copy_objects(items: DataFrame, source: str, root: str, tasks: int | None = None) -> DataFrame:
+def copy_objects(items: DataFrame, source: str, root: str, files_per_task: int = 8) -> DataFrame:
     """Copy each item's ``source`` to ``root``/storage_path and add size, hash and newlines.
 
     The content never enters a row: a task streams one file after the other in
     4 MiB chunks, hashing and counting on the way, so any file size fits and
     no byte is shuffled. A copy shows up under its path only when complete.
     A file that cannot be copied yields an error row for the classifier.
-    Running the plan copies; write its result before using it twice.
+    ``items`` is counted to size the tasks, so hand in a written table. Running
+    the plan copies; write its result before using it twice.
     """
-    spark = items.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, math.ceil(items.count() / files_per_task))
     schema = T.StructType([*items.schema.fields, *RESULT_FIELDS])
     copier = _copier(source, root.rstrip("/"), [f.name for f in RESULT_FIELDS], CHUNK)
     return items.repartition(tasks, "storage_path").mapInPandas(copier, schema)
