@@ -25,13 +25,17 @@ def detect_changes(listing: DataFrame, tracking_base: DataFrame) -> DataFrame:
         F.col("size").alias("_size"),
         F.col("last_modified").alias("_modified"),
     )
+    # keys as columns: a hash inside the join condition would be computed per comparison
+    keyed = listing.selectExpr(
+        "*", f"{keys.partition_key('site_id')} AS _site", f"{keys.row_key('key')} AS _key"
+    )
     same = (
-        (F.expr(keys.partition_key("site_id")) == F.col("_pk"))
-        & (F.expr(keys.row_key("key")) == F.col("_rk"))
+        (F.col("_site") == F.col("_pk"))
+        & (F.col("_key") == F.col("_rk"))
         & F.col("size").eqNullSafe(F.col("_size"))
         & F.col("last_modified").eqNullSafe(F.col("_modified"))
     )
-    return listing.join(done, same, "left_anti")
+    return keyed.join(done, same, "left_anti").drop("_site", "_key")
 
 
 def split_dated(files: DataFrame) -> tuple[DataFrame, DataFrame]:
