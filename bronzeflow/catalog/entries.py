@@ -269,8 +269,8 @@ def work_item_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _profiled(spark: SparkSession, sf: str) -> DataFrame:
-    stored = bronze.attach_content(_resolved(spark, sf), adapters.contents(spark, sf))
-    return stored.filter(F.col("error_class").isNull()).drop("content")
+    stored = bronze.attach_profile(_resolved(spark, sf), adapters.contents(spark, sf))
+    return stored.filter(F.col("error_class").isNull())
 
 
 def _flat(struct: str, blocks: dict[str, list[str]]) -> list[Column]:
@@ -716,7 +716,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
         items, adapters.tracking_versions(spark, sf), unique=True
     )
     located = builders.with_paths(versioned, CONTEXT)
-    stored = bronze.attach_content(located, adapters.contents(spark, sf))
+    stored = bronze.attach_profile(located, adapters.contents(spark, sf))
     return stored.select(
         "s3_key", "version", "storage_path", "file_size", "file_hash", "row_count", "event_id"
     )

@@ -103,17 +103,27 @@ def _copier(source: str, root: str, names: list[str], chunk_size: int):
 def attach_content(
     items: DataFrame, contents: DataFrame, tasks: int | None = None
 ) -> DataFrame:
-    """Same result columns for objects whose bytes are already in a table.
+    """Same result columns, and the content, for objects whose bytes are already in a table.
 
-    Both sides have one row per ``s3_key``, so the join cannot be skewed. The
-    content is profiled before it. An item without content is an error row, as
-    a missing source file is. The number of join tasks, and so of tasks that
-    write the content, is fixed: small items say little about the work per row.
+    Both sides have one row per ``s3_key``, so the join cannot be skewed. Only
+    content that belongs to an item is hashed. An item without content is an
+    error row, as a missing source file is. The number of join tasks, and so of
+    tasks that write the content, is fixed: small items say little about the
+    work per row.
     """
     tasks = tasks or int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = items.repartition(tasks, "s3_key").join(profile_content(contents), "s3_key", "left").select(
-        *items.columns, "content", "file_size", "file_hash", "row_count"
-    )
+    wanted = items.repartition(tasks, "s3_key")
+    joined = wanted.join(contents.select("s3_key", "content"), "s3_key", "left")
+    return _with_errors(profile_content(joined.select(*items.columns, "content")))
+
+
+def attach_profile(items: DataFrame, contents: DataFrame) -> DataFrame:
+    """``attach_content`` without the content: it is profiled in its scan and never shuffled."""
+    joined = items.join(profile_content(contents).drop("content"), "s3_key", "left")
+    return _with_errors(joined.select(*items.columns, "file_size", "file_hash", "row_count"))
+
+
+def _with_errors(joined: DataFrame) -> DataFrame:
     missing = F.col("file_hash").isNull()
     return joined.withColumns(
         {
