@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +15,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing folder below the cluster's shared checkpoint folder.
+    """A new, not yet existing folder below a folder that the whole cluster shares.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session that
-    does not set it gets a temporary one.
+    That is the one in ``spark.checkpoint.dir``, or, where it is unset, a folder
+    in the session's warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="bronzeflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/bronzeflow/{name}-{uuid.uuid4().hex}"
