@@ -41,14 +41,18 @@ class NearDedup:
     seed: int = 11
 
     @property
-    def least_estimate(self) -> float:
-        """Similarity estimate below which a pair goes unconfirmed: 4.5 standard errors under the threshold."""
-        chance, t = 0.5**self.bits, self.percent / 100
+    def most_differing(self) -> int:
+        """Differing minima up to which a pair is confirmed on full sets.
+
+        Low bits agree by chance too: a similarity t shows as c + (1 - c) t
+        agreeing minima. The limit is 4.5 standard errors under the threshold.
+        """
+        chance, t, count = 0.5**self.bits, self.percent / 100, self.bands * self.rows
         match = chance + (1 - chance) * t
-        return t - 4.5 * (match * (1 - match) / (self.bands * self.rows)) ** 0.5 / (1 - chance)
+        return int(count * (1 - match) + 4.5 * (count * match * (1 - match)) ** 0.5)
 
 
-FEATURES = "doc_id bigint, row_key bigint, n_shingles bigint, node binary, bands array<bigint>, planes binary"
+FEATURES = "doc_id bigint, row_key bigint, n_shingles bigint, node binary, bands array<bigint>, planes array<bigint>"
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -88,8 +92,12 @@ class _Signer:
             sums = (low.reshape(self.s.bands, self.s.rows).astype(np.uint64) * self.weights).sum(axis=1, dtype=np.uint64)
             return words.mix(sums + self.marks).view(np.int64)
 
-    def planes(self, low: np.ndarray) -> bytes:
-        return b"".join(np.packbits(low >> np.uint32(bit) & np.uint32(1) != 0).tobytes() for bit in range(self.s.bits))
+    def planes(self, low: np.ndarray) -> np.ndarray:
+        """The low bits of all minima: for each bit a row of packed 64-bit words."""
+        padded = np.zeros(-(-len(low) // 64) * 64, dtype=np.uint32)
+        padded[: len(low)] = low
+        rows = [np.packbits(padded >> np.uint32(bit) & np.uint32(1) != 0) for bit in range(self.s.bits)]
+        return np.concatenate(rows).view(np.int64)
 
 
 def features(docs: DataFrame, settings: NearDedup) -> DataFrame:
@@ -115,7 +123,7 @@ def features(docs: DataFrame, settings: NearDedup) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(nodes, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(planes, pa.binary()),
+                    pa.array(planes, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "row_key", "n_shingles", "node", "bands", "planes"],
             )
@@ -132,32 +140,24 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def estimate(planes_a: np.ndarray, planes_b: np.ndarray, settings: NearDedup) -> np.ndarray:
-    """Similarity from packed low bits, rows of (bits x bytes), with chance agreement removed."""
-    count = settings.bands * settings.rows
-    shape = (len(planes_a), settings.bits, -1)
-    differ = np.bitwise_or.reduce((planes_a ^ planes_b).reshape(shape), axis=1)
-    match = 1 - np.bitwise_count(differ).sum(axis=1) / count
-    chance = 0.5**settings.bits
-    return (match - chance) / (1 - chance)
-
-
-def _estimated(pairs: DataFrame, settings: NearDedup) -> DataFrame:
-    """Pairs (a, b, planes_a, planes_b) whose estimate is high enough: a, b, est."""
+def differing(a: str, b: str, settings: NearDedup) -> Column:
+    """Number of minima whose low bits differ, from the packed words of two columns."""
+    width = -(-settings.bands * settings.rows // 64)
+    total = F.lit(0)
+    for word in range(width):
+        bits = [F.get(a, F.lit(plane * width + word)).bitwiseXOR(F.get(b, F.lit(plane * width + word))) for plane in range(settings.bits)]
+        any_bit = bits[0]
+        for bit in bits[1:]:
+            any_bit = any_bit.bitwiseOR(bit)
+        total = total + F.bit_count(any_bit)
+    return total
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
-                for c in ("planes_a", "planes_b")
-            )
-            est = estimate(left, right, settings)
-            keep = pa.array(est >= settings.least_estimate)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(est).filter(keep)], names=["a", "b", "est"])
 
-    return pairs.select("a", "b", "planes_a", "planes_b").mapInArrow(run, "a binary, b binary, est double")
+def similarity(a: str, b: str, settings: NearDedup) -> Column:
+    """Estimated similarity of two columns of packed words, with chance agreement taken out."""
+    chance = 0.5**settings.bits
+    match = 1 - differing(a, b, settings) / (settings.bands * settings.rows)
+    return (match - chance) / (1 - chance)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, settings: NearDedup) -> DataFrame:
@@ -243,18 +243,20 @@ def _prefixes(sets: DataFrame, labels: DataFrame, settings: NearDedup) -> DataFr
     )
 
 
-def _prefix_pairs(prefixes: DataFrame, settings: NearDedup) -> DataFrame:
-    """Pairs of different components that a shared rare shingle, sizes and places allow: a, b."""
+def _prefix_pairs(prefixes: DataFrame, planes: DataFrame, settings: NearDedup) -> DataFrame:
+    """Pairs of different components that a shared rare shingle, sizes, places and low bits allow: a, b."""
     mixed = prefixes.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("shingle")
-    rows = materialize(prefixes.join(mixed, "shingle", "left_semi"), "prefixes")
-    x = rows.select(*[F.col(c).alias(f"{c}_x") for c in ("node", "label", "size", "at")], "shingle")
-    y = rows.filter("small").select(*[F.col(c).alias(f"{c}_y") for c in ("node", "label", "size", "at")], F.col("shingle").alias("shingle_y"))
+    rows = materialize(prefixes.join(mixed, "shingle", "left_semi").join(planes, "node"), "prefixes")
+    names = ("node", "label", "size", "at", "planes")
+    x = rows.select(*[F.col(c).alias(f"{c}_x") for c in names], "shingle")
+    y = rows.filter("small").select(*[F.col(c).alias(f"{c}_y") for c in names], F.col("shingle").alias("shingle_y"))
     t = settings.percent
     allowed = f"""shingle = shingle_y AND label_x <> label_y
         AND (size_y < size_x OR (size_y = size_x AND node_y < node_x))
         AND 100 * size_y >= {t} * size_x
-        AND (100 + {t}) * (1 + least(size_x - at_x, size_y - at_y) - 1 + least(at_x, at_y)) >= {t} * (size_x + size_y)"""
-    return x.join(y, F.expr(allowed)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+        AND (100 + {t}) * (least(size_x - at_x, size_y - at_y) + least(at_x, at_y)) >= {t} * (size_x + size_y)"""
+    alike = differing("planes_x", "planes_y", settings) <= settings.most_differing
+    return x.join(y, F.expr(allowed) & alike).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
 def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataFrame:
@@ -297,14 +299,15 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
             pairs.join(planes.withColumnsRenamed({"node": "a", "planes": "planes_a"}), "a")
             .join(planes.withColumnsRenamed({"node": "b", "planes": "planes_b"}), "b")
         )
-        best = _estimated(seen, settings).groupBy("a").agg(F.max(F.struct("est", "b")).alias("best"))
+        near = seen.select("a", "b", differing("planes_a", "planes_b", settings).alias("off")).filter(F.col("off") <= settings.most_differing)
+        best = near.groupBy("a").agg(F.min(F.struct("off", "b")).alias("best"))
         best = materialize(best.select("a", F.col("best.b").alias("b")), "best")
         new = materialize(_confirmed(best, sets, settings), "links")
         links = new if links is None else links.union(new)
         tested = best if tested is None else tested.union(best)
         labels = _labels(central, links)
     opened = _open(member, labels).select("node", "label").distinct()
-    rest = _prefix_pairs(_prefixes(sets, materialize(opened, "open"), settings), settings)
+    rest = _prefix_pairs(_prefixes(sets, materialize(opened, "open"), settings), planes, settings)
     links = links.union(materialize(_confirmed(materialize(rest, "rest"), sets, settings), "links"))
     labels = _labels(central, links)
 
