@@ -93,21 +93,34 @@ def rates(docs: DataFrame, mix: Mix) -> DataFrame:
     return materialize(cells.select(*DIMENSIONS, "weight", F.least(F.col("weight") / F.lit(most), F.lit(1.0)).alias("rate")), "rates")
 
 
-def mix_sources(docs: DataFrame, mix: Mix = Mix(), topic: Column | None = None) -> DataFrame:
-    """docs with mix_topic, mix_weight, mix_rate and sampled; the last follows the rate.
+def draws(docs: DataFrame, mix: Mix = Mix(), topic: Column | None = None) -> DataFrame:
+    """doc_id, source, lang, topic, weight, rate and sampled of every row of docs; sampled follows the rate.
 
-    `topic` is an expression over docs, by default form_topic. Clashing columns
-    are replaced. Null sources, languages and topics are values of their own;
-    null and wordless texts have no tokens, and cells of such texts only are
-    sampled at their unraked weight. Rows that share an id are drawn alike, rows
-    without an id too. No rows give none.
+    `topic` is an expression over docs, by default form_topic. Null sources,
+    languages and topics are values of their own; null and wordless texts have no
+    tokens, and cells of such texts only are sampled at their unraked weight. Rows
+    that share an id are drawn alike, rows without an id too. No rows give none.
     """
-    added = ["mix_topic", "mix_weight", "mix_rate", "sampled"]
-    held = docs.select(*[c for c in docs.columns if c not in added]).withColumn("mix_topic", form_topic(F.col("text")) if topic is None else topic)
-    sized = held.select("source", "lang", F.col("mix_topic").alias("topic"), F.size(split_words(F.col("text"))).cast("bigint").alias("tokens"))
-    cells = rates(sized, mix).select(
-        F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("mix_weight"), F.col("rate").alias("mix_rate")
+    named = form_topic(F.col("text")) if topic is None else topic
+    marks = materialize(docs.select("doc_id", "source", "lang", named.alias("topic"), F.size(split_words(F.col("text"))).cast("bigint").alias("tokens")), "marks")
+    cells = _renamed(rates(marks, mix))
+    return marks.join(cells, _same_cell("topic"), "left").select(
+        "doc_id", *DIMENSIONS, "weight", "rate", (uniform(F.col("doc_id"), mix.salt) < F.col("rate")).alias("sampled")
     )
-    same = F.col("source").eqNullSafe(F.col("_s")) & F.col("lang").eqNullSafe(F.col("_l")) & F.col("mix_topic").eqNullSafe(F.col("_t"))
-    joined = held.join(cells, same, "left").drop("_s", "_l", "_t")
-    return joined.withColumn("sampled", uniform(F.col("doc_id"), mix.salt) < F.col("mix_rate"))
+
+
+def _renamed(cells: DataFrame) -> DataFrame:
+    return cells.select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), "weight", "rate")
+
+
+def _same_cell(topic: str) -> Column:
+    return F.col("source").eqNullSafe(F.col("_s")) & F.col("lang").eqNullSafe(F.col("_l")) & F.col(topic).eqNullSafe(F.col("_t"))
+
+
+def mix_sources(docs: DataFrame, mix: Mix = Mix(), topic: Column | None = None) -> DataFrame:
+    """The sampled rows of docs, with all their columns, by the rules of draws()."""
+    named = form_topic(F.col("text")) if topic is None else topic
+    marks = docs.select("source", "lang", named.alias("topic"), F.size(split_words(F.col("text"))).cast("bigint").alias("tokens"))
+    cells = _renamed(rates(marks, mix)).withColumnsRenamed({"weight": "_weight", "rate": "_rate"})
+    joined = docs.withColumn("_topic", named).join(cells, _same_cell("_topic"))
+    return joined.filter(uniform(F.col("doc_id"), mix.salt) < F.col("_rate")).select(*docs.columns)

@@ -87,8 +87,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.round("mix_rate", 6).alias("rate"), "sampled")
+    drawn = mixing.draws(_table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "source", "lang", "topic", F.round("rate", 6).alias("rate"), "sampled")
 
 
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

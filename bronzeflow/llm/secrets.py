@@ -18,6 +18,9 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bronzeflow.operators.once import compute_once
+from bronzeflow.workspace import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -100,18 +103,14 @@ def _node(kind, value) -> list[str]:
 
 
 def postings(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(trigram, doc_id): the index, of the trigrams that the rules ask for."""
-    return docs.select("doc_id", F.explode(_present(F.col("text"), rules)).alias("trigram"))
-
-
-def _vocabulary(rules: tuple[Rule, ...]) -> list[str]:
-    return sorted({t for rule in rules for part in trigram_query(rule.pattern) for t in part})
+    """(trigram, doc_id): the index, of the trigrams that the rules ask for.
 
-
-def _present(text: Column, rules: tuple[Rule, ...]) -> Column:
-    """Trigrams of the rules that the text holds. lower() keeps every ASCII trigram, in either case."""
-    low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in _vocabulary(rules)]))
+    lower() keeps every ASCII trigram of a text, in either case.
+    """
+    asked = sorted({t for rule in rules for part in trigram_query(rule.pattern) for t in part})
+    vocabulary = F.array(*[F.lit(t) for t in asked])
+    ready = compute_once(docs.select("doc_id", "text"), "_low", F.lower("text"))
+    return ready.select("doc_id", F.explode(F.filter(vocabulary, lambda t: F.contains(F.col("_low"), t))).alias("trigram"))
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -164,15 +163,12 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + ADDED_R
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     asked = tuple(r for r in rules if trigram_query(r.pattern))
-    found = candidates(postings(rows, asked), asked).withColumnRenamed("doc_id", "_id")
-    some = F.size(_present(F.col("text"), asked)) > 0
-    # Without any posting a document is no candidate: its text needs no join.
-    plain = rows.filter(~some).withColumn("kinds", F.array().cast("array<string>"))
-    joined = rows.filter(some).join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    every = plain.union(joined.withColumn("kinds", F.coalesce("kinds", F.array().cast("array<string>"))))
+    # Written, so that Spark knows how few they are and need not shuffle the texts to them.
+    found = materialize(candidates(postings(rows, asked), asked).withColumnRenamed("doc_id", "_id"), "candidates")
+    every = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     text, none = F.col("text"), F.array().cast("array<struct<start:int,number:int,stop:int>>")
     spans = []
     for number, rule in enumerate(rules):
-        wanted = F.array_contains("kinds", rule.kind) if rule in asked else F.regexp_like(text, F.lit(rule.pattern))
+        wanted = F.array_contains("kinds", F.lit(rule.kind)) if rule in asked else F.regexp_like(text, F.lit(rule.pattern))
         spans.append(F.when(wanted, _spans(text, rule, number)).otherwise(none))
     return every.select("doc_id", "text", F.sort_array(F.flatten(F.array(*spans))).alias("secrets"))
