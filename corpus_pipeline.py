@@ -14,16 +14,12 @@ from bronzeflow.llm import decontamination, minhash, mixing, queries, token_file
 from bronzeflow.workspace import materialize, scratch_dir
 
 
-def _columns(docs: DataFrame) -> list[str]:
-    return docs.columns
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the cut. The model learns from all labelled documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     settings = toxicity.Settings()
     model = toxicity.train(docs, labels, settings=settings)
-    return toxicity.score_toxicity(docs, model).filter(F.col("score") < settings.cut).select(*_columns(docs))
+    return toxicity.score_toxicity(docs, model).filter(F.col("score") < settings.cut).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that sources, languages and forms come near their tempered shares."""
-    return mixing.mix_sources(docs).filter("sampled").select(*_columns(docs))
+    return mixing.mix_sources(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
