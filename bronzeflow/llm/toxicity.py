@@ -40,9 +40,9 @@ class Settings:
 
     sample_rows: int = 3000
     ordinary_bytes: int = 8192
-    toxic_bytes: int = 2048
+    toxic_bytes: int = 1536
     gram: int = 5
-    least_share: float = 0.01
+    least_share: float = 0.02
     contrast: float = 10.0
     level: int = 12
     frame: int = 24
