@@ -16,6 +16,8 @@ from bronzeflow.sources.listing import PAGE_SCHEMA
 
 PREFIX = "pvdaq/2023-solar-data-prize"
 CONTEXT = RunContext(
+    bucket_url="https://objects.example.org",
+    account_url="https://bronze.example.org",
     run_ts="2024-07-01T06:00:00+00:00",
     correlation_id="c0ffee00-0000-4000-8000-000000000001",
     site_ids=(9068, 9069, 9070, 9071),
@@ -137,12 +139,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the scan has fewer splits than cores; large inputs stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     """Run SQL over DataFrames given by the name the text uses for them."""
     text = text.replace("<bytes>", "CAST(octet_length(text) AS BIGINT)")
@@ -181,7 +177,7 @@ def from_events(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 def work_item_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = _sql(spark, WORK_ITEM_BODIES, listing=listing(spark, sf_dir))
-    return spread(bodies, "doc_id").withColumn("body", F.encode("body", "UTF-8"))
+    return bodies.withColumn("body", F.encode("body", "UTF-8"))
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

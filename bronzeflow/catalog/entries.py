@@ -463,7 +463,7 @@ def _dispatch(spark: SparkSession, sf: str) -> dispatcher.Dispatch:
     status = sites.select("site_id", (F.col("site_id") != 9999).alias("listing_ok"))
     return dispatcher.dispatch(
         sites, status,
-        adapters.csv_listing(spark, sf).drop("text").filter(F.col("site_id") != 9071),
+        adapters.csv_listing(spark, sf).drop("text"),
         adapters.tracking_base(spark, sf), CONTEXT,
     )
 
@@ -515,7 +515,7 @@ def lineitem_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
-    return adapters.spread(adapters.from_events(spark, sf, adapters.RECORDS), "event_id")
+    return adapters.from_events(spark, sf, adapters.RECORDS)
 
 
 def record_validate(spark: SparkSession, sf: str) -> DataFrame:

@@ -180,10 +180,10 @@ _OUTCOMES = """
       WHEN coalesce(todo, 0) = 0 THEN 'unchanged' ELSE 'enqueued' END AS outcome,
     CAST(coalesce(n, 0) AS BIGINT) AS discovered, CAST(coalesce(dated, 0) AS BIGINT) AS enqueued
   FROM (VALUES (9068), (9069), (9070), (9071), (9999), (1234)) AS s(site_id)
-  LEFT JOIN (SELECT site_id, count(*) AS n FROM csv_listing WHERE site_id <> 9071 GROUP BY 1) l
+  LEFT JOIN (SELECT site_id, count(*) AS n FROM csv_listing GROUP BY 1) l
     ON l.site_id = s.site_id
   LEFT JOIN (SELECT site_id, count(*) AS todo, count(last_modified) AS dated FROM changed
-    WHERE site_id <> 9071 GROUP BY 1) c ON c.site_id = s.site_id"""
+    GROUP BY 1) c ON c.site_id = s.site_id"""
 
 
 def _violations(field: str) -> str:
@@ -552,7 +552,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT n.key AS s3_key,
           CASE WHEN n.last_modified IS NULL THEN 'skipped' ELSE 'enqueued' END AS fate,
           CASE WHEN n.last_modified IS NOT NULL THEN n.category END AS category, n.last_modified
-        FROM named n SEMI JOIN changed USING (doc_id) WHERE n.site_id <> 9071""",
+        FROM named n SEMI JOIN changed USING (doc_id)""",
     )
     sql["dispatch_metrics"] = _with(
         "changed",
@@ -679,6 +679,6 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT key AS s3_key, category, last_modified,
             min(key) OVER (PARTITION BY dataset_id) AS owner
           FROM named SEMI JOIN changed USING (doc_id)
-          WHERE last_modified IS NOT NULL AND site_id <> 9071)""",
+          WHERE last_modified IS NOT NULL)""",
     )
     return sql

@@ -41,9 +41,9 @@ class RunContext:
     run_ts: str
     correlation_id: str
     site_ids: tuple[int, ...] = ()
-    bucket_url: str = "https://oedi-data-lake.s3.amazonaws.com"
+    bucket_url: str = ""
     historical_prefix: str = "pvdaq/2023-solar-data-prize"
-    account_url: str = "https://bronze.blob.core.windows.net"
+    account_url: str = ""
     container: str = "bronze"
     tenant_id: str = "research"
     schema_version: str = "v1"
@@ -57,7 +57,7 @@ class RunContext:
 
     def __post_init__(self) -> None:
         check_mapping_version(self.mapping_version)
-        for name in ("run_ts", "correlation_id", "bucket_url", "tenant_id"):
+        for name in ("run_ts", "correlation_id", "bucket_url", "account_url", "tenant_id"):
             if not getattr(self, name).strip():
                 raise ConfigurationError(f"missing run parameter: {name}")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzeflow.functions import keys
-from bronzeflow.operators.skew import skew_join, spread_join
+from bronzeflow.operators.skew import skew_join
 
 NEW, RETRY_EMIT, DUPLICATE = "NEW", "RETRY_EMIT", "DUPLICATE"
 RECORD_KEY = ["partition_date", "record_key"]
@@ -170,7 +170,7 @@ def purge_expired(store: DataFrame, as_of: str, ttl_days: int) -> DataFrame:
 def unseen_windows(files: DataFrame, seen: DataFrame) -> DataFrame:
     """Files whose (site_id, date_window) is not stored; a missing store fails the run."""
     key = ["site_id", "date_window"]
-    return spread_join(files, seen.select(*key).distinct(), key, "left_anti", spread=files.columns)
+    return skew_join(files, seen.select(*key).distinct(), key, "left_anti", spread=files.columns)
 
 
 def within_lookback(records: DataFrame, ts: str, run_ts: str, hours: int = 24) -> DataFrame:

@@ -22,23 +22,35 @@ WORK_ITEM_TYPES = {
 }
 
 
-def parse_bodies(messages: DataFrame, body: str = "body") -> DataFrame:
-    """Add raw_body, document (VARIANT, null unless a JSON object) and body_problem.
+def only_value(text: str) -> Column:
+    """The text as the first element of an array whose second one is the text's own hash.
 
-    The text is parsed as the only element of an array, because the JSON
-    reader stops after the first value and would let trailing text pass.
+    The JSON reader stops after the first value and would let trailing text
+    pass. A text cannot hold its own hash, so whatever follows its value, a
+    closing bracket included, keeps the hash from being the second element.
     """
+    body = F.col(text)
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(',"'), F.sha2(body, 256), F.lit('"]')))
+
+
+def _is_only_value(text: str) -> Column:
+    second = F.try_variant_get("_array", "$[1]", "string")
+    third = F.try_variant_get("_array", "$[2]", "variant")
+    return F.coalesce((second == F.sha2(F.col(text), 256)) & third.isNull(), F.lit(False))
+
+
+def parse_bodies(messages: DataFrame, body: str = "body") -> DataFrame:
+    """Add raw_body, document (VARIANT, null unless a JSON object) and body_problem."""
     text = F.col(body).cast("string")
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("raw_body"), F.lit("]")))
-    only = F.try_variant_get("_array", "$[0]", "variant")
-    second = F.try_variant_get("_array", "$[1]", "variant")
+    sole = F.try_variant_get("_array", "$[0]", "variant")
     parsed = compute_once(
-        messages.withColumn("raw_body", F.when(F.is_valid_utf8(text), text)), "_array", wrapped
+        messages.withColumn("raw_body", F.when(F.is_valid_utf8(text), text)), "_array", only_value("raw_body")
     )
-    is_object = second.isNull() & F.schema_of_variant(only).startswith("OBJECT")
+    only = F.when(_is_only_value("raw_body"), sole)
+    is_object = F.schema_of_variant(only).startswith("OBJECT")
     problem = (
         F.when(F.col("raw_body").isNull(), "body is not valid UTF-8")
-        .when(only.isNull() | second.isNotNull(), "body is not valid JSON")
+        .when(only.isNull(), "body is not valid JSON")
         .when(~is_object, "body must be a JSON object")
     )
     return (
@@ -89,7 +101,9 @@ def rejected_work_items(checked: DataFrame, body: str = "body") -> DataFrame:
 
 def check_records(records: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``document`` and all schema errors of telemetry records held as JSON text."""
-    parsed = compute_once(records, "document", F.try_parse_json(payload))
+    held = compute_once(records, "_array", only_value(payload))
+    sole = F.when(_is_only_value(payload), F.try_variant_get("_array", "$[0]", "variant"))
+    parsed = held.withColumn("document", sole).drop("_array")
     checked = check_variant(parsed, "document", contracts.telemetry_record(), "errors")
     not_json = F.array(
         F.struct(

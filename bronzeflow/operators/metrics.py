@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bronzeflow.contracts import MAPPING_VERSION
 from bronzeflow.operators.incremental import is_dated
 from bronzeflow.operators.schema import java_pattern
-from bronzeflow.operators.skew import spread_join
+from bronzeflow.operators.skew import skew_join
 
 STAGES = ("discovered", "downloaded", "stored", "emitted", "failed")
 
@@ -129,7 +129,7 @@ def link_incidents(versions: DataFrame, incidents: DataFrame) -> DataFrame:
     per_version = incidents.groupBy("dataset_id", "version").agg(
         F.min("incident_id").alias("_incident")
     )
-    joined = spread_join(
+    joined = skew_join(
         versions, per_version, on=["dataset_id", "version"], how="left",
         spread=[c for c in versions.columns if c not in ("dataset_id", "version")],
     )

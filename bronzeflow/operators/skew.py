@@ -2,14 +2,12 @@
 
 AQE splits a skewed shuffle partition only where the shuffle feeds the join
 directly; a right side that was just aggregated on the join keys does not.
-Two ways around that, both exact:
-
-* ``skew_join`` finds hot keys with one constant-size frequent-items sketch
-  over the key columns and salts only those. The sketch decides nothing but
-  the salting, so its error never changes a result. It reads ``left`` twice:
-  hand in a written table when computing ``left`` is costly.
-* ``spread_join`` salts every key and repeats the right side per salt. It
-  reads ``left`` once and suits a right side that is small next to it.
+``skew_join`` finds hot keys with one constant-size frequent-items sketch over the
+key columns and salts only those. Hot is what holds more than one shuffle task's
+even share of the rows; a hot key is dealt to as many salts as there are shuffle
+partitions. The sketch decides nothing but the salting, so its error never
+changes a result. The join reads ``left`` twice: hand in a written table when
+computing ``left`` is costly.
 """
 
 from __future__ import annotations
@@ -17,20 +15,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 64
-SALTS = 32
-_SKETCH_ITEMS = 16384
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_key_hashes(df: DataFrame, on: list[str]) -> DataFrame:
-    """Hashes of keys that hold at least 1/MAX_HOT_KEYS of the rows: at most that many rows."""
+    """Hashes of keys that hold more than an even share of the rows: fewer than shuffle partitions."""
+    tasks = _tasks(df)
     sketch = df.select(F.xxhash64(*on).alias("key_hash")).agg(
-        F.expr(f"approx_top_k(key_hash, {MAX_HOT_KEYS}, {_SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(key_hash, {tasks}, {max(1024, 8 * tasks)})").alias("top"),
         F.count(F.lit(1)).alias("total"),
     )
     return (
         sketch.select("total", F.explode("top").alias("entry"))
-        .filter(F.col("entry.count") * MAX_HOT_KEYS >= F.col("total"))
+        .filter(F.col("entry.count") * tasks > F.col("total"))
         .select(F.col("entry.item").alias("hot_hash"))
     )
 
@@ -48,15 +48,16 @@ def skew_join(
     is a hash of them, so a retried task sends each row to the same place.
     Columns of ``right`` outside ``on`` must not clash with those of ``left``.
     """
-    hot = F.broadcast(hot_key_hashes(left, on))  # at most MAX_HOT_KEYS rows of one bigint
+    hot = F.broadcast(hot_key_hashes(left, on))  # fewer rows of one bigint than shuffle partitions
+    salts = _tasks(left)
 
     salted_left = left.join(hot, F.xxhash64(*on) == F.col("hot_hash"), "left").withColumn(
         "_salt",
-        F.when(F.col("hot_hash").isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+        F.when(F.col("hot_hash").isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(salts)))
         .otherwise(F.lit(0))
         .cast("int"),
     )
-    all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_right = right.join(hot, F.xxhash64(*on) == F.col("hot_hash"), "left").select(
         *[F.col(c).alias(f"_r_{c}") for c in on],
         *[c for c in right.columns if c not in on],
@@ -67,19 +68,6 @@ def skew_join(
     return _join_salted(left, salted_left, salted_right, right, on, how)
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str]
-) -> DataFrame:
-    """``skew_join`` for a right side that is small next to the left one."""
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    salted_right = right.select(
-        *[F.col(c).alias(f"_r_{c}") for c in on],
-        *[c for c in right.columns if c not in on],
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_r_salt"),
-    )
-    return _join_salted(left, salted_left, salted_right, right, on, how)
-
-
 def _join_salted(
     left: DataFrame,
     salted_left: DataFrame,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import http.client
 import math
 import urllib.error
+import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 
@@ -40,50 +43,72 @@ def copy_objects(items: DataFrame, source: str, root: str, files_per_task: int =
     """
     tasks = max(1, math.ceil(items.count() / files_per_task))
     schema = T.StructType([*items.schema.fields, *RESULT_FIELDS])
-    copier = _copier(source, root.rstrip("/"), [f.name for f in RESULT_FIELDS], CHUNK)
+    context = items.sparkSession.sparkContext
+    # Paths without a scheme mean what they mean to Spark: the default file system.
+    default = context._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(context._jsc.hadoopConfiguration()).toString()
+    copier = _copier(source, root.rstrip("/"), [f.name for f in RESULT_FIELDS], CHUNK, default)
     return items.repartition(tasks, "storage_path").mapInPandas(copier, schema)
 
 
-def _copier(source: str, root: str, names: list[str], chunk_size: int):
+def _copier(source: str, root: str, names: list[str], chunk_size: int, default: str = "file:"):
     """The function run in tasks; it is self-contained, so executors need no copy of this package."""
 
     def locate(uri: str) -> tuple[fs.FileSystem, str]:
+        if "://" not in uri and not uri.startswith("file:"):
+            uri = default.rstrip("/") + uri
         if uri.startswith("file:"):
             return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-        if "://" not in uri:
-            return fs.LocalFileSystem(), uri
         return fs.FileSystem.from_uri(uri)
 
     def read(uri: str):
         if uri.startswith(("http://", "https://")):
-            return urllib.request.urlopen(uri, timeout=300)
+            # Keys may hold spaces and letters that a request line may not; escapes stay as they are.
+            return urllib.request.urlopen(urllib.parse.quote(uri, safe="%/:?&=#+,;@!$'()*[]~"), timeout=300)
         system, path = locate(uri)
         return system.open_input_stream(path)
 
+    def fill(part: str, system: fs.FileSystem, stream) -> tuple[int, str, int]:
+        digest, size, newlines = hashlib.sha256(), 0, 0
+        with system.open_output_stream(part) as out:
+            while chunk := stream.read(chunk_size):
+                digest.update(chunk)
+                size += len(chunk)
+                newlines += chunk.count(b"\n")
+                out.write(chunk)
+        told = getattr(stream, "headers", None) and stream.headers.get("Content-Length")
+        if told and int(told) != size:
+            raise http.client.IncompleteRead(b"", int(told) - size)
+        return size, digest.hexdigest(), newlines
+
     def copy_one(origin: str, target: str, attempt: int) -> tuple:
         """(size, sha-256, newlines, error class, HTTP status, error text) of one copy."""
+        nothing = (None, None, None)
         try:
-            system, path = locate(target)
-            with read(origin) as stream:
-                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                part = f"{path}.{attempt}.part"
-                digest, size, newlines = hashlib.sha256(), 0, 0
-                with system.open_output_stream(part) as out:
-                    while chunk := stream.read(chunk_size):
-                        digest.update(chunk)
-                        size += len(chunk)
-                        newlines += chunk.count(b"\n")
-                        out.write(chunk)
-            system.move(part, path)
-            return size, digest.hexdigest(), newlines, None, None, None
+            stream = read(origin)
         except FileNotFoundError:
-            return None, None, None, "SourceNotFound", 404, f"source not found: {origin}"
+            return *nothing, "SourceNotFound", 404, f"source not found: {origin}"
+        except PermissionError as error:
+            return *nothing, "PermissionError", None, str(error)
         except urllib.error.HTTPError as error:
-            return None, None, None, "HTTPStatusError", error.code, str(error)
-        except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
-            return None, None, None, "TransportError", None, str(error)
-        except OSError as error:
-            return None, None, None, type(error).__name__, None, str(error)
+            return *nothing, "HTTPStatusError", error.code, str(error)
+        except (OSError, http.client.HTTPException, ValueError) as error:
+            # Anything else that a store or a connection does may pass: it is tried again.
+            return *nothing, "TransportError", None, f"{type(error).__name__}: {error}"
+        system, path = locate(target)
+        part = f"{path}.{attempt}.part"
+        try:
+            with stream:
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                done = fill(part, system, stream)
+            system.move(part, path)
+            return *done, None, None, None
+        except PermissionError as error:
+            failed = "PermissionError", None, str(error)
+        except (OSError, http.client.HTTPException) as error:
+            failed = "TransportError", None, f"{type(error).__name__}: {error}"
+        with contextlib.suppress(OSError):
+            system.delete_file(part)
+        return *nothing, *failed
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         attempt = TaskContext.get().taskAttemptId()

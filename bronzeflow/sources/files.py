@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bronzeflow.operators.once import compute_once
-from bronzeflow.operators.skew import spread_join
+from bronzeflow.operators.skew import skew_join
 
 CORRUPT = "_corrupt"
 _END = "\u0002"  # marks the end of the fields of a line
 
 
+def with_empty_files(found: DataFrame, scan: DataFrame, encoded: bool, values: dict[str, Column]) -> DataFrame:
+    """found (path, ...) and a row of values for each file that the scan lists but does not read: those of zero bytes.
+
+    The names are the listing that Spark's driver made for the scan. `encoded`
+    says whether found has URL-escaped paths.
+    """
+    spark = found.sparkSession
+    listed = [name.replace("file:///", "file:/", 1) for name in scan.inputFiles()]
+    names = spark.createDataFrame([(name if encoded else unquote(name),) for name in listed], "path string")
+    empty = names.join(found.select("path").distinct(), "path", "left_anti")
+    return found.unionByName(empty.select("path", *[value.cast(found.schema[c].dataType).alias(c) for c, value in values.items()]))
+
+
 def read_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, content): one file per row, for files a task can hold."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length", "content")
-    )
+    """(path, length, content): one file per row, for files a task can hold; empty files included."""
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    values = {"length": F.lit(0), "content": F.encode(F.lit(""), "UTF-8")}
+    return with_empty_files(scan.select("path", "length", "content"), scan, False, values)
 
 
 def split_line_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -30,19 +42,16 @@ def split_line_counts(spark: SparkSession, path: str) -> DataFrame:
     Counts newline bytes like ``newline_count``, but from a line scan that
     splits large files. The last line counts when its newline is there, which
     shows in the bytes left over: one per newline, plus three for a byte mark.
+    Only plain files: sizes of compressed ones say nothing about their lines.
     """
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .option("recursiveFileLookup", "true")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("file_size"),
-            F.octet_length("value").alias("bytes"),
-        )
+    scan = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+    lines = scan.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.octet_length("value").alias("bytes"),
     )
     left_over = F.col("file_size") - F.col("bytes") - F.col("lines")
-    return (
+    counted = (
         lines.groupBy("path", "file_size")
         .agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("lines"))
         .select(
@@ -51,16 +60,13 @@ def split_line_counts(spark: SparkSession, path: str) -> DataFrame:
             (F.col("lines") - F.when(left_over.isin(-1, 2), 1).otherwise(0)).alias("row_count"),
         )
     )
+    return with_empty_files(counted, scan, True, {"file_size": F.lit(0), "row_count": F.lit(0)})
 
 
 def list_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length) of all files below a folder; the content column is pruned."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length")
-    )
+    """(path, length) of all files below a folder, empty ones included; the content column is pruned."""
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return with_empty_files(scan.select("path", "length"), scan, False, {"length": F.lit(0)})
 
 
 def read_csv(
@@ -82,7 +88,6 @@ def read_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
         .option("recursiveFileLookup", "true")
-        .option("ignoreMissingFiles", "true")
     )
     try:
         columns = T.StructType.fromDDL(schema) if schema else reader.csv(path).schema
@@ -126,7 +131,7 @@ def read_csv_maps(spark: SparkSession, path: str) -> DataFrame:
         F.struct("_first.block", "_first.position").alias("_at"),
         F.col("fields").alias("names"),
     )
-    joined = spread_join(lines, names, ["source_file"], "inner", spread=["block", "position"])
+    joined = skew_join(lines, names, ["source_file"], "inner", spread=["block", "position"])
     rows = joined.filter(F.struct("block", "position") != F.col("_at"))
     return _with_fields(rows, widest).selectExpr(
         "source_file", f"{_zip_last('names', 'fields')} AS row"

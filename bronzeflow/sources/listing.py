@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from bronzeflow.functions import keys
 from bronzeflow.operators.once import compute_once
-from bronzeflow.operators.skew import spread_join
+from bronzeflow.operators.skew import skew_join
+from bronzeflow.sources.files import with_empty_files
 
 PAGE_SCHEMA = "site_id bigint, page_no bigint, http_status int, body string"
 _XML = (
@@ -100,7 +101,7 @@ def list_files(pages: DataFrame, status: DataFrame | None = None) -> DataFrame:
             size_text.alias("size_text"),
         )
     )
-    joined = spread_join(
+    joined = skew_join(
         files, reached.select("site_id", "last_page"), on=["site_id"], how="inner", spread=["key"]
     )
     return joined.filter(F.col("page_no") <= F.col("last_page")).drop("page_no", "last_page")
@@ -127,21 +128,21 @@ def fan_in(listing: DataFrame, sites: DataFrame, prefix: str) -> DataFrame:
         "site_id", F.when(F.startswith(F.col("key"), lead), found.try_cast("bigint"))
     )
     placed = placed.filter(F.startswith(F.col("key"), F.expr(keys.source_endpoint(prefix, "site_id"))))
-    return spread_join(
+    return skew_join(
         placed, sites.select("site_id"), on=["site_id"], how="inner", spread=["key"]
     )
 
 
 def list_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Objects below a folder of the cluster's file system; the content is not read."""
-    return (
+    """Objects below a folder of the cluster's file system; the content is not read.
+
+    An empty object has no time: Spark's scan lists it by name only.
+    """
+    scan = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(
-            F.col("path").alias("key"),
-            F.col("length").alias("size"),
-            F.expr(keys.utc_iso("modificationTime")).alias("last_modified"),
-        )
     )
+    found = scan.select("path", F.col("length").alias("size"), F.expr(keys.utc_iso("modificationTime")).alias("last_modified"))
+    return with_empty_files(found, scan, False, {"size": F.lit(0), "last_modified": F.lit(None)}).withColumnRenamed("path", "key")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bronzeflow.operators import guard, incremental
-from bronzeflow.operators.skew import hot_key_hashes, skew_join, spread_join
+from bronzeflow.operators.skew import hot_key_hashes, skew_join, skew_join
 
 LISTING = "site_id bigint, key string, size bigint, last_modified string"
 BASE = ("partition_key string, row_key string, s3_key string, size bigint, "
@@ -140,7 +140,7 @@ def test_purge_keeps_the_window(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("join", [skew_join, spread_join])
+@pytest.mark.parametrize("join", [skew_join, skew_join])
 def test_salted_joins_equal_a_plain_join(spark, how, join):
     left = spark.range(3000).select(
         F.col("id").alias("n"),

@@ -37,26 +37,16 @@ def test_category(spark, name, expected):
     ]
 
 
-def category_in_python(name: str, site: int) -> str:
-    stem = name.removesuffix(".csv")
-    inner = re.sub(
-        r"_data(?:_\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2})?$", "", stem.removeprefix(f"{site}_")
-    )
-    return inner or stem
-
-
-PARTS = st.sampled_from(
-    ["9068_", "_data", "_2024-01-01_2024-06-30", ".csv", "ac", "é", " ", "_", "\n", "٣", "9068"]
-)
+CATEGORY = st.text(st.sampled_from("abcxyzéß ٣-"), min_size=1, max_size=12)
+SUFFIX = st.sampled_from(["_data", "_data_2024-01-01_2024-06-30", "_data_1999-12-31_2000-01-01"])
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(PARTS, min_size=1, max_size=6).map("".join), min_size=20, max_size=60))
-def test_category_equals_python(spark, names):
-    got = values(
-        spark, keys.extract_category("f", "s"), [(n, 9068) for n in names], "f string, s bigint"
-    )
-    assert got == [category_in_python(n, 9068) for n in names]
+@given(st.lists(st.tuples(st.integers(1, 10**6), CATEGORY, SUFFIX), min_size=20, max_size=60))
+def test_category_is_the_one_a_name_was_built_from(spark, parts):
+    rows = [(f"{site}_{category}{suffix}.csv", site) for site, category, suffix in parts]
+    got = values(spark, keys.extract_category("f", "s"), rows, "f string, s bigint")
+    assert got == [category for _, category, _ in parts]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -107,7 +107,19 @@ def test_csv_rows(spark, csv_dir):
 
 def test_split_line_counts(spark, csv_dir):
     got = {r.path[-5:]: (r.file_size, r.row_count) for r in files.split_line_counts(spark, csv_dir).collect()}
-    assert got == {"a.csv": (41, 8), "b.csv": (3, 1), "c.csv": (8, 2)}
+    assert got == {"a.csv": (41, 8), "b.csv": (3, 1), "c.csv": (8, 2), "d.csv": (0, 0)}
+
+
+def test_empty_files_are_listed_and_read(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    sizes = {"a b/é%.csv": b"", "a b/x.csv": b"1\n", "e.csv": b""}
+    for name, content in sizes.items():
+        (tmp_path / name).write_bytes(content)
+    root = f"file:{tmp_path}/"
+    want = {root + name: len(content) for name, content in sizes.items()}
+    assert {r.path: r.length for r in files.list_sizes(spark, str(tmp_path)).collect()} == want
+    assert {r.path: len(r.content) for r in files.read_bytes(spark, str(tmp_path)).collect()} == want
+    assert {r.key: r.size for r in listing.list_folder(spark, str(tmp_path)).collect()} == want
 
 
 def test_split_line_counts_of_many_splits(spark, tmp_path):

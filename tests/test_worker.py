@@ -279,3 +279,34 @@ def test_publish_appends(spark, tmp_path):
     sent = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(sent) == 2 and json.loads(sent[0].value)["last_modified"] is None
     assert {h.key: bytes(h.value) for h in sent[0].headers}["subject"] == b"historical_work_item"
+
+
+def test_bodies_with_anything_after_the_value_are_malformed(spark):
+    from bronzeflow.operators import messages
+
+    good = '{"site_id": 1}'
+    tails = ["", " ", "\n", "]", "],[1", "] junk", " {}", ",1", ',"x"', "}", "] , [ 2", "//"]
+    rows = spark.createDataFrame([(i, good + tail) for i, tail in enumerate(tails)], "n int, body string")
+    parsed = messages.parse_bodies(rows.withColumn("body", F.encode("body", "UTF-8"))).collect()
+    assert sorted(r.n for r in parsed if r.body_problem is None) == [0, 1, 2]
+    checked = messages.check_records(rows.withColumnRenamed("body", "payload")).select("n", F.col("document").isNull().alias("bad"))
+    assert sorted(r.n for r in checked.collect() if not r.bad) == [0, 1, 2]
+
+
+def test_a_copy_that_ends_early_is_a_passing_fault_and_leaves_nothing(tmp_path, monkeypatch):
+    import io
+    import urllib.request
+
+    from bronzeflow.sinks import bronze
+
+    class Cut(io.BytesIO):
+        headers = {"Content-Length": "10"}
+
+    asked = []
+    monkeypatch.setattr(urllib.request, "urlopen", lambda url, timeout: asked.append(url) or Cut(b"only"))
+    copier = bronze._copier("u", str(tmp_path), [f.name for f in bronze.RESULT_FIELDS], 4)
+    copy_one = next(c.cell_contents for c in copier.__closure__ if getattr(c.cell_contents, "__name__", "") == "copy_one")
+    size, *_, failed, status, _ = copy_one("https://host/a b/é%20c.csv", f"{tmp_path}/out/x.csv", 1)
+    assert (size, failed, status) == (None, "TransportError", None)
+    assert asked == ["https://host/a%20b/%C3%A9%20c.csv"] and not list((tmp_path / "out").iterdir())
+    assert copy_one(f"{tmp_path}/none", f"{tmp_path}/out/x.csv", 1)[3] == "SourceNotFound"
