@@ -5,9 +5,9 @@ document the minima of many permutations; bands of whole minima find candidates,
 the low bits of all minima are packed into bit planes and estimate the
 similarity with the chance collisions taken out, and full sets confirm links.
 
-Documents with equal sets form one node, so copies are never compared. In a
-bucket each node is compared with the bucket's most central node only. What is
-still in more than one component after these rounds is settled by an exact
+Documents with equal sets form one node, so copies are never compared. Each
+bucket has one hub, its most central node, and in a round each node is compared
+with the one hub that it shares most buckets with. What is still in more than one component after these rounds is settled by an exact
 prefix join: two sets of similarity t share a shingle among the rarest ones of
 each. So no bucket is expanded into all its pairs, and none is cut off.
 """
@@ -291,20 +291,21 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
         hubs = materialize(
             own.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("hub")).select("bucket", F.col("hub.node").alias("hub")), "hubs"
         )
-        pairs = own.join(hubs, "bucket").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        shared = own.join(hubs, "bucket").filter("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
+        shared = shared.agg(F.count(F.lit(1)).alias("shared"))
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
+            shared = shared.join(tested, ["a", "b"], "left_anti")
+        # The hub that a node shares most buckets with: one candidate for each node and round.
+        most = shared.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("most"))
+        pairs = materialize(most.select("a", F.col("most.b").alias("b")), "pairs")
         seen = (
             pairs.join(planes.withColumnsRenamed({"node": "a", "planes": "planes_a"}), "a")
             .join(planes.withColumnsRenamed({"node": "b", "planes": "planes_b"}), "b")
         )
-        near = seen.select("a", "b", differing("planes_a", "planes_b", settings).alias("off")).filter(F.col("off") <= settings.most_differing)
-        best = near.groupBy("a").agg(F.min(F.struct("off", "b")).alias("best"))
-        best = materialize(best.select("a", F.col("best.b").alias("b")), "best")
-        new = materialize(_confirmed(best, sets, settings), "links")
+        near = seen.filter(differing("planes_a", "planes_b", settings) <= settings.most_differing).select("a", "b")
+        new = materialize(_confirmed(near, sets, settings), "links")
         links = new if links is None else links.union(new)
-        tested = best if tested is None else tested.union(best)
+        tested = pairs if tested is None else tested.union(pairs)
         labels = _labels(central, links)
     opened = _open(member, labels).select("node", "label").distinct()
     rest = _prefix_pairs(_prefixes(sets, materialize(opened, "open"), settings), planes, settings)
