@@ -1,8 +1,9 @@
 """Run parameters shared by the plans.
 
-Nothing in the library reads the clock, draws a random number or looks at the
-environment: whatever a run depends on is a field here, so a replayed task or
-batch computes the same rows.
+Nothing in the library draws a random number or looks at the environment:
+whatever a run depends on is a field here. Only a stream that goes on reads the
+clock, once for each batch, and records it. So a replayed task or batch computes
+the same rows.
 """
 
 from __future__ import annotations

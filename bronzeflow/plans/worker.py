@@ -1,7 +1,8 @@
 """One batch of work items: validate, version, guard, store, publish, record.
 
-The order of the writes is the contract: bronze copy, sidecar, event, and the
-completed state last, because "completed" means "event published". Every table
+The order of the writes is the contract: processing state, bronze copy, sidecar,
+event, and the completed state last, because "completed" means "event
+published". A batch that ends midway leaves its objects processing. Every table
 is written per batch and replaced on replay; version and event id are resolved
 from completed versions only, so a replay repeats the same events.
 """
@@ -9,7 +10,7 @@ from completed versions only, so a replay repeats the same events.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ _BRONZE_KEYS = (
 )
 _OUTCOME = (
     "correlation_id string, s3_key string, discovered boolean, downloaded boolean, "
-    "stored boolean, emitted boolean, failed boolean, redeliver boolean, batch_id int"
+    "stored boolean, emitted boolean, failed boolean, redeliver boolean, message string, batch_id int"
 )
 _DEAD_LETTER = "correlation_id string, error_type string, file_reference string, failure_reason string"
 
@@ -54,10 +55,11 @@ def prepare(
     """Validate bodies, drop repeated items, resolve versions and settle path ownership.
 
     ``log`` holds the lifecycle events of earlier batches; only those of the
-    batch's own objects are folded. Items and located items, metadata only, are
-    written once because the joins after them read them several times.
+    batch's own objects are folded. Checked messages, items and located items,
+    metadata only, are written once because several outputs start from them: the
+    source is read, and a body parsed, once a batch.
     """
-    checked = messages.check_work_items(work_messages)
+    checked = materialize(messages.check_work_items(work_messages).drop("document"), "checked")
     items = materialize(
         incremental.unique_work_items(messages.accepted_work_items(checked)), "items"
     )
@@ -138,6 +140,9 @@ def run_batch(
     admitted = attempts.filter("admitted").drop("admitted", "path_owner")
     refused = attempts.filter(~F.col("admitted"))
     refusal = guard.collision_reason()
+    step = batch_id * 10  # batches of one run share its timestamp and follow each other by seq
+    started = lifecycle(attempts, tracking.PROCESSING, ctx, step + 1)
+    write_batch(started, tables.lifecycle, batch_id)
 
     stored = store(admitted)
     by_dataset = "content" in stored.columns and not packed
@@ -189,10 +194,8 @@ def run_batch(
     write_batch(letters, tables.dead_letters, batch_id, ("error_type",))
 
     known = ["site_id", "s3_key", "version"]
-    step = batch_id * 10  # batches of one run share its timestamp and follow each other by seq
     write_batch(
-        lifecycle(attempts, tracking.PROCESSING, ctx, step + 1)
-        .unionByName(completed_events(published, ctx, step + 2))
+        started.unionByName(completed_events(published, ctx, step + 2))
         .unionByName(
             lifecycle(routed.filter("mark_failed").select(*known), tracking.FAILED, ctx, step + 3)
         ),
@@ -202,9 +205,9 @@ def run_batch(
     copied_anyway = F.col("stage").isin("metadata", "envelope")
     rejected = prepared.checked.filter(F.col("stage").isNotNull())
     write_batch(
-        _outcome(published, F.lit(True), F.lit(True), F.lit(False))
-        .unionByName(_outcome(routed, copied_anyway, F.lit(False), F.col("redeliver")))
-        .unionByName(_outcome(rejected, F.lit(False), F.lit(False), F.lit(False))),
+        _outcome(published, F.lit(True), F.lit(True), F.lit(False), _message())
+        .unionByName(_outcome(routed, copied_anyway, F.lit(False), F.col("redeliver"), F.col("message")))
+        .unionByName(_outcome(rejected, F.lit(False), F.lit(False), F.lit(False), F.lit(None).cast("string"))),
         tables.outcomes,
         batch_id,
     )
@@ -222,12 +225,17 @@ def _transient() -> Column:
 def _failure(rows: DataFrame, stage: Column, reason: Column, transient: Column) -> DataFrame:
     return rows.select(
         "site_id", "s3_key", "version", "correlation_id",
-        stage.alias("stage"), reason.alias("reason"), transient.alias("transient"),
+        stage.alias("stage"), reason.alias("reason"), transient.alias("transient"), _message().alias("message"),
         F.lit(True).alias("identified"),
     )
 
 
-def _outcome(rows: DataFrame, stored: Column, emitted: Column, redeliver: Column) -> DataFrame:
+def _message() -> Column:
+    """The accepted work item as a message body that may be sent again; absent fields stay absent."""
+    return F.to_json(F.struct(*messages.WORK_ITEM_TYPES))
+
+
+def _outcome(rows: DataFrame, stored: Column, emitted: Column, redeliver: Column, message: Column) -> DataFrame:
     return rows.select(
         "correlation_id",
         "s3_key",
@@ -237,12 +245,32 @@ def _outcome(rows: DataFrame, stored: Column, emitted: Column, redeliver: Column
         emitted.alias("emitted"),
         (~emitted).alias("failed"),
         redeliver.alias("redeliver"),
+        message.alias("message"),
     )
 
 
 def redelivered(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Keys whose failure was transient, for the caller to deliver again."""
-    return read_table(spark, tables.outcomes, _OUTCOME).filter("redeliver")
+    """(s3_key, correlation_id, message) whose last attempt failed for a passing reason, to be sent again.
+
+    A later attempt at the key, with whatever end, clears it. Rejected messages
+    are no attempts: they have no work item and so no message here.
+    """
+    attempts = read_table(spark, tables.outcomes, _OUTCOME).filter("message IS NOT NULL")
+    last = F.max_by(F.struct("correlation_id", "redeliver", "message"), "batch_id").alias("last")
+    open_keys = attempts.groupBy("s3_key").agg(last).filter("last.redeliver")
+    return open_keys.select("s3_key", "last.correlation_id", "last.message")
+
+
+def batch_context(
+    spark: SparkSession, tables: Tables, ctx: RunContext, batch_id: int, clock: Callable[[], str]
+) -> RunContext:
+    """``ctx`` at the time the batch first started; a replayed batch finds that time recorded."""
+    held = read_table(spark, f"{tables.batch_times}/batch_id={int(batch_id)}", "run_ts string").first()
+    if held is not None:
+        return replace(ctx, run_ts=held.run_ts)
+    run_ts = clock()
+    write_batch(spark.createDataFrame([(run_ts,)], "run_ts string"), tables.batch_times, batch_id)
+    return replace(ctx, run_ts=run_ts)
 
 
 def run_counters(spark: SparkSession, tables: Tables, ctx: RunContext) -> DataFrame:

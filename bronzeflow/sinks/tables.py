@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 TABLES = {
     "queued", "queue", "skipped", "rejected", "site_outcomes", "run_metrics",
     "attempts", "bronze", "sidecars", "events", "lifecycle", "dead_letters", "outcomes",
-    "pending", "completed", "record_events", "record_dead_letters", "record_metrics",
+    "batch_times", "pending", "completed", "record_events", "record_dead_letters", "record_metrics",
 }
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bronzeflow.context import RunContext
 from bronzeflow.operators.incremental import with_record_key
-from bronzeflow.plans.worker import Store, run_batch
+from bronzeflow.plans.worker import Store, batch_context, run_batch
 from bronzeflow.sinks.tables import Tables
 
 
@@ -38,18 +41,29 @@ def dedupe_records(records: DataFrame, site: str, measured: str, window: str = "
 
 def run_worker(
     work_messages: DataFrame, tables: Tables, store: Store, ctx: RunContext, checkpoint: str,
-    every: str | None = None, packed: bool = False,
+    every: str | None = None, packed: bool = False, clock: Callable[[], str] | None = None,
 ) -> StreamingQuery:
-    """Process a queue stream batch by batch; without ``every`` until it is drained."""
+    """Process a queue stream batch by batch; without ``every`` until it is drained.
+
+    Each batch has its own time, from ``clock``, recorded so that a replay
+    repeats it. Without one a draining run has the time of ``ctx`` throughout,
+    and a run that goes on takes the present time.
+    """
+    told = clock or (_now if every else lambda: ctx.run_ts)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        run_batch(df.sparkSession, df, tables, store, ctx, batch_id, packed)
+        own = batch_context(df.sparkSession, tables, ctx, batch_id, told)
+        run_batch(df.sparkSession, df, tables, store, own, batch_id, packed)
 
     writer = work_messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat(timespec="seconds")
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Write everything a stream has now to parquet files and stop."""
     query = (

@@ -161,8 +161,54 @@ def test_transient_store_failure_is_redelivered(spark, tmp_path):
 
     df = spark.createDataFrame([(BATCH[0],)], "body binary")
     worker.run_batch(spark, df, tables, busy, CONTEXT, 0)
-    assert [r.s3_key for r in worker.redelivered(spark, tables).collect()] == ["d/9068_ac_power_data.csv"]
+    again = worker.redelivered(spark, tables).collect()
+    assert [r.s3_key for r in again] == ["d/9068_ac_power_data.csv"]
     assert worker.dead_letter_table(spark, tables).first().error_type == "dataset_failure"
+    contents = spark.createDataFrame(CONTENTS, "s3_key string, content binary")
+    bodies = spark.createDataFrame([(again[0].message.encode(),), (BATCH[5],)], "body binary")
+    worker.run_batch(spark, bodies, tables, lambda i: bronze.attach_content(i, contents), CONTEXT, 1)
+    assert worker.redelivered(spark, tables).count() == 0
+    assert statuses(spark, tables)["d/9068_ac_power_data.csv"] == "completed"
+
+
+def test_objects_are_processing_while_they_are_copied(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+
+    def broken(items):
+        raise RuntimeError("ended midway")
+
+    df = spark.createDataFrame([(BATCH[0],)], "body binary")
+    with pytest.raises(RuntimeError, match="midway"):
+        worker.run_batch(spark, df, tables, broken, CONTEXT, 0)
+    assert statuses(spark, tables) == {"d/9068_ac_power_data.csv": "processing"}
+
+
+def test_a_batch_keeps_the_time_it_first_started(spark, tmp_path):
+    tables, ticks = Tables(str(tmp_path)), iter(["2024-07-01T09:00:00+00:00", "2024-07-02T01:00:00+00:00"])
+    times = [worker.batch_context(spark, tables, CONTEXT, n, lambda: next(ticks)).run_ts for n in (0, 0, 1, 0)]
+    assert times == ["2024-07-01T09:00:00+00:00"] * 2 + ["2024-07-02T01:00:00+00:00", "2024-07-01T09:00:00+00:00"]
+
+
+def test_a_late_batch_completes_what_was_queued_after_the_worker_started(spark, tmp_path):
+    tables = Tables(str(tmp_path / "tables"))
+    queued = RunContext(**{**vars(CONTEXT), "run_ts": "2024-07-01T12:00:00+00:00"})
+    sites = spark.createDataFrame([(9068,)], "site_id bigint")
+    status = spark.createDataFrame([(9068, True)], "site_id bigint, listing_ok boolean")
+    files = spark.createDataFrame(
+        [(9068, CONTENTS[0][0], 5, "2024-01-15T12:00:00Z")], "site_id bigint, key string, size bigint, last_modified string"
+    )
+    base = spark.createDataFrame(
+        [], "partition_key string, row_key string, s3_key string, size bigint, last_modified string, status string"
+    )
+    dispatcher.emit(dispatcher.dispatch(sites, status, files, base, queued), tables, 0)
+    contents = spark.createDataFrame(CONTENTS, "s3_key string, content binary")
+    stream = queue.read_queue(spark, "parquet", {"path": f"{tables.queue}/batch_id=0"}, "value string")
+    queue.run_worker(
+        stream, tables, lambda i: bronze.attach_content(i, contents), CONTEXT, str(tmp_path / "cp"),
+        clock=lambda: "2024-07-01T13:00:00+00:00",
+    ).awaitTermination()
+    row = worker.tracking_table(spark, tables).first()
+    assert (row.status, row.completed_at) == ("completed", "2024-07-01T13:00:00+00:00")
 
 
 def test_queue_stream_with_file_copies(spark, tmp_path):
