@@ -285,7 +285,7 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
     sets = materialize(_sets(docs, wanted, settings), "sets")
     planes = nodes.select("node", "planes")
 
-    labels, links, tested = None, None, None
+    labels, tested = None, None
     for _ in range(settings.star_rounds):
         own = member if labels is None else _open(member, labels)
         hubs = materialize(
@@ -304,13 +304,11 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
         )
         near = seen.filter(differing("planes_a", "planes_b", settings) <= settings.most_differing).select("a", "b")
         new = materialize(_confirmed(near, sets, settings), "links")
-        links = new if links is None else links.union(new)
         tested = pairs if tested is None else tested.union(pairs)
-        labels = _labels(central, links)
+        labels = _labels(central, new, labels)
     opened = _open(member, labels).select("node", "label").distinct()
     rest = _prefix_pairs(_prefixes(sets, materialize(opened, "open"), settings), planes, settings)
-    links = links.union(materialize(_confirmed(materialize(rest, "rest"), sets, settings), "links"))
-    labels = _labels(central, links)
+    labels = _labels(central, materialize(_confirmed(materialize(rest, "rest"), sets, settings), "links"), labels)
 
     of_node = found.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(labels, "node", "left")
     of_node = of_node.select("node", "low", F.coalesce("label", "node").alias("label"))
@@ -330,10 +328,23 @@ def _kept(doc_id: str, component: str) -> Column:
     return F.coalesce(F.col(doc_id) == F.col(component), F.lit(False))
 
 
-def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label) for all the nodes; one without links is its own label."""
-    labels = components(links)
-    return materialize(nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
+def _labels(nodes: DataFrame, links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, label) for all the nodes; one without links is its own label.
+
+    With known labels only the new links between different labels are followed.
+    """
+    if known is None:
+        labels = components(links)
+        named = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+        return materialize(named, "labels")
+    between = (
+        links.join(known.withColumnsRenamed({"node": "a", "label": "label_a"}), "a")
+        .join(known.withColumnsRenamed({"node": "b", "label": "label_b"}), "b")
+        .filter("label_a <> label_b")
+    )
+    merged = components(between.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    merged = merged.select(F.col("node").alias("label"), F.col("label").alias("low"))
+    return materialize(known.join(merged, "label", "left").select("node", F.coalesce("low", "label").alias("label")), "labels")
 
 
 def _open(member: DataFrame, labels: DataFrame) -> DataFrame:
