@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bronzeflow.llm import words
@@ -52,6 +52,9 @@ class NearDedup:
         return int(count * (1 - match) + 4.5 * (count * match * (1 - match)) ** 0.5)
 
 
+#: Rare shingles that a row of the prefix join remembers; any number gives the same pairs.
+EARLIER = 64
+
 FEATURES = "doc_id bigint, row_key bigint, n_shingles bigint, node binary, bands array<bigint>, planes array<bigint>"
 
 
@@ -244,10 +247,17 @@ def _prefixes(sets: DataFrame, labels: DataFrame, settings: NearDedup) -> DataFr
 
 
 def _prefix_pairs(prefixes: DataFrame, planes: DataFrame, settings: NearDedup) -> DataFrame:
-    """Pairs of different components that a shared rare shingle, sizes, places and low bits allow: a, b."""
+    """Pairs of different components that a shared rare shingle, sizes, places and low bits allow: a, b.
+
+    A pair comes from the first rare shingle it shares. Each row knows the
+    ``EARLIER`` shingles before its own; a pair that shares one of them has come
+    from there. What lies further back gives the pair again, which distinct drops.
+    """
     mixed = prefixes.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("shingle")
     rows = materialize(prefixes.join(mixed, "shingle", "left_semi").join(planes, "node"), "prefixes")
-    names = ("node", "label", "size", "at", "planes")
+    before = Window.partitionBy("node").orderBy("at").rowsBetween(-EARLIER, -1)
+    rows = materialize(rows.withColumn("earlier", F.collect_list("shingle").over(before)), "earlier")
+    names = ("node", "label", "size", "at", "planes", "earlier")
     x = rows.select(*[F.col(c).alias(f"{c}_x") for c in names], "shingle")
     y = rows.filter("small").select(*[F.col(c).alias(f"{c}_y") for c in names], F.col("shingle").alias("shingle_y"))
     t = settings.percent
@@ -256,7 +266,8 @@ def _prefix_pairs(prefixes: DataFrame, planes: DataFrame, settings: NearDedup) -
         AND 100 * size_y >= {t} * size_x
         AND (100 + {t}) * (least(size_x - at_x, size_y - at_y) + least(at_x, at_y)) >= {t} * (size_x + size_y)"""
     alike = differing("planes_x", "planes_y", settings) <= settings.most_differing
-    return x.join(y, F.expr(allowed) & alike).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+    first = ~F.arrays_overlap("earlier_x", "earlier_y")
+    return x.join(y, F.expr(allowed) & alike & first).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
 def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataFrame:
