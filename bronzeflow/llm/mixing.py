@@ -1,9 +1,12 @@
 """Mixing of sources to target weights by iterative proportional fitting.
 
 Tokens are added up by cell: source, language and topic. Raking scales the cells
-until their shares meet the targets of each of the three in turn, and a document
-is sampled with its cell's weight over the largest weight as probability. The
-draw is a hash of the doc_id, so a lost task or a second run repeats it.
+until their shares meet the targets of each of the three in turn and all together
+hold the stated share of the tokens. No cell weighs more than 1: what a target
+asks for beyond a value's own tokens goes to the other values, so a rare cell is
+kept whole and lowers no other one. A document is sampled with its cell's weight
+as probability. The draw is a hash of the doc_id, so a lost task or a second run
+repeats it.
 """
 
 from __future__ import annotations
@@ -24,10 +27,13 @@ class Mix:
     """Targets by dimension: shares of its values, or, where not given, own shares to the power in `temper`.
 
     Values without a given share keep their own share; all are scaled to add up to 1.
+    `share` is the part of all tokens that is sampled. Without it the largest weight
+    of any cell gets probability 1, however few tokens that cell has.
     """
 
     temper: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 1.0})
     rounds: int = 8
+    share: float | None = 0.75
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
     salt: str = "mix"
 
@@ -51,9 +57,30 @@ def cell_tokens(docs: DataFrame) -> DataFrame:
     return docs.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
 
 
-def rake(cells: DataFrame, mix: Mix) -> DataFrame:
-    """cells with weight, after mix.rounds rounds over the three dimensions; cells without tokens weigh 1."""
-    held = materialize(cells.withColumn("weight", F.lit(1.0)), "cells")
+#: No weight grows beyond it while a target that its cells cannot meet asks for more.
+MOST_WEIGHT = 1e6
+
+
+def _trimmed(raw_shares: DataFrame, wanted: float) -> float:
+    """The scale at which least(own, scale * raw) adds up to the wanted tokens: values below their target give all they have."""
+    scale = 0.0
+    while True:
+        full = F.col("own") < F.col("raw") * F.lit(scale)
+        kept = raw_shares.agg(F.sum(F.when(full, F.col("own"))).alias("own"), F.sum(F.when(~full, F.col("raw"))).alias("raw")).first()
+        more = (wanted - (kept["own"] or 0.0)) / kept["raw"] if kept["raw"] else scale
+        # It only grows, as each round adds values that give all; the last digits do not count.
+        if more <= scale * (1 + 1e-12):
+            return scale
+        scale = more
+
+
+def rake(cells: DataFrame, mix: Mix, share: float | None = None) -> DataFrame:
+    """cells with weight, after mix.rounds rounds over the three dimensions; cells without tokens weigh 1.
+
+    With a share the weights are at most 1 and add up to that share of all tokens; cells without tokens weigh the share.
+    """
+    held = materialize(cells.withColumn("weight", F.lit(1.0 if share is None else float(share))), "cells")
+    weight = F.col("weight") if share is None else F.least(F.col("weight"), F.lit(1.0))
     goals = {}
     for name in DIMENSIONS:
         own = held.groupBy(name).agg(F.sum("tokens").cast("double").alias("own"))
@@ -63,22 +90,27 @@ def rake(cells: DataFrame, mix: Mix) -> DataFrame:
             raw = F.pow(F.col("own") / F.lit(float(max(total, 1))), F.lit(mix.temper[name]))
         else:
             raw = F.col("own") / F.lit(float(max(total, 1)))
-            for value, share in sorted(given.items()):
-                raw = F.when(F.col(name) == value, F.lit(float(share))).otherwise(raw)
-        raw_shares = materialize(own.select(F.col(name).alias("_v"), raw.alias("raw")), "goals")
-        scale = raw_shares.agg(F.sum("raw")).first()[0] or 1.0
-        goals[name] = (raw_shares, total / scale)
+            for value, part in sorted(given.items()):
+                raw = F.when(F.col(name) == value, F.lit(float(part))).otherwise(raw)
+        raw_shares = materialize(own.select(F.col(name).alias("_v"), "own", raw.alias("raw")), "goals")
+        if share is None:
+            aim = F.col("raw") * F.lit(total / (raw_shares.agg(F.sum("raw")).first()[0] or 1.0))
+        else:
+            aim = F.least(F.col("own"), F.col("raw") * F.lit(_trimmed(raw_shares, share * total)))
+        goals[name] = raw_shares.select("_v", aim.alias("aim"))
     for _ in range(mix.rounds):
         for name in DIMENSIONS:
-            raw_shares, scale = goals[name]
-            now = held.groupBy(F.col(name).alias("_n")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
-            factor = now.join(raw_shares, F.col("_n").eqNullSafe(F.col("_v"))).select(
-                F.col("_n").alias("_f"), F.when(F.col("now") > 0, F.col("raw") * F.lit(scale) / F.col("now")).otherwise(1.0).alias("factor")
+            now = held.groupBy(F.col(name).alias("_n")).agg(F.sum(F.col("tokens") * weight).alias("now"))
+            factor = now.join(goals[name], F.col("_n").eqNullSafe(F.col("_v"))).select(
+                F.col("_n").alias("_f"), F.when(F.col("now") > 0, F.col("aim") / F.col("now")).otherwise(1.0).alias("factor")
             )
-            held = held.join(factor, F.col(name).eqNullSafe(F.col("_f"))).select(*DIMENSIONS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
+            moved = F.col("weight") * F.col("factor")
+            if share is not None:
+                moved = F.least(moved, F.lit(MOST_WEIGHT))
+            held = held.join(factor, F.col(name).eqNullSafe(F.col("_f"))).select(*DIMENSIONS, "tokens", moved.alias("weight"))
         # Cuts the lineage: a round's plan would hold all earlier ones.
         held = materialize(held, "cells")
-    return held
+    return held.withColumn("weight", weight)
 
 
 def uniform(key: Column, salt: str) -> Column:
@@ -88,7 +120,9 @@ def uniform(key: Column, salt: str) -> Column:
 
 def rates(docs: DataFrame, mix: Mix) -> DataFrame:
     """(source, lang, topic, weight, rate): sampling probability by cell, for docs (source, lang, topic, tokens)."""
-    cells = rake(cell_tokens(docs), mix)
+    cells = rake(cell_tokens(docs), mix, mix.share)
+    if mix.share is not None:
+        return materialize(cells.select(*DIMENSIONS, "weight", F.col("weight").alias("rate")), "rates")
     most = cells.filter("tokens > 0").agg(F.max("weight")).first()[0] or 1.0
     return materialize(cells.select(*DIMENSIONS, "weight", F.least(F.col("weight") / F.lit(most), F.lit(1.0)).alias("rate")), "rates")
 

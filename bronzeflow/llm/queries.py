@@ -87,7 +87,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawn = mixing.draws(_table(spark, sf_dir, "documents"))
+    # The SQL's rates: each weight over the largest one. The pipeline samples a stated share.
+    drawn = mixing.draws(_table(spark, sf_dir, "documents"), mixing.Mix(share=None))
     return drawn.select("doc_id", "source", "lang", "topic", F.round("rate", 6).alias("rate"), "sampled")
 
 

@@ -294,6 +294,17 @@ def test_raking_meets_the_targets(spark):
     assert total == pytest.approx(1000)
 
 
+def test_a_tiny_source_does_not_lower_the_others(spark):
+    data = [(i, "a b c d e f g h i j " * 10, "en" if i % 3 else "de", f"s{i % 4}") for i in range(400)]
+    schema = "doc_id bigint, text string, lang string, source string"
+    kept = []
+    for more in ([], [(1000, "one two", "en", "tiny")]):
+        rates = mixing.draws(spark.createDataFrame(data + more, schema), topic=F.lit("t")).collect()
+        kept.append(sum(r.rate for r in rates if r.source != "tiny") / len(data))
+        assert all(r.rate == pytest.approx(1) for r in rates if r.source == "tiny")
+    assert kept == [pytest.approx(0.75, abs=0.002)] * 2
+
+
 def test_mixing_of_odd_rows(odd_docs, no_docs):
     drawn = mixing.draws(odd_docs)
     assert drawn.count() == odd_docs.count() and drawn.filter("rate is null or rate < 0 or rate > 1 or sampled is null").count() == 0
