@@ -11,6 +11,7 @@ repeats it.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -29,10 +30,16 @@ class Mix:
     Values without a given share keep their own share; all are scaled to add up to 1.
     `share` is the part of all tokens that is sampled. Without it the largest weight
     of any cell gets probability 1, however few tokens that cell has.
+
+    Raking takes `rounds` rounds at least, then more until no value's tokens are off
+    their target by more than `tolerance` of it. Targets that cannot be met together
+    end it when the largest error no longer shrinks, or after `most_rounds`, with a warning.
     """
 
     temper: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 1.0})
     rounds: int = 8
+    most_rounds: int = 500
+    tolerance: float = 1e-4
     share: float | None = 0.75
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
     salt: str = "mix"
@@ -75,7 +82,7 @@ def _trimmed(raw_shares: DataFrame, wanted: float) -> float:
 
 
 def rake(cells: DataFrame, mix: Mix, share: float | None = None) -> DataFrame:
-    """cells with weight, after mix.rounds rounds over the three dimensions; cells without tokens weigh 1.
+    """cells with weight, after rounds over the three dimensions until the targets are met; cells without tokens weigh 1.
 
     With a share the weights are at most 1 and add up to that share of all tokens; cells without tokens weigh the share.
     """
@@ -98,7 +105,12 @@ def rake(cells: DataFrame, mix: Mix, share: float | None = None) -> DataFrame:
         else:
             aim = F.least(F.col("own"), F.col("raw") * F.lit(_trimmed(raw_shares, share * total)))
         goals[name] = raw_shares.select("_v", aim.alias("aim"))
-    for _ in range(mix.rounds):
+    errors: list[float] = []
+    while len(errors) < mix.rounds or errors[-1] > mix.tolerance:
+        if len(errors) >= mix.most_rounds or _stuck(errors[mix.rounds :]):
+            warnings.warn(f"targets cannot be met together: off by {errors[-1]:.2g} of a target after {len(errors)} rounds", stacklevel=2)
+            break
+        held = held.withColumn("off", F.lit(0.0))
         for name in DIMENSIONS:
             now = held.groupBy(F.col(name).alias("_n")).agg(F.sum(F.col("tokens") * weight).alias("now"))
             factor = now.join(goals[name], F.col("_n").eqNullSafe(F.col("_v"))).select(
@@ -107,10 +119,18 @@ def rake(cells: DataFrame, mix: Mix, share: float | None = None) -> DataFrame:
             moved = F.col("weight") * F.col("factor")
             if share is not None:
                 moved = F.least(moved, F.lit(MOST_WEIGHT))
-            held = held.join(factor, F.col(name).eqNullSafe(F.col("_f"))).select(*DIMENSIONS, "tokens", moved.alias("weight"))
+            # A factor is how far its value was off when its turn came.
+            off = F.greatest("off", F.abs(F.col("factor") - 1))
+            held = held.join(factor, F.col(name).eqNullSafe(F.col("_f"))).select(*DIMENSIONS, "tokens", moved.alias("weight"), off.alias("off"))
         # Cuts the lineage: a round's plan would hold all earlier ones.
         held = materialize(held, "cells")
-    return held.withColumn("weight", weight)
+        errors.append(held.agg(F.max("off")).first()[0] or 0.0)  # one number
+    return held.select(*DIMENSIONS, "tokens", weight.alias("weight"))
+
+
+def _stuck(errors: list[float]) -> bool:
+    """Whether the last 20 rounds brought the largest error down by less than a hundredth."""
+    return len(errors) > 20 and min(errors[-20:]) > 0.99 * min(errors[:-20])
 
 
 def uniform(key: Column, salt: str) -> Column:

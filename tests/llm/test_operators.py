@@ -294,6 +294,20 @@ def test_raking_meets_the_targets(spark):
     assert total == pytest.approx(1000)
 
 
+def test_raking_meets_targets_of_correlated_marginals(spark):
+    cells = [(f"s{i}", f"l{j}", "p", (90_000 if i == j else 5_000) * (i + 1)) for i in range(5) for j in range(5)]
+    mix = mixing.Mix(temper={"source": 0.3, "lang": 0.9, "topic": 1.0})
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens bigint")
+    found = mixing.rake(frame, mix).collect()
+    total = sum(r[3] for r in cells)
+    for name, at in (("source", 0), ("lang", 1)):
+        own = {v: sum(r[3] for r in cells if r[at] == v) / total for v in {r[at] for r in cells}}
+        scale = sum(p ** mix.temper[name] for p in own.values())
+        for value, part in own.items():
+            now = sum(r.tokens * r.weight for r in found if r[name] == value) / total
+            assert now == pytest.approx(part ** mix.temper[name] / scale, rel=2e-4)
+
+
 def test_a_tiny_source_does_not_lower_the_others(spark):
     data = [(i, "a b c d e f g h i j " * 10, "en" if i % 3 else "de", f"s{i % 4}") for i in range(400)]
     schema = "doc_id bigint, text string, lang string, source string"
