@@ -130,6 +130,16 @@ def test_a_bad_host_takes_its_clean_documents_along(spark):
     assert kept == {"bad": (False, 100), "fine": (True, 40), "one": (True, 1), "lost": (False, 1)}
 
 
+def test_a_half_bad_host_goes_among_thousands_of_good_ones(spark):
+    # 3,000 hosts of 50 documents that fail 4 to 16 %; one fails half of 200, one all of 200, one 2 of 2, one 16 of 50.
+    good = spark.range(150_000).selectExpr("concat('h', id % 3000) AS source", "int(id / 3000) < 2 + id % 7 AS base_failed")
+    odd = [("half", i < 100) for i in range(200)] + [("all", True)] * 200 + [("few", True)] * 2 + [("chance", i < 16) for i in range(50)]
+    data = good.union(spark.createDataFrame(odd, good.schema))
+    zeros = [F.lit(n).cast("bigint").alias(c) for c, n in (("n_symbols", 0), ("word_chars", 300), ("n_dup_lines", 0), ("n_lines", 1))]
+    rates = host_rules.host_rates(data.select("*", *zeros), "source", host_rules.HostRules())
+    assert {r.host for r in rates.filter("rejected").collect()} == {"half", "all"}
+
+
 # 3
 
 
