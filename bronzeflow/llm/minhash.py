@@ -55,7 +55,7 @@ class NearDedup:
 #: Rare shingles that a row of the prefix join remembers; any number gives the same pairs.
 EARLIER = 64
 
-FEATURES = "doc_id bigint, row_key bigint, n_shingles bigint, node binary, bands array<bigint>, planes array<bigint>"
+FEATURES = "doc_id bigint, row_key bigint, row bigint, n_shingles bigint, node binary, bands array<bigint>, planes array<bigint>"
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -123,22 +123,24 @@ def features(docs: DataFrame, settings: NearDedup) -> DataFrame:
                 [
                     batch.column("doc_id"),
                     batch.column("row_key"),
+                    batch.column("row"),
                     pa.array(n, pa.int64()),
                     pa.array(nodes, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(planes, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "row_key", "n_shingles", "node", "bands", "planes"],
+                names=["doc_id", "row_key", "row", "n_shingles", "node", "bands", "planes"],
             )
 
     return keyed(docs).mapInArrow(run, FEATURES)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a key to find a row again; rows without an id are found by their text."""
+    """doc_id, text, a key to find a row again and a hash that tells rows of one id apart; rows without an id are found by their text."""
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("row_key"),
+        F.xxhash64("text").alias("row"),
         "text",
     )
 
@@ -279,6 +281,13 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
     part; their component_id is the smallest id reached, null if there is none,
     and they are not kept. Repeated rows give repeated rows. No rows give no rows.
     """
+    return _grouped(docs, settings).select(
+        "doc_id", "n_shingles", F.col("component").alias("component_id"), _kept("doc_id", "component").alias("kept")
+    )
+
+
+def _grouped(docs: DataFrame, settings: NearDedup) -> DataFrame:
+    """doc_id, row, n_shingles, component, label of every row; label is the same for linked rows alone, null without words."""
     found = materialize(features(docs, settings), "signatures")
     nodes = materialize(
         found.filter("node is not null")
@@ -325,14 +334,10 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
     of_node = of_node.select("node", "low", F.coalesce("label", "node").alias("label"))
     of_node = materialize(of_node, "lows")
     lows = of_node.groupBy("label").agg(F.min("low").alias("component"))
-    by_node = materialize(of_node.join(lows, "label").select("node", "component"), "component_ids")
-    linked = found.filter("node is not null").select("doc_id", "n_shingles", "node").join(by_node, "node")
-    empty = found.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
-    return (
-        linked.select("doc_id", "n_shingles", "component")
-        .union(empty)
-        .select("doc_id", "n_shingles", F.col("component").alias("component_id"), _kept("doc_id", "component").alias("kept"))
-    )
+    by_node = materialize(of_node.join(lows, "label").select("node", "component", "label"), "component_ids")
+    linked = found.filter("node is not null").select("doc_id", "row", "n_shingles", "node").join(by_node, "node")
+    empty = found.filter("node is null").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component"), F.lit(None).cast("binary").alias("label"))
+    return linked.select("doc_id", "row", "n_shingles", "component", "label").union(empty)
 
 
 def _kept(doc_id: str, component: str) -> Column:
@@ -368,15 +373,22 @@ def _open(member: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataFrame:
     """docs with one row for each component, its smallest doc_id; all columns stay.
 
-    Rows without words or without an id stay. Rows that repeat a kept id are
-    copies of one document and give one row. Written docs are expected: they are read twice.
+    Rows without words or without an id stay. Different texts that share an id are
+    judged each on its own; of linked ones with the smallest id, that of the smallest
+    text hash stays. Repeated rows give one row. Written docs are expected: they are read twice.
     """
-    keep = near_components(docs, settings)
-    dropped = materialize(keep.filter("doc_id is not null and not kept").select("doc_id").distinct(), "dropped")
-    stay = docs.join(dropped, "doc_id", "left_anti")
-    clean = F.col("doc_id").isNotNull() & F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    twice = materialize(docs.filter(clean).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    linked = materialize(_grouped(docs, settings).filter("doc_id is not null and label is not null").select("doc_id", "row", "label"), "grouped")
+    first = linked.groupBy("label").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.*")
+    dropped = linked.select("doc_id", "row").distinct().join(materialize(first, "first"), ["doc_id", "row"], "left_anti")
+    dropped = materialize(dropped.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")), "dropped")
+    key = [F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_row")]
+    keys = ["_id", "_row"]
+    rows = docs.select("*", *key)
+    stay = rows.join(dropped, keys, "left_anti")
+    clean = F.col("_id").isNotNull() & F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    twice = materialize(rows.filter(clean).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys), "repeated")
     if twice.isEmpty():
-        return stay
-    again = stay.filter(clean).join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.filter(~clean).union(stay.filter(clean).join(twice, "doc_id", "left_anti")).union(again)
+        return stay.select(*docs.columns)
+    again = stay.filter(clean).join(twice, keys, "left_semi").dropDuplicates(keys)
+    once = stay.filter(clean).join(twice, keys, "left_anti")
+    return stay.filter(~clean).select(*docs.columns).union(once.select(*docs.columns)).union(again.select(*docs.columns))

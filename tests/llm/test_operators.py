@@ -166,6 +166,17 @@ def test_near_components_of_odd_rows(odd_docs, no_docs):
     assert minhash.near_components(no_docs).count() == 0
 
 
+def test_different_texts_of_one_id_are_dropped_each_on_its_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(120)) for x in "abc")
+    schema = "doc_id bigint, text string"
+    for data, want in (
+        ([(1, a), (5, a + " tail"), (5, b)], [(1, a), (5, b)]),
+        ([(5, b), (5, c), (5, c)], [(5, b), (5, c)]),
+    ):
+        assert rows(minhash.drop_near_duplicates(spark.createDataFrame(data, schema)), "doc_id", "text") == want
+    assert minhash.drop_near_duplicates(spark.createDataFrame([(5, b), (5, b + " tail")], schema)).count() == 1
+
+
 def test_near_components_of_a_group_of_edited_copies(spark):
     rng = np.random.default_rng(3)
     base = [f"v{i}" for i in rng.integers(0, 900, 150)]
