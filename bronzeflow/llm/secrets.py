@@ -50,10 +50,10 @@ BASE_RULES = (
 ADDED_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("hub", r"gh[pousr]_[A-Za-z0-9]{36}"),
+    Rule("hub", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("maps", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("address", r"[a-z][a-z0-9+.-]{1,20}://[^\x20\x09-\x0D/:@]{1,64}:[^\x20\x09-\x0D/:@]{1,64}@"),
+    Rule("maps", r"AIza[A-Za-z0-9_-]{35,}"),
+    Rule("address", r"[a-z][a-z0-9+.-]{1,20}://[^\x20\x09-\x0D/:@]{1,}:[^\x20\x09-\x0D/:@]{1,}@"),
 )
 
 _BREAK = "\0"

@@ -107,6 +107,13 @@ def test_secrets_of_odd_rows(odd_docs, no_docs):
     assert secrets.find_secrets(no_docs).count() == 0
 
 
+def test_long_tokens_are_found_whole(spark):
+    texts = [f"see https://user:{'k7' * 42}@host/x", f"https://{'u' * 90}:pw@host", f"ghp_{'aB3' * 20} end", f"AIza{'x-9' * 20} end"]
+    found = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), secrets.ADDED_RULES).collect()
+    got = {r.doc_id: [r.text[s.start : s.stop] for s in r.secrets] for r in found}
+    assert got == {0: [texts[0][4:-6]], 1: [texts[1][:-4]], 2: [texts[2][:-4]], 3: [texts[3][:-4]]}
+
+
 # 2
 
 
