@@ -5,10 +5,16 @@ of every test term, a second stores those of each phrase's rarest two terms:
 document, position and the words around it. Lists, shifted by a term's place in
 the phrase, are intersected from the rarest on; what is left is compared with the
 stored words. Common terms are counted, never stored.
+
+Near matches let one word in five be changed: of a phrase's words, one that is not
+is among as many of the rarest plus one. Where such a word stands, the phrase's
+other words are looked for around their places.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +29,14 @@ WINDOW = 10
 BLOCK_TERMS = 50_000
 
 
+@dataclass(frozen=True)
+class Near:
+    """A near match: percent of a phrase's words that may be changed, words that the others may stand off their place."""
+
+    changed_percent: int = 20
+    slop: int = 3
+
+
 def _words(text: Column) -> Column:
     return split_words(ascii_lower(text), NOT_ALNUM)
 
@@ -92,18 +106,25 @@ class Matches:
         one = self.items.select("phrase").distinct()
         placed = materialize(one.select("phrase", F.posexplode(F.split("phrase", " ")).alias("at", "term")), "phrase_terms")
         counts = term_counts(rows, placed.select("term").distinct())
-        # A phrase with a term that no document holds has no match and drops out here.
-        ranked = (
-            placed.join(counts, "term")
-            .groupBy("phrase")
-            .agg(F.sort_array(F.collect_list(F.struct("n", "term", "at"))).alias("rarest"))
-            .filter("size(rarest) = size(split(phrase, ' '))")
-            .select("phrase", F.posexplode(F.slice("rarest", 1, 2)).alias("rank", "t"))
-            .select("phrase", "rank", F.col("t.term").alias("term"), F.col("t.at").alias("at"))
-        )
-        self.ranked = materialize(ranked, "rarest")
-        self.lists = postings(rows, self.ranked.select("term").distinct(), window - 1)
-        self.exact = self._exact()
+        self.rows, self.window = rows, window
+        every = placed.join(counts, "term", "left").groupBy("phrase")
+        rarest = every.agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "at"))).alias("rarest"))
+        self.rarest = materialize(rarest, "phrases_rarest")
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        """(phrase, rank, term, at): each phrase's two rarest terms. A phrase with a term that no document holds has no exact match."""
+        held = self.rarest.filter("rarest[0].n > 0")
+        ranked = held.select("phrase", F.posexplode(F.slice("rarest", 1, 2)).alias("rank", "t"))
+        return materialize(ranked.select("phrase", "rank", F.col("t.term").alias("term"), F.col("t.at").alias("at")), "rarest")
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        return postings(self.rows, self.ranked.select("term").distinct(), self.window - 1)
+
+    @cached_property
+    def exact(self) -> DataFrame:
+        return self._exact()
 
     def _shifted(self, rank: int) -> DataFrame:
         """Postings of the phrases' term of that rank, as places where the phrase would start."""
@@ -122,27 +143,48 @@ class Matches:
         told = F.array_join(F.slice("near", F.col("start") - F.col("base") + 1, size), " ")
         return both.filter((F.col("start") >= F.col("base")) & (told == F.col("phrase"))).select("phrase", "doc_id", "row", "start", size.alias("size")).distinct()
 
-    def proximity(self, slop: int) -> DataFrame:
-        """(phrase, doc_id, row, start): places where a phrase's two rarest terms both occur, each at most `slop` words off its place.
+    def proximity(self, slop: int, changed_percent: int = Near.changed_percent) -> DataFrame:
+        """(phrase, doc_id, row, start): places where enough of a phrase's words stand, each at most `slop` words off its place.
 
-        Exact matches are among them; phrases of one word match as they stand.
+        Enough is all but `changed_percent` of them, rounded down; which ones are
+        changed does not matter, nor whether documents hold them. Places follow
+        from one of the words. Exact matches are among them; a word of a document
+        counts for one word of the phrase only.
         """
-        first = self._shifted(0).select("phrase", "doc_id", "row", "start")
-        alone = ~F.contains("phrase", F.lit(" "))
-        # Places are compared within strips of slop + 1 words and the next ones: an equality join.
-        width = slop + 1
-        left = first.filter(~alone).withColumn("strip", F.explode(F.array(*[F.floor(F.col("start") / width) + d for d in (-1, 0, 1)])))
-        right = self._shifted(1).select(
-            F.col("phrase").alias("_phrase"), F.col("doc_id").alias("_doc_id"), F.col("row").alias("_row"), F.col("start").alias("_start"), F.floor(F.col("start") / width).alias("_strip")
-        )
-        near = (
-            (F.col("phrase") == F.col("_phrase"))
-            & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-            & (F.col("row") == F.col("_row"))
-            & (F.col("strip") == F.col("_strip"))
-            & (F.abs(F.col("start") - F.col("_start")) <= slop)
-        )
-        return left.join(right, near, "left_semi").drop("strip").union(first.filter(alone)).distinct()
+        changed = F.floor(F.size("rarest") * F.lit(changed_percent) / 100).cast("int")
+        # Of one word more than may be changed, one is there. Words that no document holds come first.
+        terms = self.rarest.select("phrase", F.size("rarest").alias("size"), changed.alias("changed"), F.explode(F.slice("rarest", F.lit(1), changed + 1)).alias("t"))
+        terms = terms.filter("t.n > 0").select("size", "changed", F.col("t.term").alias("term"), F.col("t.at").alias("at"), "phrase", F.split("phrase", " ").alias("asked"))
+        terms = materialize(terms, "near_terms")
+        reach, parts = self.window - 1 + slop, []
+        base = F.greatest(F.col("pos") - reach, F.lit(0))
+        around = F.slice("words", base + 1, 2 * reach + 1)
+        count = ceil(terms.count() / BLOCK_TERMS) or 1
+        for number in range(count):
+            block = terms.filter(F.pmod(F.xxhash64("phrase"), F.lit(count)) == number)
+            spots = self.rows.select("doc_id", "row", "words", F.posexplode("words").alias("pos", "term"))
+            # Cheap first: enough different words of the phrase around the place. Nothing is stored before.
+            some = spots.join(F.broadcast(block), "term").filter(F.size(F.array_except("asked", around)) <= F.col("changed"))  # at most about BLOCK_TERMS
+            parts.append(compute_once(some.withColumn("base", base).withColumn("start", F.col("pos") - F.col("at")), "near", around).drop("words"))
+        found = """aggregate(array_distinct(asked), 0, (n, w) -> n + least(
+            size(filter(sequence(0, size - 1), j -> asked[j] = w AND exists(
+                sequence(0, size(near) - 1), i -> near[i] = w AND abs(base + i - start - j) <= {slop}))),
+            size(filter(sequence(0, size(near) - 1), i -> near[i] = w AND exists(
+                sequence(0, size - 1), j -> asked[j] = w AND abs(base + i - start - j) <= {slop})))))"""
+        return _union(parts).filter(f"{found.format(slop=slop)} >= size - changed").select("phrase", "doc_id", "row", "start").distinct()
+
+
+def near_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: Near = Near()) -> DataFrame:
+    """doc_id, row, near_items of every row of docs: sorted ids, as strings, of the items with a near match of a phrase.
+
+    Null and wordless texts have none. Rows are told apart as in contamination().
+    """
+    found = Matches(docs, benchmark, window)
+    met = found.proximity(near.slop, near.changed_percent).select("doc_id", "row", "phrase").distinct().join(found.items, "phrase")
+    named = met.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("near_items"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
+    joined = found.rows.select("doc_id", "row").join(materialize(named, "near_hits"), same, "left")
+    return joined.select("doc_id", "row", F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

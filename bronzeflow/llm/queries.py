@@ -116,6 +116,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near matches beside op10_decontamination, whose columns its SQL fixes."""
+    found = decontamination.near_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.size("near_items").cast("bigint").alias("n_near_items"), F.array_join("near_items", ",").alias("near_items"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -129,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_rules,
         op9_quality,
         op10_decontamination,
+        op10_near_passages,
     )
 }
 

@@ -430,3 +430,21 @@ def test_proximity_finds_moved_terms(spark):
     matches = decontamination.Matches(docs, benchmark)
     assert {r.doc_id for r in matches.exact.collect()} == {1}
     assert {r.doc_id for r in matches.proximity(3).collect()} == {1, 2}
+
+
+def test_near_copies_with_changed_rare_words_are_found(spark):
+    item = "the quick zebra jumps over a lazy gnu by night"
+    texts = [
+        f"so {item} again",
+        "so the quick zebra jumps over a lazy gnat by night again",
+        "so the quick yak jumps over a lazy gnat by night again",
+        "so the quick yak jumps over a tired gnat by night again",
+        "so the quick zebra jumps over quite a lazy gnu by night again",
+        "a zebra and a gnu by the lake",
+        None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for name in (item, item.replace("quick", "unheard")):
+        found = decontamination.near_contamination(docs, spark.createDataFrame([(7, name)], "item_id bigint, text string")).collect()
+        near = {r.doc_id for r in found if r.near_items == ["7"]}
+        assert near == ({0, 1, 2, 4} if name == item else {0, 1, 4}) and len(found) == len(texts)
