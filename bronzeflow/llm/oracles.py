@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bronzeflow.llm import decontamination, host_rules, mixing, secrets, substrings
+from bronzeflow.llm import decontamination, filter_audit, hard_negatives, host_rules, mixing, secrets, substrings
 
 _SPACE = r"[ \t\n\x0B\x0C\r]+"
 
@@ -153,6 +153,54 @@ def _decontamination() -> str:
     FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
 
+def _filter_audit() -> str:
+    limits = filter_audit.Limits()
+    return f"""
+    WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_words("text")} AS words FROM documents),
+    judged AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    marks AS (
+        SELECT part, (len(words) < {limits.least_words})::INT
+            + 2 * (100 * len(list_distinct(words)) < {limits.distinct_percent} * len(words))::INT
+            + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > {limits.capital_percent} * length(t))::INT
+            + 8 * regexp_matches(t, '[#$%&*|]')::INT
+            + 16 * (doc_id > min(doc_id) OVER (PARTITION BY t))::INT AS mask,
+            coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+        FROM texts LEFT JOIN judged USING (doc_id)),
+    cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM marks GROUP BY ALL),
+    sets AS (SELECT part, s, coalesce(sum(n) FILTER (mask & s = 0), 0) AS n, coalesce(sum(good) FILTER (mask & s = 0), 0) AS good,
+        coalesce(sum(toxic) FILTER (mask & s = 0), 0) AS toxic FROM cells, (SELECT unnest(range(32)) AS s) GROUP BY ALL),
+    bits AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+    orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS chain
+        FROM bits a, bits b, bits c, bits d, bits e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+    stages AS (SELECT filter_order, step, chain[step] AS bit, list_sum(chain[1:step])::BIGINT AS s FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+    fails AS (SELECT part, bit, coalesce(sum(n) FILTER (mask & bit > 0), 0) AS failing, coalesce(sum(n) FILTER (mask = bit), 0) AS alone FROM cells, bits GROUP BY ALL),
+    moved AS (SELECT x.part, filter_order, step, g.bit, y.n AS kept, x.n - y.n AS removed, x.good - y.good AS good_lost, x.toxic - y.toxic AS toxic_lost
+        FROM stages g JOIN sets x ON x.s = g.s - g.bit JOIN sets y ON y.s = g.s AND y.part = x.part)
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, (failing - removed)::BIGINT AS redundant,
+        alone::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM moved JOIN fails USING (part, bit)"""
+
+
+def _hard_negatives() -> str:
+    m = hard_negatives.Mining()
+    return f"""
+    WITH vectors AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+        FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {m.positives})
+    SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND {m.least_percent} * positive_score <= 100 * score AND 100 * score <= {m.most_percent} * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= {m.negatives}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secrets": _secrets(),
@@ -161,4 +209,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_substrings": _substrings(),
         "op7_mixing": _mixing(),
         "op10_decontamination": _decontamination(),
+        "op11_filter_audit": _filter_audit(),
+        "op13_hard_negatives": _hard_negatives(),
     }

@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, one query each, with DuckDB SQL where it can express them."""
+"""The operators over their whole tables, one query each, with DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from bronzeflow.llm import (
     decontamination,
+    filter_audit,
+    hard_negatives,
     host_rules,
     minhash,
     mixing,
     oracles,
+    pieces,
     quality,
     secrets,
     substrings,
@@ -57,10 +60,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(_table(spark, sf_dir, "documents"), minhash.NearDedup(shingle=4))
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +125,28 @@ def op10_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("near_items").cast("bigint").alias("n_near_items"), F.array_join("near_items", ",").alias("near_items"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = tokenizer_file("piece_bpe_32k.model")
+    encoded = pieces.encode_pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), file, end_id=2).drop("text")
+    return pieces.decode_pieces(encoded, file).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").filter(hard_negatives.all_finite(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select(F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.quantized(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -136,6 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_decontamination,
         op10_near_passages,
+        op11_filter_audit,
+        op12_pieces,
+        op13_hard_negatives,
     )
 }
 
