@@ -12,15 +12,15 @@ from bronzeflow.catalog.adapters import CONTEXT, PREFIX
 from bronzeflow.functions import keys
 from bronzeflow.functions.sql import text
 from bronzeflow.operators import (
-    builders, failures, guard, incremental, messages, metrics, profile, tracking,
+    builders, failures, guard, incremental, messages, metrics, ownership, profile, tracking,
 )
 from bronzeflow.operators.schema import first_error
 from bronzeflow.plans import dispatcher, records, worker
-from bronzeflow.sinks import bronze
+from bronzeflow.sinks import bronze, history, record_store
 from bronzeflow.sinks.messages import dead_letter_messages, event_messages, work_item_messages
 from bronzeflow.sinks.tables import Tables
-from bronzeflow.sources import files, listing
-from bronzeflow.streaming import queue
+from bronzeflow.sources import files, folders, listing
+from bronzeflow.streaming import queue, state
 from bronzeflow.workspace import materialize, scratch_dir
 
 
@@ -671,6 +671,71 @@ def incident_link(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.link_incidents(items, incidents)
 
 
+def tracking_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rows held as stream state, of events that come in six files, three batches and any order."""
+    source, out = scratch_dir(spark, "lifecycle"), scratch_dir(spark, "updates")
+    events = adapters.lifecycle_events(spark, sf).to(StructType.fromDDL(tracking.EVENT_SCHEMA))
+    events.repartition(6, "seq").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    # the files are in no order of time, so all of them are in time
+    with state.rocksdb(spark):
+        queue.drain(state.track(stream, state.Timing("4000 days")), out, f"{out}-checkpoint")
+    return state.updated_rows(spark.read.parquet(out)).drop("stuck")
+
+
+def history_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Version rows out of a log that was folded twice while its eleven batches came in."""
+    log = history.History(scratch_dir(spark, "log"), every=4)
+    events = adapters.lifecycle_events(spark, sf).to(StructType.fromDDL(tracking.EVENT_SCHEMA))
+    day = F.dayofmonth("ts")
+    events = materialize(events.withColumn("batch", F.least(F.floor(day / 3), F.lit(10)).cast("int")), "events")
+    for batch in range(11):
+        history.fold(spark, log, batch)
+        history.append(events.filter(F.col("batch") == batch), log, batch)
+    return tracking.fold_versions(history.read(spark, log))
+
+
+def identity_guard_index(spark: SparkSession, sf: str) -> DataFrame:
+    """``identity_guard`` with the stored paths behind the ownership index."""
+    resolved = materialize(_resolved(spark, sf), "candidates")
+    index = ownership.Index(scratch_dir(spark, "owners"))
+    ownership.write_owners(_stored_paths(resolved), index, CONTEXT.run_date, 0)
+    owners = ownership.owners_of(resolved, spark, index, CONTEXT.run_date, 1)
+    guarded = guard.guard_paths(resolved, owners)
+    return guarded.select(
+        "s3_key", "storage_path", "path_owner", "admitted",
+        F.when(~F.col("admitted"), guard.collision_reason()).alias("failure_reason"),
+    )
+
+
+def record_store_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys by day and state after two batches, a folded day and a purge."""
+    store = record_store.RecordStore(scratch_dir(spark, "records"))
+    rows = incremental.with_record_key(adapters.telemetry(spark, sf)).select(
+        "partition_date", "record_key", F.lit("c").alias("correlation_id"), F.lit("t").alias("created_at"), "category"
+    )
+    rows = materialize(rows.distinct(), "rows")
+    record_store.add(rows, store, record_store.PENDING, 0)
+    record_store.add(rows.filter("category = 'click'"), store, record_store.COMPLETED, 1)
+    record_store.compact(spark, store, "2024-01-15", 1)
+    record_store.purge(spark, store, "2024-01-20")
+    per_key = record_store.read_days(spark, store).groupBy("partition_date", "record_key").agg(F.min("status").alias("status"))
+    return per_key.groupBy("partition_date", "status").agg(F.count(F.lit(1)).alias("keys"))
+
+
+def folder_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as an object, each tenth one empty, listed by tasks."""
+    root = scratch_dir(spark, "folder")
+    docs = adapters.table(spark, sf, "documents").select("doc_id", "lang", F.when(F.col("doc_id") % 10 != 0, F.col("text")).alias("text"))
+    written = docs.select(F.concat_ws("/", F.lit(root), F.coalesce("lang", F.lit("none")), F.concat("doc_id", F.lit(".csv"))).alias("path"), "text")
+    folders.write_objects(written, "path", "text").write.format("noop").mode("overwrite").save()
+    found = listing.list_folder(spark, root)
+    return found.select(
+        F.regexp_extract("key", r"([0-9]+)\.csv$", 1).cast("bigint").alias("doc_id"), "size",
+        F.col("last_modified").isNotNull().alias("dated"),
+    )
+
+
 def event_dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
     source, out = scratch_dir(spark, "queue"), scratch_dir(spark, "deduped")
     telemetry = adapters.telemetry(spark, sf).select(
@@ -735,5 +800,6 @@ QUERIES = {
         lineitem_profile, record_validate, record_dead_letters, record_reserve, record_outcomes,
         idempotency_purge, window_key_filter, lookback_filter, invocation_stats, validation_alerts,
         mapping_sentinel, api_flatten, incident_link, event_dedupe_stream, ingest_run,
+        tracking_stream, history_versions, identity_guard_index, record_store_days, folder_listing,
     )
 }

@@ -499,6 +499,7 @@ def oracle_sql() -> dict[str, str]:
         WHEN 'error' THEN '{EVENT_TYPE}' || chr(10) END AS type FROM events)"""
     sql["tracking_fold"] = _with("lifecycle", _FOLD, **_fold_cte())
     sql["tracking_upsert"] = sql["tracking_fold"]
+    sql["tracking_stream"] = sql["tracking_fold"]
     done = ["storage_path", "file_hash", "ingestion_id", "source_url", "ingestion_time",
             "metadata_path"]
     done_columns = ", ".join(f"'{n}-' || done AS {n}" for n in done)
@@ -621,6 +622,17 @@ def oracle_sql() -> dict[str, str]:
         keyed="""SELECT event_id, category, strftime(measdatetime, '%Y-%m-%d') AS partition_date,
           SiteID || '_' || strftime(measdatetime, '%Y-%m-%dT%H') AS record_key FROM telemetry""",
     )
+    sql["history_versions"] = sql["tracking_fold_versions"]
+    sql["identity_guard_index"] = sql["identity_guard"]
+    sql["record_store_days"] = _with(
+        "telemetry",
+        """SELECT partition_date, status, count(*) AS keys FROM (
+          SELECT strftime(measdatetime, '%Y-%m-%d') AS partition_date, SiteID, measdatetime,
+            CASE WHEN bool_or(category = 'click') THEN 'completed' ELSE 'pending' END AS status
+          FROM telemetry GROUP BY ALL) WHERE partition_date >= '2024-01-13' GROUP BY ALL""",
+    )
+    sql["folder_listing"] = """
+        SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE octet_length(encode(coalesce(text, ''))) END::BIGINT AS size, true AS dated FROM documents"""
     sql["idempotency_purge"] = _with(
         "telemetry",
         """SELECT strftime(measdatetime, '%Y-%m-%d') AS partition_date, count(*) AS rows

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from bronzeflow.context import RunContext
 from bronzeflow.operators import incremental, messages, metrics
-from bronzeflow.sinks.tables import Tables, read_table, write_batch
+from bronzeflow.sinks import record_store
+from bronzeflow.sinks.tables import Tables, subfolders, write_batch
 from bronzeflow.workspace import materialize
 
-_KEYS = "partition_date string, record_key string, correlation_id string, created_at string"
-
 
 @dataclass(frozen=True)
 class RecordRun:
@@ -32,7 +31,8 @@ def process_records(
     New and pending keys are emitted. ``emit`` adds them to the store as pending
     before the emission and as completed after it.
     """
-    checked = messages.check_records(payloads)
+    # emitted records, dead letters and counters start from it
+    checked = materialize(messages.check_records(payloads), "checked")
     valid = checked.filter(F.size("errors") == 0).withColumns(
         {
             "SiteID": F.try_variant_get("document", "$.SiteID", "bigint"),
@@ -55,18 +55,22 @@ def process_records(
 
 
 def emit(run: RecordRun, tables: Tables, ctx: RunContext, batch_id: int) -> None:
-    """Write the outputs in order: reserve, emit, complete.
+    """Write the outputs in order: reserve, emit, complete; then drop the days that are no longer remembered.
 
     A crash in between leaves keys pending, which the next run emits again. A
     replay of the same batch must see the store without that batch.
     """
     emitted, stats = materialize(run.emitted, "emitted"), materialize(run.stats, "stats")
     reserved = reserved_keys(emitted, ctx)
-    write_batch(reserved, tables.pending, batch_id)
+    store = record_store.RecordStore(tables.record_store)
+    record_store.add(reserved, store, record_store.PENDING, batch_id)
     write_batch(emitted, tables.record_events, batch_id)
     write_batch(run.dead_letters, tables.record_dead_letters, batch_id)
     write_batch(stats, tables.record_metrics, batch_id)
-    write_batch(reserved, tables.completed, batch_id)
+    record_store.add(reserved, store, record_store.COMPLETED, batch_id)
+    days = subfolders(emitted.sparkSession, store.root, "partition_date", str)
+    # the window ends with the newest day met, so a run over old records remembers them too
+    record_store.purge(emitted.sparkSession, store, min([ctx.run_date, *days[-1:]]))
 
 
 def reserved_keys(emitted: DataFrame, ctx: RunContext) -> DataFrame:
@@ -78,10 +82,9 @@ def reserved_keys(emitted: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
-def read_store(spark: SparkSession, tables: Tables) -> DataFrame:
-    """The idempotency store: pending and completed keys of all batches."""
-    pending = read_table(spark, tables.pending, _KEYS).select("partition_date", "record_key")
-    done = read_table(spark, tables.completed, _KEYS).select("partition_date", "record_key")
-    return pending.withColumn("status", F.lit("pending")).unionByName(
-        done.withColumn("status", F.lit("completed"))
-    )
+def read_store(
+    spark: SparkSession, tables: Tables, days: list[str] | None = None, without: int | None = None
+) -> DataFrame:
+    """The idempotency store, of some days only if given; a batch that is replayed is left out."""
+    store = record_store.RecordStore(tables.record_store)
+    return record_store.read_days(spark, store, days, without)

@@ -20,20 +20,16 @@ from bronzeflow import contracts
 from bronzeflow.context import RunContext
 from bronzeflow.functions import keys
 from bronzeflow.operators import (
-    builders, failures, guard, incremental, messages, metrics, tracking,
+    builders, failures, guard, incremental, messages, metrics, ownership, tracking,
 )
 from bronzeflow.operators.schema import first_error
-from bronzeflow.sinks import bronze
+from bronzeflow.sinks import bronze, history
 from bronzeflow.sinks.messages import event_messages
 from bronzeflow.sinks.tables import Tables, read_batch, read_table, write_batch
 from bronzeflow.workspace import materialize
 
 Store = Callable[[DataFrame], DataFrame]
 
-_BRONZE_KEYS = (
-    "storage_path string, s3_key string, error_class string, "
-    "batch_id int, source string, ingestion_date string"
-)
 _OUTCOME = (
     "correlation_id string, s3_key string, discovered boolean, downloaded boolean, "
     "stored boolean, emitted boolean, failed boolean, redeliver boolean, message string, batch_id int"
@@ -50,12 +46,15 @@ class Prepared:
 
 
 def prepare(
-    work_messages: DataFrame, log: DataFrame, manifest: DataFrame, ctx: RunContext
+    work_messages: DataFrame,
+    log_of: Callable[[DataFrame], DataFrame],
+    owners_of: Callable[[DataFrame], DataFrame],
+    ctx: RunContext,
 ) -> Prepared:
     """Validate bodies, drop repeated items, resolve versions and settle path ownership.
 
-    ``log`` holds the lifecycle events of earlier batches; only those of the
-    batch's own objects are folded. Checked messages, items and located items,
+    ``log_of`` gives the lifecycle events of earlier batches of some objects
+    (partition_key, row_key), ``owners_of`` the owners of some items' paths. Checked messages, items and located items,
     metadata only, are written once because several outputs start from them: the
     source is read, and a body parsed, once a batch.
     """
@@ -64,12 +63,12 @@ def prepare(
         incremental.unique_work_items(messages.accepted_work_items(checked)), "items"
     )
     own = items.selectExpr(
-        f"{keys.partition_key('site_id')} AS partition_key", "s3_key"
-    ).distinct()
-    versions = tracking.fold_versions(log.join(own, ["partition_key", "s3_key"], "left_semi"))
+        f"{keys.partition_key('site_id')} AS partition_key", f"{keys.row_key('s3_key')} AS row_key"
+    )
+    versions = tracking.fold_versions(log_of(own))
     versioned = incremental.resolve_versions(items, versions, unique=True)
     located = materialize(builders.with_paths(versioned, ctx), "located")
-    return Prepared(checked, guard.guard_paths(located, manifest))
+    return Prepared(checked, guard.guard_paths(located, owners_of(located)))
 
 
 def lifecycle(
@@ -123,15 +122,15 @@ def run_batch(
     ``packed`` keeps many small objects in few bronze files instead of a
     folder per dataset.
     """
-    log = read_table(spark, tables.lifecycle, tracking.EVENT_SCHEMA + ", batch_id int")
-    # a path carries its date, so only today's partition can hold an owner
-    held = read_table(spark, tables.bronze, _BRONZE_KEYS).filter(
-        (F.col("ingestion_date") == ctx.run_date)
-        & (F.col("batch_id") != batch_id)
-        & F.col("error_class").isNull()
-    )
+    log, owners = version_log(tables), ownership.Index(tables.root)
+    # all earlier batches have ended, so what they logged may be folded
+    history.fold(spark, log, batch_id)
     prepared = prepare(
-        work_messages, log.filter(F.col("batch_id") != batch_id), bronze.manifest(held), ctx
+        work_messages,
+        lambda objects: history.of_objects(spark, log, objects, batch_id),
+        # a path carries its date, so only today's paths can have an owner
+        lambda located: ownership.owners_of(located, spark, owners, ctx.run_date, batch_id),
+        ctx,
     )
 
     # the settled attempts are written once; everything below starts from them
@@ -142,7 +141,7 @@ def run_batch(
     refusal = guard.collision_reason()
     step = batch_id * 10  # batches of one run share its timestamp and follow each other by seq
     started = lifecycle(attempts, tracking.PROCESSING, ctx, step + 1)
-    write_batch(started, tables.lifecycle, batch_id)
+    _record(started, tables, batch_id, 1)
 
     stored = store(admitted)
     by_dataset = "content" in stored.columns and not packed
@@ -154,6 +153,7 @@ def run_batch(
     kept = kept.drop(*bronze.BRONZE_PARTITIONS)
     copied = kept.filter(F.col("error_class").isNull())
     missing = kept.filter(F.col("error_class").isNotNull())
+    ownership.write_owners(copied.select("storage_path", "s3_key"), owners, ctx.run_date, batch_id)
 
     built = materialize(with_artifacts(copied, ctx), "built")
     sidecar_ok = F.size("metadata_errors") == 0
@@ -194,13 +194,13 @@ def run_batch(
     write_batch(letters, tables.dead_letters, batch_id, ("error_type",))
 
     known = ["site_id", "s3_key", "version"]
-    write_batch(
-        started.unionByName(completed_events(published, ctx, step + 2))
-        .unionByName(
+    _record(
+        completed_events(published, ctx, step + 2).unionByName(
             lifecycle(routed.filter("mark_failed").select(*known), tracking.FAILED, ctx, step + 3)
         ),
-        tables.lifecycle,
+        tables,
         batch_id,
+        2,
     )
     copied_anyway = F.col("stage").isin("metadata", "envelope")
     rejected = prepared.checked.filter(F.col("stage").isNotNull())
@@ -280,6 +280,17 @@ def run_counters(spark: SparkSession, tables: Tables, ctx: RunContext) -> DataFr
     return counters.withColumn("duration_ms", F.lit(ctx.elapsed_seconds * 1000.0))
 
 
+def version_log(tables: Tables) -> history.History:
+    """The lifecycle events of versions once more, folded every few batches; batches read this one."""
+    return history.History(tables.versions)
+
+
+def _record(events: DataFrame, tables: Tables, batch_id: int, step: int) -> None:
+    """Log the events of a step of a batch in a folder of its own: earlier steps stay, whenever the batch ends."""
+    events.write.mode("overwrite").parquet(f"{tables.lifecycle}/batch_id={int(batch_id)}/step={int(step)}")
+    history.append(events, version_log(tables), batch_id, step)
+
+
 def compact_log(spark: SparkSession, tables: Tables, target: Tables, at: str) -> None:
     """Write the lifecycle log in short form as batch 0 of ``target``."""
     log = read_table(spark, tables.lifecycle, T.StructType.fromDDL(tracking.EVENT_SCHEMA))

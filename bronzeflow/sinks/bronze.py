@@ -176,11 +176,6 @@ BRONZE_PARTITIONS = ("source", "dataset", "ingestion_date")
 PACKED_PARTITIONS = ("source", "ingestion_date")
 
 
-def manifest(bronze: DataFrame) -> DataFrame:
-    """One owner row per storage path; a redelivery rewrites a path under the same key."""
-    return bronze.groupBy("storage_path").agg(F.min("s3_key").alias("s3_key"))
-
-
 def latest_sidecars(sidecars: DataFrame) -> DataFrame:
     """What a plain overwrite leaves: per path the sidecar of the highest version."""
     last = F.max(F.struct("version", "metadata_json")).alias("_last")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 TABLES = {
     "queued", "queue", "skipped", "rejected", "site_outcomes", "run_metrics",
     "attempts", "bronze", "sidecars", "events", "lifecycle", "dead_letters", "outcomes",
-    "batch_times", "pending", "completed", "record_events", "record_dead_letters", "record_metrics",
+    "batch_times", "versions", "record_store", "record_events", "record_dead_letters", "record_metrics",
 }
 
 
@@ -49,3 +50,23 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
 def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """Rows of one batch."""
     return spark.read.schema(schema).parquet(f"{path}/batch_id={int(batch_id)}")
+
+
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def subfolders(spark: SparkSession, path: str, name: str, kind: Callable = int) -> list:
+    """Values of the folders ``name=value`` right below a path, in order; none if it does not exist."""
+    system, at = _folder(spark, path)
+    if not system.exists(at):
+        return []
+    found = [x.getPath().getName() for x in system.listStatus(at) if x.isDirectory()]
+    return sorted(kind(x.removeprefix(f"{name}=")) for x in found if x.startswith(f"{name}="))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    system, at = _folder(spark, path)
+    system.delete(at, True)

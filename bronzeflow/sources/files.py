@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,21 +9,18 @@ from pyspark.sql import types as T
 
 from bronzeflow.operators.once import compute_once
 from bronzeflow.operators.skew import skew_join
+from bronzeflow.sources.folders import empty_files
 
 CORRUPT = "_corrupt"
 _END = "\u0002"  # marks the end of the fields of a line
 
 
-def with_empty_files(found: DataFrame, scan: DataFrame, encoded: bool, values: dict[str, Column]) -> DataFrame:
-    """found (path, ...) and a row of values for each file that the scan lists but does not read: those of zero bytes.
+def with_empty_files(found: DataFrame, path: str, encoded: bool, values: dict[str, Column]) -> DataFrame:
+    """found (path, ...) and a row of values for each file of zero bytes below path, which a scan lists but does not read.
 
-    The names are the listing that Spark's driver made for the scan. `encoded`
-    says whether found has URL-escaped paths.
+    Tasks list them. `encoded` says whether found has URL-escaped paths.
     """
-    spark = found.sparkSession
-    listed = [name.replace("file:///", "file:/", 1) for name in scan.inputFiles()]
-    names = spark.createDataFrame([(name if encoded else unquote(name),) for name in listed], "path string")
-    empty = names.join(found.select("path").distinct(), "path", "left_anti")
+    empty = empty_files(found.sparkSession, path, encoded)
     return found.unionByName(empty.select("path", *[value.cast(found.schema[c].dataType).alias(c) for c, value in values.items()]))
 
 
@@ -33,7 +28,7 @@ def read_bytes(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, content): one file per row, for files a task can hold; empty files included."""
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     values = {"length": F.lit(0), "content": F.encode(F.lit(""), "UTF-8")}
-    return with_empty_files(scan.select("path", "length", "content"), scan, False, values)
+    return with_empty_files(scan.select("path", "length", "content"), path, False, values)
 
 
 def split_line_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -60,13 +55,13 @@ def split_line_counts(spark: SparkSession, path: str) -> DataFrame:
             (F.col("lines") - F.when(left_over.isin(-1, 2), 1).otherwise(0)).alias("row_count"),
         )
     )
-    return with_empty_files(counted, scan, True, {"file_size": F.lit(0), "row_count": F.lit(0)})
+    return with_empty_files(counted, path, True, {"file_size": F.lit(0), "row_count": F.lit(0)})
 
 
 def list_sizes(spark: SparkSession, path: str) -> DataFrame:
     """(path, length) of all files below a folder, empty ones included; the content column is pruned."""
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return with_empty_files(scan.select("path", "length"), scan, False, {"length": F.lit(0)})
+    return with_empty_files(scan.select("path", "length"), path, False, {"length": F.lit(0)})
 
 
 def read_csv(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bronzeflow.functions import keys
 from bronzeflow.operators.once import compute_once
 from bronzeflow.operators.skew import skew_join
-from bronzeflow.sources.files import with_empty_files
+from bronzeflow.sources.folders import list_folder  # noqa: F401
 
 PAGE_SCHEMA = "site_id bigint, page_no bigint, http_status int, body string"
 _XML = (
@@ -131,18 +131,3 @@ def fan_in(listing: DataFrame, sites: DataFrame, prefix: str) -> DataFrame:
     return skew_join(
         placed, sites.select("site_id"), on=["site_id"], how="inner", spread=["key"]
     )
-
-
-def list_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Objects below a folder of the cluster's file system; the content is not read.
-
-    An empty object has no time: Spark's scan lists it by name only.
-    """
-    scan = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    found = scan.select("path", F.col("length").alias("size"), F.expr(keys.utc_iso("modificationTime")).alias("last_modified"))
-    return with_empty_files(found, scan, False, {"size": F.lit(0), "last_modified": F.lit(None)}).withColumnRenamed("path", "key")
