@@ -14,7 +14,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bronzeflow.llm.sql import split_words
@@ -34,12 +34,15 @@ class Mix:
     Raking takes `rounds` rounds at least, then more until no value's tokens are off
     their target by more than `tolerance` of it. Targets that cannot be met together
     end it when the largest error no longer shrinks, or after `most_rounds`, with a warning.
+    With a share, weights grow to `most_weight` at most while a target that its cells
+    cannot meet asks for more; what counts and is returned is 1 at most.
     """
 
     temper: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 1.0})
     rounds: int = 8
     most_rounds: int = 500
     tolerance: float = 1e-4
+    most_weight: float = 1e6
     share: float | None = 0.75
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
     salt: str = "mix"
@@ -64,10 +67,6 @@ def cell_tokens(docs: DataFrame) -> DataFrame:
     return docs.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
 
 
-#: No weight grows beyond it while a target that its cells cannot meet asks for more.
-MOST_WEIGHT = 1e6
-
-
 def _trimmed(raw_shares: DataFrame, wanted: float) -> float:
     """The scale at which least(own, scale * raw) adds up to the wanted tokens: values below their target give all they have."""
     scale = 0.0
@@ -81,50 +80,54 @@ def _trimmed(raw_shares: DataFrame, wanted: float) -> float:
         scale = more
 
 
+def _aims(cells: DataFrame, name: str, mix: Mix, share: float | None, total: int) -> DataFrame:
+    """(_v, aim): tokens that each value of a dimension should have."""
+    own = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("own"))
+    given = mix.targets.get(name)
+    raw = F.col("own") / F.lit(float(max(total, 1)))
+    if given is None:
+        raw = F.pow(raw, F.lit(mix.temper[name]))
+    for value, part in sorted((given or {}).items()):
+        raw = F.when(F.col(name) == value, F.lit(float(part))).otherwise(raw)
+    raw_shares = materialize(own.select(F.col(name).alias("_v"), "own", raw.alias("raw")), "goals")
+    if share is None:
+        aim = F.col("raw") * F.lit(total / (raw_shares.agg(F.sum("raw")).first()[0] or 1.0))
+    else:
+        aim = F.least(F.col("own"), F.col("raw") * F.lit(_trimmed(raw_shares, share * total)))
+    return raw_shares.select("_v", aim.alias("aim"))
+
+
 def rake(cells: DataFrame, mix: Mix, share: float | None = None) -> DataFrame:
     """cells with weight, after rounds over the three dimensions until the targets are met; cells without tokens weigh 1.
 
     With a share the weights are at most 1 and add up to that share of all tokens; cells without tokens weigh the share.
+    Each dimension's turn is one aggregate, joined to the cells it came from, and written.
     """
-    held = materialize(cells.withColumn("weight", F.lit(1.0 if share is None else float(share))), "cells")
+    held = cells.withColumns({"weight": F.lit(1.0 if share is None else float(share)), "off": F.lit(0.0)})
+    held = materialize(held.select(*DIMENSIONS, "tokens", "weight", "off"), "cells")
+    total = held.agg(F.sum("tokens")).first()[0] or 0  # one number
     weight = F.col("weight") if share is None else F.least(F.col("weight"), F.lit(1.0))
-    goals = {}
-    for name in DIMENSIONS:
-        own = held.groupBy(name).agg(F.sum("tokens").cast("double").alias("own"))
-        total = held.agg(F.sum("tokens")).first()[0] or 0  # one number
-        given = mix.targets.get(name)
-        if given is None:
-            raw = F.pow(F.col("own") / F.lit(float(max(total, 1))), F.lit(mix.temper[name]))
-        else:
-            raw = F.col("own") / F.lit(float(max(total, 1)))
-            for value, part in sorted(given.items()):
-                raw = F.when(F.col(name) == value, F.lit(float(part))).otherwise(raw)
-        raw_shares = materialize(own.select(F.col(name).alias("_v"), "own", raw.alias("raw")), "goals")
-        if share is None:
-            aim = F.col("raw") * F.lit(total / (raw_shares.agg(F.sum("raw")).first()[0] or 1.0))
-        else:
-            aim = F.least(F.col("own"), F.col("raw") * F.lit(_trimmed(raw_shares, share * total)))
-        goals[name] = raw_shares.select("_v", aim.alias("aim"))
+    goals = {name: materialize(_aims(held, name, mix, share, total), "aims") for name in DIMENSIONS}
+    for name, aims in goals.items():
+        held = materialize(held.join(aims.withColumnRenamed("aim", f"aim_{name}"), F.col(name).eqNullSafe(F.col("_v"))).drop("_v"), "cells")
     errors: list[float] = []
     while len(errors) < mix.rounds or errors[-1] > mix.tolerance:
         if len(errors) >= mix.most_rounds or _stuck(errors[mix.rounds :]):
             warnings.warn(f"targets cannot be met together: off by {errors[-1]:.2g} of a target after {len(errors)} rounds", stacklevel=2)
             break
-        held = held.withColumn("off", F.lit(0.0))
-        for name in DIMENSIONS:
-            now = held.groupBy(F.col(name).alias("_n")).agg(F.sum(F.col("tokens") * weight).alias("now"))
-            factor = now.join(goals[name], F.col("_n").eqNullSafe(F.col("_v"))).select(
-                F.col("_n").alias("_f"), F.when(F.col("now") > 0, F.col("aim") / F.col("now")).otherwise(1.0).alias("factor")
-            )
+        for turn, name in enumerate(DIMENSIONS):
+            now = held.groupBy(F.col(name).alias("_f")).agg(F.sum(F.col("tokens") * weight).alias("now"), F.max(f"aim_{name}").alias("aim"))
+            factor = now.select("_f", F.when(F.col("now") > 0, F.col("aim") / F.col("now")).otherwise(1.0).alias("factor"))
             moved = F.col("weight") * F.col("factor")
             if share is not None:
-                moved = F.least(moved, F.lit(MOST_WEIGHT))
+                moved = F.least(moved, F.lit(mix.most_weight))
             # A factor is how far its value was off when its turn came.
-            off = F.greatest("off", F.abs(F.col("factor") - 1))
-            held = held.join(factor, F.col(name).eqNullSafe(F.col("_f"))).select(*DIMENSIONS, "tokens", moved.alias("weight"), off.alias("off"))
-        # Cuts the lineage: a round's plan would hold all earlier ones.
-        held = materialize(held, "cells")
-        errors.append(held.agg(F.max("off")).first()[0] or 0.0)  # one number
+            off = F.abs(F.col("factor") - 1) if turn == 0 else F.greatest("off", F.abs(F.col("factor") - 1))
+            joined = held.join(factor, F.col(name).eqNullSafe(F.col("_f"))).withColumns({"weight": moved, "off": off}).drop("_f", "factor")
+            seen = Observation()
+            # Cuts the lineage: the next turn reads these cells twice.
+            held = materialize(joined.observe(seen, F.max("off").alias("off")), "cells")
+        errors.append(seen.get["off"] or 0.0)
     return held.select(*DIMENSIONS, "tokens", weight.alias("weight"))
 
 

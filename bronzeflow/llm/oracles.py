@@ -105,31 +105,37 @@ def _substrings() -> str:
 
 def _mixing() -> str:
     mix = mixing.Mix()
-    names = mixing.DIMENSIONS
-    goals = [
-        f"""goal_{n} AS (SELECT {n}, pow(sum(tokens) / (SELECT greatest(sum(tokens), 1) FROM cells), {mix.temper[n]}) AS raw FROM cells GROUP BY {n}),
-        aim_{n} AS (SELECT {n}, raw * (SELECT sum(tokens) FROM cells) / (SELECT sum(raw) FROM goal_{n}) AS aim FROM goal_{n})"""
-        for n in names
-    ]
-    steps, last = [], "cells"
-    for number in range(mix.rounds):
-        for n in names:
-            here = f"r{number}_{n}"
-            steps.append(
-                f"""{here} AS (SELECT c.source, c.lang, c.topic, tokens, weight * CASE WHEN now > 0 THEN aim / now ELSE 1 END AS weight
-                FROM {last} c JOIN (SELECT {n}, sum(tokens * weight) AS now FROM {last} GROUP BY {n}) m ON c.{n} IS NOT DISTINCT FROM m.{n}
-                JOIN aim_{n} g ON c.{n} IS NOT DISTINCT FROM g.{n})"""
-            )
-            last = here
+    goals = ", ".join(
+        f"""own_{n} AS (SELECT {n} AS v, sum(tokens) AS own, pow(sum(tokens) / greatest(any_value(t), 1), {mix.temper[n]}) AS raw FROM cells, total GROUP BY {n}),
+        fill_{n} AS (
+            SELECT own, raw, own / nullif(raw, 0) AS ratio, ({mix.share} * t - coalesce(sum(own) OVER before, 0)) / nullif(sum(raw) OVER rest, 0) AS scale FROM own_{n}, total
+            WINDOW before AS (ORDER BY own / nullif(raw, 0), v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                rest AS (ORDER BY own / nullif(raw, 0), v ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        aim_{n} AS (SELECT v, least(own, raw * (SELECT scale FROM fill_{n} WHERE own >= raw * scale ORDER BY ratio LIMIT 1)) AS aim FROM own_{n})"""
+        for n in mixing.DIMENSIONS
+    )
+    turns = "r WHERE round < {} OR worst > {}".format(mix.rounds, mix.tolerance)
+    kept = "round, source, lang, topic, tokens, aim_source, aim_lang, aim_topic"
+    for number, n in enumerate(mixing.DIMENSIONS, 1):
+        off = "abs(factor - 1)" if number == 1 else "greatest(off, abs(factor - 1))"
+        turns = f"""(SELECT {kept}, least(weight * factor, {mix.most_weight}) AS weight, {off} AS off FROM (
+            SELECT *, coalesce(aim_{n} / nullif(sum(tokens * least(weight, 1.0)) OVER (PARTITION BY {n}), 0), 1.0) AS factor FROM {turns}))"""
+    aims = " ".join(f"JOIN aim_{n} ON c.{n} IS NOT DISTINCT FROM aim_{n}.v" for n in mixing.DIMENSIONS)
     share = lambda other: f"100 * length(regexp_replace(t, '{other}', '', 'g'))"
     return f"""
-    WITH texts AS (SELECT doc_id, source, lang, coalesce(text, '') AS t, greatest(length(coalesce(text, '')), 1) AS size FROM documents),
+    WITH RECURSIVE texts AS (SELECT doc_id, source, lang, coalesce(text, '') AS t, greatest(length(coalesce(text, '')), 1) AS size FROM documents),
     named AS (SELECT doc_id, source, lang, len({_words("t")}) AS tokens,
         CASE WHEN {share("[^|]+")} >= 2 * size THEN 'table' WHEN {share("[^#*$%&<>]+")} >= 5 * size THEN 'symbols'
         WHEN {share("[^A-Z]+")} >= 30 * size THEN 'capitals' WHEN size < 200 THEN 'short' ELSE 'prose' END AS topic FROM texts),
-    cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS weight FROM named GROUP BY ALL),
-    {", ".join(goals)}, {", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)},
-    rates AS (SELECT source, lang, topic, least(weight / (SELECT max(weight) FROM {last} WHERE tokens > 0), 1.0) AS rate FROM {last})
+    cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM named GROUP BY ALL),
+    total AS (SELECT sum(tokens) AS t FROM cells),
+    {goals},
+    r AS (
+        SELECT 0 AS round, source, lang, topic, tokens, aim_source.aim AS aim_source, aim_lang.aim AS aim_lang, aim_topic.aim AS aim_topic,
+            {mix.share}::DOUBLE AS weight, 1e9::DOUBLE AS worst FROM cells c {aims}
+        UNION ALL
+        SELECT round + 1, source, lang, topic, tokens, aim_source, aim_lang, aim_topic, weight, max(off) OVER () FROM {turns}),
+    rates AS (SELECT source, lang, topic, least(weight, 1.0) AS rate FROM r WHERE round = (SELECT max(round) FROM r))
     SELECT doc_id, n.source, n.lang, n.topic, round(rate, 6) AS rate,
         ('0x' || substr(md5('{mix.salt}' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / {float(1 << 48)!r} < rate AS sampled
     FROM named n JOIN rates r ON n.source IS NOT DISTINCT FROM r.source AND n.lang IS NOT DISTINCT FROM r.lang AND n.topic IS NOT DISTINCT FROM r.topic"""
