@@ -2,9 +2,9 @@
 
 Each text is the set of its hashed byte n-grams, and of a few marks of its form:
 length class, share of distinct words, whether words follow themselves. Spark counts in how many
-labelled texts of either class each occurs, over all labelled rows. Indicators
-are scaled by the log ratio of the class counts, and a linear hinge-loss model is
-fitted to them by dual coordinate descent on a bounded sample.
+labelled texts of either class each occurs. Indicators are scaled by the log ratio
+of the class counts, and a linear hinge-loss model is fitted to them by dual
+coordinate descent. Counts and fit take bounded samples of the labelled rows.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeflow.llm.toxicity import labelled_sample
+from bronzeflow.llm.toxicity import labelled_ids, labelled_sample, sampled_ids
 
 
 #: Last buckets, kept for the marks of form.
@@ -26,7 +26,11 @@ _FORM = 48
 
 @dataclass(frozen=True)
 class Settings:
-    """N-gram lengths, hash bits, smoothing, weight of form, hinge cost, epochs; at most sample_rows rows per class fit the weights."""
+    """N-gram lengths, hash bits, smoothing, weight of form, hinge cost, epochs.
+
+    At most count_rows labelled rows of each class give the class counts, at most sample_rows of
+    them fit the weights: those with the smallest hashes of their id.
+    """
 
     grams: tuple[int, ...] = (3, 4)
     hash_bits: int = 17
@@ -34,6 +38,7 @@ class Settings:
     form: float = 0.5
     cost: float = 1.0
     epochs: int = 12
+    count_rows: int = 20_000
     sample_rows: int = 3000
     cut: float = 0.3
 
@@ -81,9 +86,11 @@ def _scale(found: np.ndarray, settings: Settings) -> np.ndarray:
     return np.where(found >= (1 << settings.hash_bits) - _FORM, settings.form, max(1, len(found)) ** -0.5)
 
 
-def class_counts(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled texts by class, and by class and bucket; as many numbers as hash buckets, whatever the corpus."""
-    named = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("label in (0, 1)").distinct()
+def class_counts(docs: DataFrame, chosen: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of the chosen (doc_id, label) by class, and by class and bucket; as many numbers as hash buckets, whatever the corpus.
+
+    Null and empty texts count by their marks of form. Repeated rows count each.
+    """
     size = 1 << settings.hash_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +102,8 @@ def class_counts(docs: DataFrame, labels: DataFrame, label: str, settings: Setti
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.reshape(-1)[at])], names=["at", "n"])
 
-    rows = docs.select("doc_id", "text").join(named, "doc_id").select("text", "label")
+    # The chosen ids are at most count_rows for each class, so they go to the texts.
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
     found = rows.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(2 * (size + 1), dtype=np.int64)
     counts[found["at"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
@@ -169,9 +177,13 @@ def _calibrated(margins: np.ndarray, y: np.ndarray, cut: float) -> tuple[float,
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Settings = Settings()) -> Model:
-    """Fit on labels (doc_id, label column) of docs (doc_id, text); other columns have no part in it."""
-    _, counts = class_counts(docs, labels, label, settings)
-    return fit(labelled_sample(docs, labels, label, settings.sample_rows), counts, settings)
+    """Fit on labels (doc_id, label column) of docs (doc_id, text); other columns have no part in it.
+
+    An id labelled both 0 and 1 counts once for each. Labels without an id or document do not count.
+    """
+    named = labelled_ids(docs, labels, label)
+    _, counts = class_counts(docs, sampled_ids(named, settings.count_rows), settings)
+    return fit(labelled_sample(docs, sampled_ids(named, settings.sample_rows)), counts, settings)
 
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:

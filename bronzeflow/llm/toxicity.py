@@ -27,6 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bronzeflow.workspace import materialize
+
 #: Words whose distances a Python worker keeps at most.
 CACHED_WORDS = 400_000
 
@@ -191,18 +193,45 @@ def _calibrated(x: np.ndarray, y: np.ndarray, cut: float) -> np.ndarray:
     return w
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> list[tuple[str, int]]:
-    """At most `bound` rows (text, label) of each class, those with the smallest hash of doc_id."""
+def labelled_ids(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the documents that have the label 0 or 1, written; an id with both has two rows."""
     named = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("label in (0, 1)").distinct()
-    rows = docs.select("doc_id", "text").join(named, "doc_id").withColumn("_h", F.xxhash64("doc_id"))
-    # Top rows of a class: each task keeps the bound at most before they meet.
-    kept = [rows.filter(F.col("label") == y).orderBy("_h", "doc_id", "text").limit(bound).select("text", "label") for y in (0, 1)]
-    return [(r.text, r.label) for part in kept for r in part.collect()]
+    return materialize(named.join(docs.select("doc_id").distinct(), "doc_id"), "labelled")
+
+
+def sampled_ids(named: DataFrame, bound: int) -> DataFrame:
+    """At most `bound` ids of each label, those with the smallest hashes.
+
+    Only hashes below twice the bound's share can be among them, so few rows are sorted.
+    """
+    hashed = named.withColumn("_h", F.xxhash64("doc_id"))
+    counts = {r["label"]: r["count"] for r in named.groupBy("label").count().collect()}  # two rows at most
+    parts = []
+    for y in (0, 1):
+        span = min(1.0, (2 * bound + 100) / max(1, counts.get(y, 0)))
+        most = int(-(1 << 63) + span * ((1 << 64) - 1))
+        near = hashed.filter((F.col("label") == y) & (F.col("_h") <= F.lit(min(most, (1 << 63) - 1))))
+        parts.append(near.orderBy("_h", "doc_id").limit(bound).select("doc_id", "label"))
+    return materialize(parts[0].unionAll(parts[1]), "sampled")
+
+
+def labelled_sample(docs: DataFrame, chosen: DataFrame) -> list[tuple[str, int]]:
+    """Rows (text, label) of the chosen ids, one for each id and label.
+
+    The ids are few, so they go to the texts. Of several texts of an id the first in
+    order counts. Rows come by label and hash, whatever the partitions.
+    """
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = found.withColumn("_h", F.xxhash64("doc_id")).collect()  # at most the bound for each label
+    return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["label"], r["_h"], r["doc_id"]))]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings()) -> Model:
-    """Fit on labels (doc_id, label column) of docs (doc_id, text); other columns have no part in it."""
-    return fit(labelled_sample(docs, labels, label, settings.sample_rows), settings)
+    """Fit on labels (doc_id, label column) of docs (doc_id, text); other columns have no part in it.
+
+    An id labelled both 0 and 1 counts once for each. Labels without an id or document do not count.
+    """
+    return fit(labelled_sample(docs, sampled_ids(labelled_ids(docs, labels, label), settings.sample_rows)), settings)
 
 
 @cache
