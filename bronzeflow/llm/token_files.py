@@ -18,12 +18,12 @@ Shards are ranges of doc_id in ascending order.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bronzeflow.llm.words import Chunk, chunks, runs, same_bytes
 from bronzeflow.workspace import materialize
 
-#: Words whose ids a Python worker keeps at most.
-CACHED_WORDS = 800_000
-
 _LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], dtype=np.uint8)
 
 
@@ -61,64 +59,121 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return out.reshape(-1).view(f"<u{wide}").astype("<u4", copy=False)
 
 
+#: Bytes of text whose distinct words are looked up together, and words whose ids a Python worker keeps at most.
+CHUNK = 1 << 20
+KEPT_WORDS = 500_000
+
+#: Fixed value: the split pattern of the tokenizers whose words also end between letters, digits and marks.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_of(tokenizer: dict) -> np.ndarray | None:
+    """Pairs of ASCII bytes between which the tokenizer, as JSON, always cuts; None where only white space is known to.
+
+    Left alone are apostrophes, which start endings, and the characters of added tokens.
+    """
+    steps = tokenizer.get("pre_tokenizer") or {}
+    steps = steps.get("pretokenizers", [steps])
+    if not steps or steps[0].get("type") != "Split" or steps[0].get("pattern") != {"Regex": SPLIT}:
+        return None
+    kind = np.zeros(256, dtype=np.uint8)
+    kind[33:127] = 3
+    kind[48:58] = 2
+    kind[65:91] = kind[97:123] = 1
+    kept = "'" + "".join(x["content"] for x in tokenizer.get("added_tokens", []))
+    for char in set(kept.encode()):
+        kind[char] = 0 if kind[char] == 3 else kind[char]
+    both = (kind[:, None] > 0) & (kind[None, :] > 0)
+    return both & ((kind[:, None] != kind[None, :]) | (kind[:, None] == 2))
+
+
 class _Encoder:
-    """Ids of texts as little-endian 32-bit bytes, word by word.
+    """Ids of whole texts, from one encoding of each distinct word.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in a row, and a repeated word is looked up, not encoded.
+    The tokenizer drops white space and never joins across it, nor across the cuts of
+    `cuts_of`, so a text's ids are its words' ids in a row: those are gathered by offsets. Words once met are found
+    again by hash, and compared. Their ids lie in `ids` from `begins` on, their bytes in `raw`.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, raw: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of some texts; a few dozen at a time spare calls of the tokenizer."""
-        every = [split_words(text) for text in texts]
-        new = set().union(*every).difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            # The first words met are mostly the commonest.
-            self.known = dict(islice(self.known.items(), CACHED_WORDS // 3))
-            new = set().union(*every).difference(self.known)
-        self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, words)) for words in every]
-
-    def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 4096):
-            block = new[at : at + 4096]
-            encoded = self.tokenizer.encode_batch_fast(block, add_special_tokens=False)
-            self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(block, encoded, strict=True))
+        self.tokenizer = Tokenizer.from_buffer(raw)
+        self.cuts = cuts_of(json.loads(raw))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.ids, self.raw = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.uint8)
+        self.begins, self.sizes, self.raw_begins, self.raw_sizes = (np.zeros(0, dtype=np.int64) for _ in range(4))
+
+    def __call__(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+        """The ids of each text and the end id, in order."""
+        for chunk in chunks(texts, size=CHUNK, cuts=self.cuts):
+            places, hashes, kind = chunk.distinct()
+            if len(self.sizes) + len(places) > KEPT_WORDS:
+                self._forget()
+            slots = self._slots(chunk, places, hashes)
+            begins, sizes = self.begins[slots], self.sizes[slots]
+            for first, last in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True):
+                own = kind[first:last]
+                found = self.ids[runs(begins[own], sizes[own])]
+                yield np.append(found, np.array([end_id], dtype="<u4"))
+
+    def _slots(self, chunk: Chunk, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Slot of each word; new words are encoded and kept."""
+        slots = np.full(len(places), -1, dtype=np.int64)
+        starts, lengths = chunk.starts[places], chunk.ends[places] - chunk.starts[places]
+        at = np.searchsorted(self.hashes, hashes)
+        met = np.flatnonzero(at < len(self.hashes))
+        met = met[self.hashes[at[met]] == hashes[met]]
+        held = self.slots[at[met]]
+        equal = same_bytes(chunk.data, starts[met], lengths[met], self.raw, self.raw_begins[held], self.raw_sizes[held])
+        slots[met[equal]] = held[equal]
+        new = np.flatnonzero(slots < 0)
+        if not len(new):
+            return slots
+        slots[new] = len(self.sizes) + np.arange(len(new))
+        ids, sizes = self._encoded([chunk.word(i).decode() for i in places[new].tolist()])
+        ends, raw_ends = np.cumsum(sizes), np.cumsum(lengths[new])
+        self.begins = np.append(self.begins, len(self.ids) + ends - sizes)
+        self.raw_begins = np.append(self.raw_begins, len(self.raw) + raw_ends - lengths[new])
+        self.sizes, self.raw_sizes = np.append(self.sizes, sizes), np.append(self.raw_sizes, lengths[new])
+        self.ids, self.raw = np.append(self.ids, ids), np.append(self.raw, chunk.data[runs(starts[new], lengths[new])])
+        # Of words that share a hash, the first met is the one that is found again.
+        self.hashes, first = np.unique(np.append(self.hashes, hashes[new]), return_index=True)
+        self.slots = np.append(self.slots, slots[new])[first]
+        return slots
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts, sizes = [], []
+        for at in range(0, len(words), 4096):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)]
+            sizes += map(len, found)
+            parts.append(np.fromiter(chain.from_iterable(found), dtype="<u4"))
+        return np.concatenate(parts), np.array(sizes, dtype=np.int64)
 
 
 @cache
-def _encoder(file: str) -> _Encoder:
-    """One per Python worker: its words outlive a task."""
-    return _Encoder(file)
-
-
-def split_words(text: str) -> list[str]:
-    """Words between white space. The four ASCII separators below 0x20 that str.split() also cuts at are no white space."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [w.decode() for w in text.encode().split()]
-    return text.split()
+def _encoder(raw: bytes) -> _Encoder:
+    """One per Python worker."""
+    return _Encoder(raw)
 
 
 def _staged(docs: DataFrame, file: str, end_id: int) -> DataFrame:
     """doc_id, tie, n_tokens and the compressed ids of each document, encoded once."""
 
+    with open(file, "rb") as source:
+        shared = docs.sparkSession.sparkContext.broadcast(source.read())  # one tokenizer file, read on the driver
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, squeeze = _encoder(file), zstandard.ZstdCompressor(level=3).compress
-        end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        encode, squeeze = _encoder(shared.value), zstandard.ZstdCompressor(level=1).compress
+        for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             counts, blobs = [], []
-            for at in range(0, batch.num_rows, 32):
-                for raw in encode([t or "" for t in batch.column("text").slice(at, 32).to_pylist()]):
-                    ids = np.frombuffer(raw + end, dtype="<u4")
-                    counts.append(len(ids))
-                    blobs.append(squeeze(ids.astype("<u2") if int(ids.max()) <= 0xFFFF else ids))
+            for ids in encode(batch.column("text"), end_id):
+                counts.append(len(ids))
+                blobs.append(squeeze(ids.astype("<u2") if int(ids.max()) <= 0xFFFF else ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tie"), pa.array(counts, pa.int64()), pa.array(blobs, pa.binary())],
                 names=["doc_id", "tie", "n_tokens", "blob"],

@@ -36,10 +36,31 @@ def powers(base: int, count: int) -> np.ndarray:
         return np.cumprod(out, dtype=np.uint64)
 
 
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of runs: sizes[i] places from starts[i] on, one run after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def same_bytes(a: np.ndarray, a_starts: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_sizes: np.ndarray) -> np.ndarray:
+    """Whether the i-th word of one byte array is the i-th word of another; words are not empty."""
+    alike = a_sizes == b_sizes
+    own = np.flatnonzero(alike)
+    total, at = np.cumsum(a_sizes[own]), 0
+    while at < len(own):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+        some = own[at:to]
+        size = a_sizes[some]
+        equal = a[runs(a_starts[some], size)] == b[runs(b_starts[some], size)]
+        alike[some] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+        at = to
+    return alike
+
+
 class Chunk:
     """Some whole texts: their bytes, word spans and the words' first index by text."""
 
-    def __init__(self, data: np.ndarray, ends: np.ndarray, first: int, lower: bool):
+    def __init__(self, data: np.ndarray, ends: np.ndarray, first: int, lower: bool, cuts: np.ndarray | None = None):
         separators = np.zeros(256, dtype=bool)
         separators[list(SPACES)] = True
         self.first, self.data = first, data
@@ -48,9 +69,13 @@ class Chunk:
         starts_text = np.concatenate(([0], ends[:-1])).astype(np.int64)
         inner = starts_text[(starts_text > 0) & (starts_text < len(data))]
         gap_before[inner] = True
-        self.starts = np.flatnonzero(~gap & gap_before)
         gap_after = np.concatenate((gap[1:], [True])) if len(gap) else gap
         gap_after[inner - 1] = True
+        if cuts is not None:
+            cut = cuts[data[:-1], data[1:]]
+            gap_before[1:] |= cut
+            gap_after[:-1] |= cut
+        self.starts = np.flatnonzero(~gap & gap_before)
         self.ends = np.flatnonzero(~gap & gap_after) + 1
         #: Words of text i: bounds[i] to bounds[i + 1].
         self.bounds = np.searchsorted(self.starts, np.concatenate(([0], ends)))
@@ -81,12 +106,26 @@ class Chunk:
             at = to
         return mix(out)
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of one word of each kind, their hashes, kind of every word); words are of a kind if their bytes are equal."""
+        hashes = self.hashes()
+        _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+        alike = same_bytes(self.data, self.starts, self.ends - self.starts, self.data, self.starts[first[kind]], (self.ends - self.starts)[first[kind]])
+        # Words that only share another one's hash are kinds of their own.
+        odd = np.flatnonzero(~alike)
+        kind[odd] = len(first) + np.arange(len(odd))
+        places = np.concatenate((first, odd))
+        return places, hashes[places], kind
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
-def chunks(texts: pa.Array, lower: bool = False) -> Iterator[Chunk]:
-    """Whole texts in chunks of about CHUNK_BYTES; one longer text is a chunk of its own."""
+def chunks(texts: pa.Array, lower: bool = False, size: int = CHUNK_BYTES, cuts: np.ndarray | None = None) -> Iterator[Chunk]:
+    """Whole texts in chunks of about `size` bytes; one longer text is a chunk of its own.
+
+    cuts[a, b] tells that words also end between the bytes a and b.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     filled = pc.fill_null(texts, "").cast(pa.large_string())
@@ -97,9 +136,9 @@ def chunks(texts: pa.Array, lower: bool = False) -> Iterator[Chunk]:
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8)
     at = 0
     while at < len(filled):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, side="right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
         base = offsets[at]
-        yield Chunk(data[base : offsets[to]], offsets[at + 1 : to + 1] - base, at, lower)
+        yield Chunk(data[base : offsets[to]], offsets[at + 1 : to + 1] - base, at, lower, cuts)
         at = to
 
 
