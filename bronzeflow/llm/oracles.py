@@ -68,10 +68,15 @@ def _host_rules() -> str:
         SELECT source, count(*) AS n, sum((base_failed OR 100 * n_symbols > {r.symbol_percent} * word_chars
             OR 100 * n_dup_lines > {r.dup_line_percent} * n_lines)::INT) AS bad
         FROM failed GROUP BY source),
-    moments AS (SELECT avg(bad / n) AS m, var_pop(bad / n) AS v FROM hosts),
-    prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) ELSE 1.0 END AS k FROM moments),
-    rates AS (SELECT source, (bad + m * k) / (n + k) AS rate FROM hosts, prior)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate < {r.reject_rate} AS kept
+    usual AS (SELECT n, bad / n AS raw FROM hosts WHERE n >= least({r.least_docs}, (SELECT max(n) FROM hosts))),
+    middle AS (SELECT raw AS m FROM usual QUALIFY row_number() OVER (ORDER BY raw) = ceil(count(*) OVER () / 2.0)),
+    spreads AS (SELECT m, greatest(avg(pow(raw - m, 2) - m * (1 - m) / n), 0) AS v FROM usual, middle WHERE raw <= m GROUP BY m),
+    prior AS (
+        SELECT m, greatest({r.moderate}, m + greatest({r.margin}, {r.sure} * sqrt(v))) AS top,
+            CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), {r.most_weight}) ELSE {r.most_weight} END AS k FROM spreads),
+    rates AS (SELECT source, n + k + 1 AS size, top, (bad + m * k) / (n + k) AS rate FROM hosts, prior)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND rate < {r.reject_rate} AND rate - {r.sure} * sqrt(rate * (1 - rate) / size) <= top AS kept
     FROM failed JOIN rates ON failed.source IS NOT DISTINCT FROM rates.source"""
 
 

@@ -4,7 +4,9 @@ import re
 
 import brute
 import numpy as np
+import oracle
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from bronzeflow.llm import (
     host_rules,
     minhash,
     mixing,
+    oracles,
     quality,
     queries,
     secrets,
@@ -147,6 +150,19 @@ def test_a_half_bad_host_goes_among_thousands_of_good_ones(spark):
     assert {r.host for r in rates.filter("rejected").collect()} == {"half", "all"}
 
 
+def test_host_verdicts_decide_rows_in_query_and_sql(spark, tmp_path):
+    good = " ".join(f"word{i}" for i in range(60))
+    data = [(f"h{n % 30}", "x" if n // 30 < 1 + n % 3 else good) for n in range(450)]
+    data += [("half", good if n % 2 else "x") for n in range(200)] + [("signs", good + " ### $$$ %%%" * 20 if n % 3 else good) for n in range(90)]
+    data += [(None, good)] * 12 + [("few", "x")] * 2 + [("few", None)]
+    pq.write_table(pa.table({"doc_id": range(len(data)), "text": [t for _, t in data], "source": [s for s, _ in data]}), tmp_path / "documents.parquet")
+    got = oracle.spark_rows(queries.op2_host_rules(spark, str(tmp_path)))
+    assert got == oracle.duck_rows(oracle.connect(str(tmp_path)), oracles.oracle_sql()["op2_host_rules"])
+    at = {name: i for i, name in enumerate(got[0])}
+    gone = {data[r[at["doc_id"]]][0] for r in got[1] if not r[at["kept"]] and not r[at["base_failed"]]}
+    assert gone == {"half", "signs"}
+
+
 # 3
 
 
