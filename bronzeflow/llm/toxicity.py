@@ -8,16 +8,18 @@ put together by weights calibrated on labelled documents that trained neither
 dictionary.
 
 A toxic document is mostly ordinary text. So the toxic training text is its
-stretches of byte n-grams that far more toxic than ordinary documents contain.
-A window is one lower-cased word in a fixed frame of ordinary text: zstandard
-stores very short inputs raw, and the frame pays for the first match.
+stretches of byte n-grams, and its stretches of word pairs, that far more toxic
+than ordinary documents contain. There are two kinds of windows, both lower-cased:
+each word, in a fixed frame of ordinary text (zstandard stores very short inputs
+raw, and the frame pays for the first match), and runs of words that overlap by
+half. Runs show abuse made of ordinary words, whose pairs then save bytes.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache, cached_property
 from itertools import islice
 
@@ -38,12 +40,19 @@ class Settings:
     """Training rows kept per class, dictionary bytes, n-gram length, contrast, compression level.
 
     The classifier is fitted on at most sample_rows rows of each class, those with the smallest hashes of their id.
+    Byte n-grams and word pairs in less than least_share of the toxic training rows are never learned, nor are those
+    whose share there is not `contrast` times that among the ordinary ones. The ordinary dictionary is trained on
+    ordinary_windows runs of eight words, evenly spaced in the sample, where it has more. A run is a window of `run` words.
     """
 
     sample_rows: int = 3000
     ordinary_bytes: int = 8192
     toxic_bytes: int = 1536
+    pair_bytes: int = 1536
+    ordinary_windows: int = 60_000
     gram: int = 5
+    run: int = 8
+    run_level: int = 3
     least_share: float = 0.02
     contrast: float = 10.0
     level: int = 12
@@ -53,25 +62,38 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    """Both dictionaries' bytes, the distance of an empty window, calibration weights."""
+    """The dictionaries' bytes, settings of the windows, calibration weights."""
 
     ordinary: bytes
     toxic: bytes
-    level: int
-    frame: int
-    weights: tuple[float, ...]
+    pairs: bytes
+    settings: Settings
+    weights: tuple[float, ...] = ()
 
     @cached_property
     def _pair(self) -> tuple:
-        return _compressor(self.ordinary, self.level), _compressor(self.ordinary + self.toxic, self.level)
+        level = self.settings.level
+        return _compressor(self.ordinary, level), _compressor(self.ordinary + self.toxic, level)
+
+    @cached_property
+    def _run_pair(self) -> tuple:
+        level = self.settings.run_level
+        return _compressor(self.ordinary, level), _compressor(self.ordinary + self.toxic + self.pairs, level)
 
     def distance(self, word: bytes) -> int:
         """Bytes that the toxic dictionary saves on the framed word."""
-        at = len(self.ordinary) // 40
-        window = self.ordinary[at : at + self.frame] + b" " + word + b" " + self.ordinary[at + 2 * self.frame : at + 3 * self.frame]
+        at, frame = len(self.ordinary) // 40, self.settings.frame
+        window = self.ordinary[at : at + frame] + b" " + word + b" " + self.ordinary[at + 2 * frame : at + 3 * frame]
         ordinary, toxic = self._pair
         return len(ordinary(window)) - len(toxic(window))
 
+    def run_distances(self, every: list[bytes]) -> np.ndarray:
+        """Bytes that the toxic dictionaries save on each run of words."""
+        size = self.settings.run
+        ordinary, toxic = self._run_pair
+        runs = [b" ".join(every[i : i + size]) for i in range(0, max(1, len(every) - size // 2), size // 2)]
+        return np.array([len(ordinary(r)) - len(toxic(r)) for r in runs], dtype=np.float64)
+
     def features(self, text: str | None, known: dict[bytes, int]) -> np.ndarray | None:
         """Thresholded distances of a text's windows; None without words."""
         every = (text or "").encode().lower().split()
@@ -89,7 +111,11 @@ class Model:
         d = np.array(found, dtype=np.float64)
         size = np.log(2 + len(d))
         above = [np.maximum(d - t, 0) for t in (0, 1, 2, 3)]
-        return np.array([*(x.mean() for x in above), *(np.log1p(x.sum()) for x in above[1:]), d.max(), (d >= 3).sum() / size, size, 1.0])
+        of_words = [*(x.mean() for x in above), *(np.log1p(x.sum()) for x in above[1:]), d.max(), (d >= 3).sum() / size]
+        r = self.run_distances(every)
+        above = [np.maximum(r - t, 0) for t in (0, 2, 4, 8)]
+        of_runs = [*(x.mean() for x in above), *(np.log1p(x.sum()) for x in above), r.max(), (r >= 6).sum() / size]
+        return np.array([*of_words, *of_runs, size, 1.0])
 
     def score(self, text: str | None, known: dict[bytes, int]) -> float:
         found = self.features(text, known)
@@ -114,6 +140,19 @@ def _trained(samples: list[bytes], size: int, **kind: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def _commonest(samples: list[bytes], size: int) -> bytes:
+    """The most frequent samples up to a size, the commonest last, where matches cost least.
+
+    A trained dictionary would cut them into segments of one length.
+    """
+    chosen: list[bytes] = []
+    for sample, _ in Counter(samples).most_common():
+        if sum(map(len, chosen)) + len(chosen) + len(sample) > size:
+            break
+        chosen.append(sample)
+    return b" " + b" ".join(reversed(chosen)) if chosen else b""
+
+
 def _codes(text: bytes, gram: int) -> np.ndarray:
     """One integer per byte n-gram of at most 8 bytes."""
     data = np.frombuffer(text, dtype=np.uint8).astype(np.uint64)
@@ -136,6 +175,22 @@ def _stretches(text: bytes, marked: np.ndarray, gram: int) -> list[bytes]:
     return [text[max(0, a - 1) : b + gram] for a, b in edges.reshape(-1, 2).tolist()]
 
 
+def _marked_pairs(toxic: list[list[bytes]], ordinary: list[list[bytes]], settings: Settings) -> set[tuple[bytes, bytes]]:
+    """Pairs of neighbouring words that far more toxic than ordinary documents hold."""
+    counts = Counter(p for words in toxic for p in set(zip(words, words[1:], strict=False)))
+    least = max(2, settings.least_share * len(toxic))
+    common = {p for p, n in counts.items() if n >= least}
+    base = Counter(p for words in ordinary for p in common.intersection(zip(words, words[1:], strict=False)))
+    return {p for p in common if counts[p] / len(toxic) > settings.contrast * (base[p] + 0.5) / len(ordinary)}
+
+
+def _pair_stretches(words: list[bytes], marked: set[tuple[bytes, bytes]]) -> list[bytes]:
+    """Maximal runs of words whose neighbouring pairs are all marked."""
+    hit = np.array([False, *(p in marked for p in zip(words, words[1:], strict=False)), False], dtype=np.int8)
+    edges = np.flatnonzero(np.diff(hit))
+    return [b" ".join(words[a : b + 1]) for a, b in edges.reshape(-1, 2).tolist()]
+
+
 def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     """A model of (text, label) rows, label 1 for toxic. Without both labels every score is 0."""
     parts: dict[tuple[int, bool], list[bytes]] = {(label, held): [] for label in (0, 1) for held in (False, True)}
@@ -146,7 +201,7 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
         seen[text[1]] += 1
     ordinary, toxic = parts[0, False], parts[1, False]
     if not (ordinary and toxic):
-        return Model(b"", b"", settings.level, settings.frame, ())
+        return Model(b"", b"", b"", settings)
     codes, counts = _document_counts(toxic, settings.gram)
     base_codes, base_counts = _document_counts(ordinary, settings.gram)
     place = np.minimum(np.searchsorted(base_codes, codes), len(base_codes) - 1)
@@ -154,21 +209,23 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     common = counts >= max(2, settings.least_share * len(toxic))
     marked = codes[common & (counts / len(toxic) > settings.contrast * (base + 0.5) / len(ordinary))]
     found = [s for t in toxic for s in _stretches(t, marked, settings.gram)]
-    windows = [b" ".join(w[i : i + 8]) for w in (t.split() for t in ordinary) for i in range(0, len(w), 8)]
-    step = max(1, len(windows) // 60_000)
+    split = {y: [t.split() for t in parts[y, False]] for y in (0, 1)}
+    marked_pairs = _marked_pairs(split[1], split[0], settings)
+    runs = [s for words in split[1] for s in _pair_stretches(words, marked_pairs)]
+    windows = [b" ".join(w[i : i + 8]) for w in split[0] for i in range(0, len(w), 8)]
+    step = max(1, len(windows) // settings.ordinary_windows)
     groups = [b"".join(found[i : i + 6]) for i in range(0, len(found), 6)]
     model = Model(
         _trained(windows[::step], settings.ordinary_bytes),
         _trained(groups, settings.toxic_bytes, k=24, d=6) if groups else b"",
-        settings.level,
-        settings.frame,
-        (),
+        _commonest(runs, settings.pair_bytes),
+        settings,
     )
     held = [(t, y) for y in (0, 1) for t in parts[y, True] or parts[y, False]]
     known: dict[bytes, int] = {}
     x = np.array([model.features(t.decode(), known) for t, _ in held])
     weights = _calibrated(x, np.array([y for _, y in held], dtype=np.float64), settings.cut)
-    return Model(model.ordinary, model.toxic, model.level, model.frame, tuple(weights.tolist()))
+    return replace(model, weights=tuple(weights.tolist()))
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray, cut: float) -> np.ndarray:

@@ -301,6 +301,25 @@ def test_toxicity_of_held_out_rows(spark):
     assert accuracy(spark, "/root/testdata/sf0.1", queries.op6_toxicity, "toxic") > 0.92
 
 
+def test_phrases_of_ordinary_words_are_toxic_by_their_order():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"{a}{b}{c}" for a in ("ba", "do", "ke", "li", "fa", "pi", "zu") for b in ("mu", "ra", "so", "ti", "ve", "lo", "na") for c in ("n", "r", "st", "k", "lt", "")]
+    draw = lambda n: [vocabulary[i] for i in rng.integers(0, len(vocabulary), n)]
+    phrases = [draw(4) for _ in range(3)]
+    rows = []
+    for i in range(700):
+        words = draw(int(rng.integers(80, 200)))
+        if i % 2:
+            for at in rng.integers(0, len(words), 3):
+                words[at:at] = phrases[int(rng.integers(0, 3))]
+        rows.append((" ".join(words), i % 2))
+    model = toxicity.fit(rows[:500])
+    scores = np.array([model.score(t, {}) for t, _ in rows[500:]])
+    assert np.mean((scores >= 0.7) == [y == 1 for _, y in rows[500:]]) > 0.9
+    mixed = np.array([model.score(" ".join(rng.permutation(t.split())), {}) for t, y in rows[500:] if y])
+    assert np.mean(mixed >= 0.7) < 0.2
+
+
 def test_quality_of_held_out_rows(spark):
     assert accuracy(spark, "/root/testdata/sf0.01", queries.op9_quality, "quality") > 0.95
 
