@@ -55,7 +55,7 @@ class Settings:
     run_level: int = 3
     least_share: float = 0.02
     contrast: float = 10.0
-    level: int = 12
+    level: int = 6
     frame: int = 24
     cut: float = 0.7
 
