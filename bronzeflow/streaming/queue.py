@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bronzeflow.context import RunContext
 from bronzeflow.operators.incremental import with_record_key
+from bronzeflow.plans import redelivery
 from bronzeflow.plans.worker import Store, batch_context, run_batch
 from bronzeflow.sinks.tables import Tables
 
@@ -42,19 +43,36 @@ def dedupe_records(records: DataFrame, site: str, measured: str, window: str = "
 def run_worker(
     work_messages: DataFrame, tables: Tables, store: Store, ctx: RunContext, checkpoint: str,
     every: str | None = None, packed: bool = False, clock: Callable[[], str] | None = None,
+    retry: redelivery.Retry | None = None,
 ) -> StreamingQuery:
     """Process a queue stream batch by batch; without ``every`` until it is drained.
 
     Each batch has its own time, from ``clock``, recorded so that a replay
     repeats it. Without one a draining run has the time of ``ctx`` throughout,
     and a run that goes on takes the present time.
+
+    With ``retry`` a batch also tries the items again that are due at its time,
+    and gives up those that used up their attempts. A run that goes on has
+    batches without new messages too; a drained queue leaves what is not yet due
+    to the next run with messages.
     """
     told = clock or (_now if every else lambda: ctx.run_ts)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        own = batch_context(df.sparkSession, tables, ctx, batch_id, told)
-        run_batch(df.sparkSession, df, tables, store, own, batch_id, packed)
-
+        spark = df.sparkSession
+        own = batch_context(spark, tables, ctx, batch_id, told)
+        if retry is None:
+            run_batch(spark, df, tables, store, own, batch_id, packed)
+            return
+        sent = df.filter(~F.col("_tick")) if "_tick" in df.columns else df
+        run_batch(spark, redelivery.with_due(sent, tables, own.run_ts, batch_id), tables, store, own, batch_id, packed)
+        redelivery.settle(spark, tables, retry, own.run_ts, batch_id)
+
+    if retry is not None and every:
+        # Without new messages there is no batch, and so no attempt: one row a second keeps them coming.
+        ticks = work_messages.sparkSession.readStream.format("rate").option("numPartitions", 1).load()
+        ticks = ticks.select(F.lit(None).cast("binary").alias("body"), F.lit(True).alias("_tick"))
+        work_messages = work_messages.select("body", F.lit(False).alias("_tick")).union(ticks)
     writer = work_messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
