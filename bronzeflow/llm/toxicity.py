@@ -51,7 +51,7 @@ class Settings:
     pair_bytes: int = 1536
     ordinary_windows: int = 60_000
     gram: int = 5
-    run: int = 12
+    run: int = 8
     run_level: int = 3
     least_share: float = 0.02
     contrast: float = 10.0
