@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 # buckets of one expected interval per window partition of the gap check
 _BUCKETS_PER_SPAN = 4096
+# bits of the map of repeated fingerprints: 16 MiB
+FINGERPRINT_BITS = 1 << 27
 
 
 def newline_count(content: Column | str) -> Column:
@@ -40,11 +42,11 @@ def profile_dataset(
 ) -> DataFrame:
     """One profile row per dataset; ``columns`` are the data cells, ``ts`` one of them.
 
-    Equal rows collapse first, on a shuffle spread over all columns, so a
-    dataset with most of the rows is many groups, not one. The gap check
-    compares the first and last timestamp of buckets one interval wide: a gap
-    above the interval never lies inside a bucket. Buckets are compared within
-    spans, then spans within the dataset, so no window holds a dataset's rows.
+    Rows are added up in buckets one interval wide before anything is shuffled;
+    repeated ones are counted by ``repeated_rows``. The gap check compares the
+    first and last timestamp of buckets: a gap above the interval never lies
+    inside one. Buckets are compared within spans, then spans within the
+    dataset, so no window holds a dataset's rows.
     """
     group = [F.col(dataset).alias("dataset")] + [
         F.col(c).alias(f"c{i}") for i, c in enumerate(columns)
@@ -52,29 +54,20 @@ def profile_dataset(
     cells = [f"c{i}" for i in range(len(columns))]
     bad = F.coalesce(F.col(corrupt), F.lit(False)) if corrupt else F.lit(False)
     valid = F.col(schema_valid) if schema_valid else F.lit(None).cast("boolean")
-    distinct = (
-        rows.select(*group, bad.alias("bad"), valid.alias("valid"))
-        .groupBy("dataset", *cells)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if("bad").alias("bad"),
-            F.bool_and("valid").alias("valid"),
-        )
-    )
+    plain = rows.select(*group, bad.alias("bad"), valid.alias("valid"))
     nulls = sum((F.col(c).isNull().cast("int") for c in cells), F.lit(0))
     micros = F.unix_micros(F.col(f"c{columns.index(ts)}").cast("timestamp"))
     width = frequency_seconds * 1_000_000
 
     buckets = (
-        distinct.withColumn("micros", micros)
+        plain.withColumn("micros", micros)
         .withColumn("bucket", _bucket("micros", width))
         .withColumn("span", _bucket("bucket", _BUCKETS_PER_SPAN))
         .groupBy("dataset", "span", "bucket")
         .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") - 1).alias("extra"),
-            F.sum(F.col("n") * nulls).alias("nulls"),
-            F.sum("bad").alias("bad"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(nulls).alias("nulls"),
+            F.count_if("bad").alias("bad"),
             F.bool_and("valid").alias("valid"),
             F.min("micros").alias("first"),
             F.max("micros").alias("last"),
@@ -85,7 +78,7 @@ def profile_dataset(
         buckets.withColumn("step", F.col("first") - F.lag("last").over(in_span))
         .groupBy("dataset", "span")
         .agg(
-            *[F.sum(c).alias(c) for c in ("n", "extra", "nulls", "bad")],
+            *[F.sum(c).alias(c) for c in ("n", "nulls", "bad")],
             F.bool_and("valid").alias("valid"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
@@ -97,13 +90,18 @@ def profile_dataset(
         spans.withColumn("jump", F.col("first") - F.lag("last").over(in_dataset))
         .groupBy("dataset")
         .agg(
-            *[F.sum(c).cast("bigint").alias(c) for c in ("n", "extra", "nulls", "bad")],
+            *[F.sum(c).cast("bigint").alias(c) for c in ("n", "nulls", "bad")],
             F.bool_and("valid").alias("valid"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
             F.max(F.greatest("step", "jump")).alias("widest"),
         )
     )
+    # one row for each dataset that holds a row twice
+    extra = repeated_rows(plain, "dataset", cells).withColumnRenamed("dataset", "_dataset")
+    totals = totals.join(extra, F.col("dataset").eqNullSafe(F.col("_dataset")), "left").withColumn(
+        "extra", F.coalesce("extra", F.lit(0).cast("bigint"))
+    )
     rows_d = F.col("n").cast("double")
     null_share = F.col("nulls").cast("double") / (rows_d * F.lit(float(len(columns))))
     score = (
@@ -139,6 +137,37 @@ def profile_dataset(
     )
 
 
+def repeated_rows(rows: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """(by, extra): rows beyond the first of equal ones in ``by`` and ``columns``; values of ``by`` without any are absent.
+
+    Fingerprints are counted first, 8 bytes a row. Those met more than once set
+    bits of a map of constant size, at most 16 MiB whatever the rows; only rows
+    whose bit is set are shuffled and compared in full. Two different rows with
+    one fingerprint, or one bit, are told apart there. Nulls equal nulls, NaN
+    equals NaN and -0.0 equals 0.0. No rows give none.
+    """
+    fingerprint = F.xxhash64(by, *columns)
+    # bits count from 1: the functions of bitmaps number 0 apart
+    bit = F.pmod("_print", F.lit(FINGERPRINT_BITS)) + 1
+    met = rows.select(fingerprint.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("_n"))
+    marks = (
+        met.filter("_n > 1")
+        .groupBy(F.bitmap_bucket_number(bit).alias("_part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_marks"))
+    )
+    spot = F.bitmap_bit_position(bit)
+    byte = F.ascii(F.decode(F.substring("_marks", F.floor(spot / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    marked = F.getbit(byte, (spot % 8).cast("int")) == 1
+    open_rows = (
+        rows.select(by, *columns, fingerprint.alias("_print"))
+        .withColumn("_part", F.bitmap_bucket_number(bit))
+        .join(F.broadcast(marks), "_part")  # FINGERPRINT_BITS at most
+        .filter(marked)
+    )
+    equal = open_rows.groupBy(by, *columns).agg(F.count(F.lit(1)).alias("_n"))
+    return equal.groupBy(by).agg(F.sum(F.col("_n") - 1).alias("extra")).filter("extra > 0")
+
+
 def _bucket(value: str, width: int) -> Column:
     """Floor division in integers."""
     return F.expr(f"({value} - pmod({value}, {width}L)) div {width}L")
