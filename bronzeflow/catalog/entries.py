@@ -16,7 +16,7 @@ from bronzeflow.operators import (
 )
 from bronzeflow.operators.schema import first_error
 from bronzeflow.plans import dispatcher, records, worker
-from bronzeflow.sinks import bronze, history, record_store
+from bronzeflow.sinks import bronze, history, record_store, sidecars
 from bronzeflow.sinks.messages import dead_letter_messages, event_messages, work_item_messages
 from bronzeflow.sinks.tables import Tables
 from bronzeflow.sources import files, folders, listing
@@ -306,16 +306,35 @@ def metadata_sidecar(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sidecar_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Sidecars that stay visible when each path is overwritten by the highest version."""
+def _sidecars(spark: SparkSession, sf: str) -> DataFrame:
     built = builders.with_checked(
         _profiled(spark, sf), "metadata", builders.metadata(CONTEXT),
         contracts.metadata_file(CONTEXT),
     )
-    written = built.filter(F.size("metadata_errors") == 0).select(
+    return built.filter(F.size("metadata_errors") == 0).select(
         "metadata_path", "version", builders.as_json("metadata").alias("metadata_json")
     )
-    return bronze.latest_sidecars(written).select(
+
+
+def sidecar_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files under the metadata paths: the oldest sidecar of each was written, then all, then the oldest again."""
+    root = scratch_dir(spark, "sidecars")
+    built = materialize(_sidecars(spark, sf), "sidecar_rows")
+    first = F.min(F.struct("version", "metadata_json")).alias("first")
+    oldest = built.groupBy("metadata_path").agg(first).select("metadata_path", "first.*")
+    for rows in (oldest, built, oldest):
+        sidecars.write_sidecars(rows, root)
+    at = lambda path: F.get_json_object("metadata_json", path)
+    return sidecars.read_sidecars(spark, root).select(
+        "metadata_path", at("$.dataset.version").cast("bigint").alias("version"),
+        at("$.dataset.dataset_id").alias("dataset_id"), at("$.lineage.rerun_of").alias("rerun_of"),
+        at("$.event_time.expected_frequency_seconds").cast("bigint").alias("frequency"),
+    )
+
+
+def sidecar_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Sidecars that stay visible when each path is overwritten by the highest version."""
+    return bronze.latest_sidecars(_sidecars(spark, sf)).select(
         "metadata_path", "version",
         F.get_json_object("metadata_json", "$.dataset.dataset_id").alias("dataset_id"),
         F.get_json_object("metadata_json", "$.lineage.rerun_of").alias("rerun_of"),
@@ -801,5 +820,6 @@ QUERIES = {
         idempotency_purge, window_key_filter, lookback_filter, invocation_stats, validation_alerts,
         mapping_sentinel, api_flatten, incident_link, event_dedupe_stream, ingest_run,
         tracking_stream, history_versions, identity_guard_index, record_store_days, folder_listing,
+        sidecar_files,
     )
 }

@@ -470,6 +470,7 @@ def oracle_sql() -> dict[str, str]:
             AS rerun_of, CAST(300 AS BIGINT) AS frequency
         FROM profiled GROUP BY metadata_path""",
     )
+    sql["sidecar_files"] = sql["sidecar_latest"]
     sql["event_envelope"] = _with(
         "profiled",
         f"""SELECT s3_key, 0 AS violations, '1.0' AS specversion, '{EVENT_TYPE}' AS type,

@@ -9,6 +9,8 @@ from completed versions only, so a replay repeats the same events.
 
 from __future__ import annotations
 
+import time
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -23,7 +25,7 @@ from bronzeflow.operators import (
     builders, failures, guard, incremental, messages, metrics, ownership, tracking,
 )
 from bronzeflow.operators.schema import first_error
-from bronzeflow.sinks import bronze, history
+from bronzeflow.sinks import bronze, history, sidecars
 from bronzeflow.sinks.messages import event_messages
 from bronzeflow.sinks.tables import Tables, read_batch, read_table, write_batch
 from bronzeflow.workspace import materialize
@@ -34,6 +36,11 @@ _OUTCOME = (
     "correlation_id string, s3_key string, discovered boolean, downloaded boolean, "
     "stored boolean, emitted boolean, failed boolean, redeliver boolean, message string, batch_id int"
 )
+_SOURCE = "PVDAQ-historical-worker"
+_COUNTERS = (
+    "source string, datasets_discovered bigint, datasets_downloaded bigint, datasets_stored bigint, "
+    "datasets_emitted bigint, datasets_failed bigint, duration_ms double, correlation_id string, error string, batch_id int"
+)
 _DEAD_LETTER = "correlation_id string, error_type string, file_reference string, failure_reason string"
 
 
@@ -116,12 +123,34 @@ def run_batch(
     ctx: RunContext,
     batch_id: int,
     packed: bool = False,
+    sidecar_root: str | None = None,
 ) -> None:
-    """Process one batch and write all its outputs, in order.
+    """Process one batch and write all its outputs, in order, and its counters, however it ends.
 
     ``packed`` keeps many small objects in few bronze files instead of a
-    folder per dataset.
+    folder per dataset. With ``sidecar_root`` each sidecar is also a file under
+    its metadata path there; an object whose file cannot be written is not published.
     """
+    begun, error = time.monotonic(), None
+    try:
+        _process(spark, work_messages, tables, store, ctx, batch_id, packed, sidecar_root)
+    except BaseException as raised:
+        error = type(raised).__name__
+        raise
+    finally:
+        try:
+            write_counters(spark, tables, ctx, batch_id, (time.monotonic() - begun) * 1000.0, error)
+        except Exception as unwritten:
+            # what ended the batch is what the caller has to see
+            if error is None:
+                raise
+            warnings.warn(f"no counters of batch {batch_id}: {unwritten}", stacklevel=2)
+
+
+def _process(
+    spark: SparkSession, work_messages: DataFrame, tables: Tables, store: Store, ctx: RunContext,
+    batch_id: int, packed: bool, sidecar_root: str | None,
+) -> None:
     log, owners = version_log(tables), ownership.Index(tables.root)
     # all earlier batches have ended, so what they logged may be folded
     history.fold(spark, log, batch_id)
@@ -158,17 +187,18 @@ def run_batch(
     built = materialize(with_artifacts(copied, ctx), "built")
     sidecar_ok = F.size("metadata_errors") == 0
     event_ok = sidecar_ok & (F.size("envelope_errors") == 0)
-    write_batch(
-        built.filter(sidecar_ok).select(
-            "metadata_path", "version", "s3_key", builders.as_json("metadata").alias("metadata_json")
-        ),
-        tables.sidecars,
-        batch_id,
+    documents = built.filter(sidecar_ok).select(
+        "metadata_path", "version", "s3_key", builders.as_json("metadata").alias("metadata_json")
     )
-    published = built.filter(event_ok)
+    write_batch(documents, tables.sidecars, batch_id)
+    placed = F.lit(True)
+    if sidecar_root is not None:
+        built = _with_placement(built, sidecars.write_sidecars(documents, sidecar_root))
+        placed = F.col("error_class").isNull()
+    published = built.filter(event_ok & placed)
     write_batch(event_messages(published, ctx), tables.events, batch_id)
 
-    bad = built.filter(~event_ok)
+    bad = built.filter(~event_ok & placed)
     failed = (
         _failure(refused, F.lit("store"), refusal, F.lit(False))
         .unionByName(_failure(missing, F.lit("store"), F.col("error_text"), _transient()))
@@ -183,6 +213,10 @@ def run_batch(
             )
         )
     )
+    if sidecar_root is not None:
+        failed = failed.unionByName(
+            _failure(built.filter(~placed), F.lit("store"), F.col("error_text"), _transient())
+        )
     routed = failures.route_failures(failed)
     letters = failures.dead_letters(
         routed,
@@ -213,6 +247,17 @@ def run_batch(
     )
 
 
+def _with_placement(built: DataFrame, put: DataFrame) -> DataFrame:
+    """Built items with the error of their sidecar's file; both sides have one row per path."""
+    told = put.select(
+        "metadata_path", F.col("error_class").alias("_class"), F.col("error_text").alias("_text")
+    )
+    joined = built.join(told, "metadata_path", "left").withColumns(
+        {"error_class": F.col("_class"), "error_text": F.col("_text")}
+    )
+    return materialize(joined.drop("_class", "_text"), "placed")
+
+
 def _transient() -> Column:
     link = F.struct(
         F.col("error_class").alias("error_class"),
@@ -276,10 +321,60 @@ def batch_context(
 def run_counters(spark: SparkSession, tables: Tables, ctx: RunContext) -> DataFrame:
     """Counters per correlation id over all batches, rejected messages included."""
     log = read_table(spark, tables.outcomes, _OUTCOME).withColumn("ts", F.lit(ctx.run_ts))
-    counters = metrics.run_metrics(log, "PVDAQ-historical-worker", "ts", "ts")
+    counters = metrics.run_metrics(log, _SOURCE, "ts", "ts")
     return counters.withColumn("duration_ms", F.lit(ctx.elapsed_seconds * 1000.0))
 
 
+def write_counters(
+    spark: SparkSession, tables: Tables, ctx: RunContext, batch_id: int, duration_ms: float, error: str | None
+) -> None:
+    """Counters of one batch per correlation id, from what it wrote before it ended.
+
+    A batch that ended well has its outcomes. One that raised, ``error``, counts
+    what its tables hold: copies and events that were written, all other attempts
+    failed; messages it refused are not known then. One that raised before its
+    attempts were settled leaves a row of zeros for its run.
+    """
+    log = _log_of_outcomes(spark, tables, batch_id) if error is None else _log_of_tables(spark, tables, batch_id)
+    timed = log.withColumn("ts", F.lit(ctx.run_ts))
+    counted = metrics.run_metrics(timed, _SOURCE, "ts", "ts")
+    if error is not None:
+        zeros = {f"datasets_{stage}": F.lit(0).cast("bigint") for stage in metrics.STAGES}
+        none = spark.range(1).select(
+            F.lit(_SOURCE).alias("source"), *[v.alias(n) for n, v in zeros.items()],
+            F.lit(0.0).alias("duration_ms"), F.lit(ctx.correlation_id).alias("correlation_id"),
+        )
+        counted = counted if not log.isEmpty() else none
+    counted = counted.withColumns({"duration_ms": F.lit(float(duration_ms)), "error": F.lit(error).cast("string")})
+    write_batch(counted, tables.batch_metrics, batch_id)
+
+
+def _log_of_outcomes(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
+    return read_batch(spark, tables.outcomes, batch_id, T.StructType.fromDDL(_OUTCOME)).drop("batch_id")
+
+
+def _log_of_tables(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
+    """One row per settled attempt; all three tables have one row per object."""
+
+    def written(path: str, schema: str) -> DataFrame:
+        return read_table(spark, f"{path}/batch_id={int(batch_id)}", schema)
+
+    attempts = written(tables.attempts, "correlation_id string, s3_key string, event_id string")
+    copied = written(tables.bronze, "s3_key string, error_class string").filter("error_class IS NULL")
+    sent = written(tables.events, "key string").select(F.col("key").alias("event_id"), F.lit(True).alias("_sent"))
+    joined = attempts.join(copied.select("s3_key", F.lit(True).alias("_copied")), "s3_key", "left").join(sent, "event_id", "left")
+    stored, emitted = F.col("_copied").isNotNull(), F.col("_sent").isNotNull()
+    return joined.select(
+        "correlation_id", "s3_key", F.lit(False).alias("discovered"), stored.alias("downloaded"),
+        stored.alias("stored"), emitted.alias("emitted"), (~emitted).alias("failed"),
+    )
+
+
+def batch_counters(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Counters of every batch by correlation id, with the error of those that raised; a replay replaces its batch's."""
+    return read_table(spark, tables.batch_metrics, _COUNTERS)
+
+
 def version_log(tables: Tables) -> history.History:
     """The lifecycle events of versions once more, folded every few batches; batches read this one."""
     return history.History(tables.versions)

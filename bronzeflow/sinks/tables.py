@@ -13,7 +13,7 @@ TABLES = {
     "queued", "queue", "skipped", "rejected", "site_outcomes", "run_metrics",
     "attempts", "bronze", "sidecars", "events", "lifecycle", "dead_letters", "outcomes",
     "batch_times", "versions", "record_store", "record_events", "record_dead_letters", "record_metrics",
-    "redeliveries", "exhausted",
+    "redeliveries", "exhausted", "batch_metrics",
 }
 
 

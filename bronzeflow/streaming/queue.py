@@ -43,7 +43,7 @@ def dedupe_records(records: DataFrame, site: str, measured: str, window: str = "
 def run_worker(
     work_messages: DataFrame, tables: Tables, store: Store, ctx: RunContext, checkpoint: str,
     every: str | None = None, packed: bool = False, clock: Callable[[], str] | None = None,
-    retry: redelivery.Retry | None = None,
+    retry: redelivery.Retry | None = None, sidecar_root: str | None = None,
 ) -> StreamingQuery:
     """Process a queue stream batch by batch; without ``every`` until it is drained.
 
@@ -54,7 +54,7 @@ def run_worker(
     With ``retry`` a batch also tries the items again that are due at its time,
     and gives up those that used up their attempts. A run that goes on has
     batches without new messages too; a drained queue leaves what is not yet due
-    to the next run with messages.
+    to the next run with messages. ``sidecar_root`` is that of ``run_batch``.
     """
     told = clock or (_now if every else lambda: ctx.run_ts)
 
@@ -62,10 +62,11 @@ def run_worker(
         spark = df.sparkSession
         own = batch_context(spark, tables, ctx, batch_id, told)
         if retry is None:
-            run_batch(spark, df, tables, store, own, batch_id, packed)
+            run_batch(spark, df, tables, store, own, batch_id, packed, sidecar_root)
             return
         sent = df.filter(~F.col("_tick")) if "_tick" in df.columns else df
-        run_batch(spark, redelivery.with_due(sent, tables, own.run_ts, batch_id), tables, store, own, batch_id, packed)
+        due = redelivery.with_due(sent, tables, own.run_ts, batch_id)
+        run_batch(spark, due, tables, store, own, batch_id, packed, sidecar_root)
         redelivery.settle(spark, tables, retry, own.run_ts, batch_id)
 
     if retry is not None and every:
