@@ -20,7 +20,7 @@ from bronzeflow.sinks import bronze, history, record_store, sidecars
 from bronzeflow.sinks.messages import dead_letter_messages, event_messages, work_item_messages
 from bronzeflow.sinks.tables import Tables
 from bronzeflow.sources import files, folders, listing
-from bronzeflow.streaming import queue, state
+from bronzeflow.streaming import alerts, queue, state
 from bronzeflow.workspace import materialize, scratch_dir
 
 
@@ -643,6 +643,27 @@ def validation_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return rates.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
 
 
+def validation_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """``validation_alerts`` as a stream that is stopped and goes on twice, with some records a day's part late."""
+    source, out = scratch_dir(spark, "telemetry"), scratch_dir(spark, "alerts")
+    rows = adapters.telemetry(spark, sf).select(
+        F.col("measdatetime").cast("timestamp").alias("ts"),
+        (F.col("ac_power").isNotNull() & ~F.col("bad")).alias("valid"), "event_id",
+    )
+    # every fifth record comes as if it were 20 hours younger
+    came = F.col("ts") + F.when(F.col("event_id") % 5 == 0, F.expr("INTERVAL 20 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    rows = materialize(rows.withColumn("part", F.least(F.floor(F.dayofmonth(came) / 11), F.lit(2)) + 3 * (F.month(came) - 1)), "telemetry_rows")
+    beat = rows.agg((F.max("ts") + F.expr("INTERVAL 3 DAYS")).alias("ts"), F.lit(None).cast("boolean").alias("valid"))
+    parts = [r.part for r in rows.select("part").distinct().orderBy("part").collect()]  # three a month
+    for batch in [*(rows.filter(F.col("part") == part).select("ts", "valid") for part in parts), beat]:
+        batch.write.mode("append").parquet(source)
+        stream = spark.readStream.schema("ts timestamp, valid boolean").parquet(source)
+        rates = alerts.failure_rates(stream, "ts", "valid", "1 day", "6 hours")
+        queue.drain(rates, out, f"{out}-checkpoint")
+    told = spark.read.parquet(out)
+    return told.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
 def mapping_sentinel(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     rows = adapters.table(spark, sf, "events").select(
@@ -820,6 +841,6 @@ QUERIES = {
         idempotency_purge, window_key_filter, lookback_filter, invocation_stats, validation_alerts,
         mapping_sentinel, api_flatten, incident_link, event_dedupe_stream, ingest_run,
         tracking_stream, history_versions, identity_guard_index, record_store_days, folder_listing,
-        sidecar_files,
+        sidecar_files, validation_alerts_stream,
     )
 }

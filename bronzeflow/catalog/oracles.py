@@ -670,6 +670,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(count(*) AS DOUBLE) > 0.10::DOUBLE AS alert
         FROM telemetry GROUP BY time_bucket(INTERVAL 6 HOURS, measdatetime)""",
     )
+    sql["validation_alerts_stream"] = sql["validation_alerts"]
     sql["mapping_sentinel"] = """SELECT strftime(ts, '%Y-%m-%d') AS day,
       count(*) FILTER (WHERE event_type = 'view') AS unknown_mapping_versions,
       count(*) FILTER (WHERE event_type = 'error') AS illegal FROM events GROUP BY 1"""

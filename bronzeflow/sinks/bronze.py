@@ -91,7 +91,10 @@ def _copier(source: str, root: str, names: list[str], chunk_size: int, default:
             return *nothing, "PermissionError", None, str(error)
         except urllib.error.HTTPError as error:
             return *nothing, "HTTPStatusError", error.code, str(error)
-        except (OSError, http.client.HTTPException, ValueError) as error:
+        except (ValueError, http.client.InvalidURL) as error:
+            # An address that names nothing stays as it is, however often it is tried.
+            return *nothing, "ValueError", None, f"{type(error).__name__}: {error}"
+        except (OSError, http.client.HTTPException) as error:
             # Anything else that a store or a connection does may pass: it is tried again.
             return *nothing, "TransportError", None, f"{type(error).__name__}: {error}"
         system, path = locate(target)

@@ -356,3 +356,7 @@ def test_a_copy_that_ends_early_is_a_passing_fault_and_leaves_nothing(tmp_path,
     assert (size, failed, status) == (None, "TransportError", None)
     assert asked == ["https://host/a%20b/%C3%A9%20c.csv"] and not list((tmp_path / "out").iterdir())
     assert copy_one(f"{tmp_path}/none", f"{tmp_path}/out/x.csv", 1)[3] == "SourceNotFound"
+    # an address that names nothing does not pass by waiting
+    monkeypatch.undo()
+    for bad in ("ftp9://host/x", "http://host:port/x", "https://[1/x"):
+        assert copy_one(bad, f"{tmp_path}/out/x.csv", 1)[3] == "ValueError", bad
