@@ -20,19 +20,24 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import cache, cached_property
-from itertools import islice
+from functools import cached_property, lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bronzeflow.llm.words import runs
 from bronzeflow.workspace import materialize
 
 #: Words whose distances a Python worker keeps at most.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
+#: Bytes of text whose words are looked up together, and windows that one call compresses.
+PIECE = 1 << 19
+WINDOWS = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -80,48 +85,91 @@ class Model:
         level = self.settings.run_level
         return _compressor(self.ordinary, level), _compressor(self.ordinary + self.toxic + self.pairs, level)
 
-    def distance(self, word: bytes) -> int:
-        """Bytes that the toxic dictionary saves on the framed word."""
+    def distances(self, words: list[bytes]) -> list[int]:
+        """Bytes that the toxic dictionary saves on each framed word."""
         at, frame = len(self.ordinary) // 40, self.settings.frame
-        window = self.ordinary[at : at + frame] + b" " + word + b" " + self.ordinary[at + 2 * frame : at + 3 * frame]
-        ordinary, toxic = self._pair
-        return len(ordinary(window)) - len(toxic(window))
-
-    def run_distances(self, every: list[bytes]) -> np.ndarray:
-        """Bytes that the toxic dictionaries save on each run of words."""
+        before, after = self.ordinary[at : at + frame] + b" ", b" " + self.ordinary[at + 2 * frame : at + 3 * frame]
+        out: list[int] = []
+        for first in range(0, len(words), WINDOWS):
+            windows = [before + word + after for word in words[first : first + WINDOWS]]
+            sizes = np.fromiter(map(len, windows), dtype=np.int64)
+            out += _saved(self._pair, b"".join(windows), np.cumsum(sizes) - sizes, sizes).tolist()
+        return out
+
+    def run_distances(self, joined: bytes, sizes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes that the toxic dictionaries save on each run of words, and the runs of each text.
+
+        joined has the words of all texts with one space between them, sizes the words' bytes, counts the words of each text.
+        """
         size = self.settings.run
-        ordinary, toxic = self._run_pair
-        runs = [b" ".join(every[i : i + size]) for i in range(0, max(1, len(every) - size // 2), size // 2)]
-        return np.array([len(ordinary(r)) - len(toxic(r)) for r in runs], dtype=np.float64)
-
-    def features(self, text: str | None, known: dict[bytes, int]) -> np.ndarray | None:
-        """Thresholded distances of a text's windows; None without words."""
-        every = (text or "").encode().lower().split()
-        if not every:
-            return None
-        found = list(map(known.get, every))
-        if None in found:
-            for word in {w for w, d in zip(every, found, strict=True) if d is None}:
-                known[word] = self.distance(word)
-            found = list(map(known.__getitem__, every))
-        if len(known) > CACHED_WORDS:
-            # The first words met are mostly the commonest.
+        step = size // 2
+        ends = np.cumsum(sizes + 1) - 1
+        begins = ends - sizes
+        of_text = -(-np.maximum(1, counts - step) // step)
+        last = np.repeat(np.cumsum(counts), of_text)
+        first = runs(np.zeros(len(counts), dtype=np.int64), of_text) * step + np.repeat(np.cumsum(counts) - counts, of_text)
+        starts, stops = begins[first], ends[np.minimum(first + size, last) - 1]
+        parts = [slice(i, i + WINDOWS) for i in range(0, len(first), WINDOWS)]
+        return np.concatenate([_saved(self._run_pair, joined, starts[p], stops[p] - starts[p]) for p in parts]), of_text
+
+    def features(self, texts: list[str | None], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the texts that have words, thresholded distances of their windows, a row for each)."""
+        words = [(text or "").encode().lower().split() for text in texts]
+        held = np.flatnonzero([len(every) for every in words])
+        if not len(held):
+            return held, np.zeros((0, 0))
+        new = list(set(chain.from_iterable(words)).difference(known))
+        if len(known) + len(new) > CACHED_WORDS:
+            # The first words met are mostly the commonest. Those of these texts are needed now, whatever their number.
             for word in list(islice(known, CACHED_WORDS // 3, None)):
                 del known[word]
-        d = np.array(found, dtype=np.float64)
-        size = np.log(2 + len(d))
-        above = [np.maximum(d - t, 0) for t in (0, 1, 2, 3)]
-        of_words = [*(x.mean() for x in above), *(np.log1p(x.sum()) for x in above[1:]), d.max(), (d >= 3).sum() / size]
-        r = self.run_distances(every)
-        above = [np.maximum(r - t, 0) for t in (0, 2, 4, 8)]
-        of_runs = [*(x.mean() for x in above), *(np.log1p(x.sum()) for x in above), r.max(), (r >= 6).sum() / size]
-        return np.array([*of_words, *of_runs, size, 1.0])
+            new = list(set(chain.from_iterable(words)).difference(known))
+        known.update(zip(new, self.distances(new), strict=True))
+        counts = np.array([len(words[i]) for i in held])
+        every = list(chain.from_iterable(words))
+        d = np.fromiter(map(known.__getitem__, every), dtype=np.float64, count=len(every))
+        r, of_text = self.run_distances(b" ".join(every), np.fromiter(map(len, every), dtype=np.int64, count=len(every)), counts)
+        # Distances are whole numbers, so their sums are exact in any order.
+        at = np.cumsum(counts) - counts
+        size = np.log(2.0 + counts)
+        above = [np.add.reduceat(np.maximum(d - t, 0), at) for t in (0, 1, 2, 3)]
+        of_words = [*(x / counts for x in above), *(np.log1p(x) for x in above[1:]), np.maximum.reduceat(d, at), np.add.reduceat(d >= 3, at, dtype=np.int64) / size]
+        at = np.cumsum(of_text) - of_text
+        above = [np.add.reduceat(np.maximum(r - t, 0), at) for t in (0, 2, 4, 8)]
+        of_runs = [*(x / of_text for x in above), *(np.log1p(x) for x in above), np.maximum.reduceat(r, at), np.add.reduceat(r >= 6, at, dtype=np.int64) / size]
+        return held, np.column_stack([*of_words, *of_runs, size, np.ones(len(held))])
 
     def score(self, text: str | None, known: dict[bytes, int]) -> float:
-        found = self.features(text, known)
-        if found is None or not self.weights:
-            return 0.0
-        return float(1 / (1 + np.exp(-np.clip(found @ np.array(self.weights), -40, 40))))
+        return float(self.scores([text], known)[0])
+
+    def scores(self, texts: list[str | None], known: dict[bytes, int]) -> np.ndarray:
+        """0 to 1 for each text; 0 without words."""
+        out = np.zeros(len(texts))
+        if self.weights:
+            held, found = self.features(texts, known)
+            if len(held):
+                out[held] = 1 / (1 + np.exp(-np.clip((found * np.array(self.weights)).sum(axis=1), -40, 40)))
+        return out
+
+
+def _saved(pair: tuple, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What the second compressor of a pair saves over the first on each of the spans of data, as floats."""
+    spans = np.column_stack((starts, sizes)).astype("<u8").tobytes()
+    lengths = []
+    for compressor in pair:
+        packed = compressor.multi_compress_to_buffer(zstandard.BufferWithSegments(data, spans), threads=1)
+        lengths.append(np.fromiter(map(len, packed), dtype=np.float64, count=len(starts)))
+    return lengths[0] - lengths[1]
+
+
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in row order, some at a time: about PIECE bytes, or one longer text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    total, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PIECE, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
 
 
 def _compressor(dictionary: bytes, level: int):
@@ -129,7 +177,7 @@ def _compressor(dictionary: bytes, level: int):
     parameters = zstandard.ZstdCompressionParameters.from_level(
         level, source_size=64, dict_size=len(dictionary), write_content_size=False, write_checksum=False, write_dict_id=False
     )
-    return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters).compress
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters)
 
 
 def _trained(samples: list[bytes], size: int, **kind: int) -> bytes:
@@ -211,19 +259,20 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     found = [s for t in toxic for s in _stretches(t, marked, settings.gram)]
     split = {y: [t.split() for t in parts[y, False]] for y in (0, 1)}
     marked_pairs = _marked_pairs(split[1], split[0], settings)
-    runs = [s for words in split[1] for s in _pair_stretches(words, marked_pairs)]
+    stretches = [s for words in split[1] for s in _pair_stretches(words, marked_pairs)]
     windows = [b" ".join(w[i : i + 8]) for w in split[0] for i in range(0, len(w), 8)]
     step = max(1, len(windows) // settings.ordinary_windows)
     groups = [b"".join(found[i : i + 6]) for i in range(0, len(found), 6)]
     model = Model(
         _trained(windows[::step], settings.ordinary_bytes),
         _trained(groups, settings.toxic_bytes, k=24, d=6) if groups else b"",
-        _commonest(runs, settings.pair_bytes),
+        _commonest(stretches, settings.pair_bytes),
         settings,
     )
     held = [(t, y) for y in (0, 1) for t in parts[y, True] or parts[y, False]]
     known: dict[bytes, int] = {}
-    x = np.array([model.features(t.decode(), known) for t, _ in held])
+    texts = pa.array([t for t, _ in held], pa.binary()).cast(pa.large_string())
+    x = np.concatenate([model.features(piece.to_pylist(), known)[1] for piece in _pieces(texts)])
     weights = _calibrated(x, np.array([y for _, y in held], dtype=np.float64), settings.cut)
     return replace(model, weights=tuple(weights.tolist()))
 
@@ -291,9 +340,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     return fit(labelled_sample(docs, sampled_ids(labelled_ids(docs, labels, label), settings.sample_rows)), settings)
 
 
-@cache
+@lru_cache(maxsize=1)
 def _distances(model: Model) -> dict[bytes, int]:
-    """One table per Python worker and model."""
+    """A Python worker's table, of the model it scored with last."""
     return {}
 
 
@@ -309,9 +358,9 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         known = _distances(own)
-        for batch in batches:
-            scores = [own.score(t.as_py(), known) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+        for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
+            scores = [own.scores(piece.to_pylist(), known) for piece in _pieces(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores), pa.float64())], names=[*batch.schema.names, "score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema]
     return frame.mapInArrow(run, ", ".join([*fields, "score double"]))

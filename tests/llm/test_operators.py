@@ -320,6 +320,45 @@ def test_phrases_of_ordinary_words_are_toxic_by_their_order():
     assert np.mean(mixed >= 0.7) < 0.2
 
 
+def test_toxicity_of_many_texts_at_once_is_that_of_plain_windows(monkeypatch):
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghij"))
+    draw = lambda: "".join(rng.choice(letters, int(rng.integers(1, 9))))
+    rows = [(" ".join([draw() for _ in range(60)] + ["vile scum"] * (i % 2 * 4)), i % 2) for i in range(300)]
+    model = toxicity.fit(rows)
+    at, frame = len(model.ordinary) // 40, model.settings.frame
+
+    def saved(pair, window):
+        return len(pair[0].compress(window)) - len(pair[1].compress(window))
+
+    def plain(text):
+        words = (text or "").encode().lower().split()
+        framed = [model.ordinary[at : at + frame] + b" " + w + b" " + model.ordinary[at + 2 * frame : at + 3 * frame] for w in words]
+        d = np.array([saved(model._pair, f) for f in framed], dtype=float)
+        r = np.array([saved(model._run_pair, b" ".join(words[i : i + 8])) for i in range(0, max(1, len(words) - 4), 4)], dtype=float)
+        size = np.log(2 + len(d))
+        x, y = [np.maximum(d - t, 0) for t in (0, 1, 2, 3)], [np.maximum(r - t, 0) for t in (0, 2, 4, 8)]
+        of_words = [*(v.mean() for v in x), *(np.log1p(v.sum()) for v in x[1:]), d.max(), (d >= 3).sum() / size]
+        return [*of_words, *(v.mean() for v in y), *(np.log1p(v.sum()) for v in y), r.max(), (r >= 6).sum() / size, size, 1.0]
+
+    # Few words are kept and few windows compressed at once, so that both bounds are met.
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 50)
+    monkeypatch.setattr(toxicity, "WINDOWS", 7)
+    texts = [None, "", " \n", "a", *(" ".join(draw() for _ in range(n)) for n in (2, 4, 5, 8, 9, 12, 13, 40)), "Vile SCUM\tvile", rows[1][0], ""]
+    held, found = model.features(texts, {})
+    assert held.tolist() == [i for i, t in enumerate(texts) if t and t.strip()]
+    np.testing.assert_allclose(found, [plain(texts[i]) for i in held], rtol=1e-12)
+    known = {}
+    np.testing.assert_allclose(model.scores(texts, known), [model.score(t, known) for t in texts], rtol=1e-12)
+
+
+def test_a_worker_keeps_the_distances_of_one_model():
+    first, second = (toxicity.Model(name, b"", b"", toxicity.Settings()) for name in (b"a", b"b"))
+    toxicity._distances(first)[b"w"] = 1
+    assert toxicity._distances(first) == {b"w": 1}
+    assert toxicity._distances(second) == {} and toxicity._distances(first) == {}
+
+
 def test_quality_of_held_out_rows(spark):
     assert accuracy(spark, "/root/testdata/sf0.01", queries.op9_quality, "quality") > 0.95
 
