@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -87,6 +88,34 @@ def cuts_of(tokenizer: dict) -> np.ndarray | None:
     return both & ((kind[:, None] != kind[None, :]) | (kind[:, None] == 2))
 
 
+#: Words of Latin letters alone: normalization leaves each one run of letters.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Words of a line that is encoded at once.
+LINE = 64
+
+
+def ends_of(tokenizer: dict) -> np.ndarray | None:
+    """By id, whether it ends a word of letters; None where the tokenizer, as JSON, does not mark the ends or may add or drop ids.
+
+    Each run of letters is encoded alone and its last id, no other, is one with the suffix.
+    """
+    model, steps = tokenizer.get("model") or {}, tokenizer.get("normalizer") or {}
+    suffix = model.get("end_of_word_suffix")
+    known = {"NFC", "Lowercase", "Replace"}
+    plain = all(
+        x.get("type") in known and (x["type"] != "Replace" or (x.get("pattern") == {"Regex": r"\s+"} and x.get("content") == " "))
+        for x in steps.get("normalizers", [steps] if steps else [])
+    )
+    adds = any(re.fullmatch(r"[\w\s]*", x["content"]) for x in tokenizer.get("added_tokens", []))
+    if cuts_of(tokenizer) is None or not plain or adds or tokenizer.get("truncation") or tokenizer.get("padding"):
+        return None
+    if model.get("type") != "BPE" or not suffix or model.get("dropout") or model.get("ignore_merges"):
+        return None
+    out = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+    out[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+    return out
+
+
 class _Encoder:
     """Ids of whole texts, from one encoding of each distinct word.
 
@@ -100,7 +129,8 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(raw)
-        self.cuts = cuts_of(json.loads(raw))
+        told = json.loads(raw)
+        self.cuts, self.ends = cuts_of(told), ends_of(told)
         self._forget()
 
     def _forget(self) -> None:
@@ -135,24 +165,47 @@ class _Encoder:
         if not len(new):
             return slots
         slots[new] = len(self.sizes) + np.arange(len(new))
-        ids, sizes = self._encoded([chunk.word(i).decode() for i in places[new].tolist()])
+        raw = chunk.data[runs(starts[new], lengths[new])]
+        held, stops = raw.tobytes(), np.cumsum(lengths[new])
+        ids, sizes = self._encoded([held[a:b].decode() for a, b in zip((stops - lengths[new]).tolist(), stops.tolist(), strict=True)])
         ends, raw_ends = np.cumsum(sizes), np.cumsum(lengths[new])
         self.begins = np.append(self.begins, len(self.ids) + ends - sizes)
         self.raw_begins = np.append(self.raw_begins, len(self.raw) + raw_ends - lengths[new])
         self.sizes, self.raw_sizes = np.append(self.sizes, sizes), np.append(self.raw_sizes, lengths[new])
-        self.ids, self.raw = np.append(self.ids, ids), np.append(self.raw, chunk.data[runs(starts[new], lengths[new])])
+        self.ids, self.raw = np.append(self.ids, ids), np.append(self.raw, raw)
         # Of words that share a hash, the first met is the one that is found again.
         self.hashes, first = np.unique(np.append(self.hashes, hashes[new]), return_index=True)
         self.slots = np.append(self.slots, slots[new])[first]
         return slots
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts, sizes = [], []
-        for at in range(0, len(words), 4096):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)]
-            sizes += map(len, found)
-            parts.append(np.fromiter(chain.from_iterable(found), dtype="<u4"))
-        return np.concatenate(parts), np.array(sizes, dtype=np.int64)
+        """The ids of all words in a row, and how many each has. Words of letters alone are encoded in lines."""
+        joined = [i for i, word in enumerate(words) if LETTERS.fullmatch(word)] if self.ends is not None else []
+        lines = [joined[at : at + LINE] for at in range(0, len(joined), LINE)]
+        order, parts, sizes = [], [], []
+        for line, ids in zip(lines, self._ids([" ".join([words[i] for i in line]) for line in lines]), strict=True):
+            found = np.array(ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[found]) + 1
+            # As many ends as words: every word has one, which is its last id.
+            if len(stops) == len(line) and stops[-1] == len(found):
+                order += line
+                parts.append(found)
+                sizes.append(np.diff(stops, prepend=0))
+        alone = np.ones(len(words), dtype=bool)
+        alone[order] = False
+        rest = np.flatnonzero(alone).tolist()
+        found = list(self._ids([words[i] for i in rest]))
+        parts.append(np.fromiter(chain.from_iterable(found), dtype="<u4"))
+        sizes.append(np.fromiter(map(len, found), dtype=np.int64))
+        back = np.argsort(np.array(order + rest, dtype=np.int64), kind="stable")
+        size = np.concatenate(sizes).astype(np.int64)
+        begins = np.cumsum(size) - size
+        return np.concatenate(parts)[runs(begins[back], size[back])], size[back]
+
+    def _ids(self, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), 1024):
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False):
+                yield found.ids
 
 
 @cache

@@ -110,6 +110,36 @@ def test_secrets_of_odd_rows(odd_docs, no_docs):
     assert secrets.find_secrets(no_docs).count() == 0
 
 
+def test_words_of_letters_are_encoded_in_lines():
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(queries.tokenizer_file(), "rb") as source:
+        raw = source.read()
+    plain, encoder, sent = Tokenizer.from_buffer(raw), token_files._Encoder(raw), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdeéßñÉZ"))
+    many = ["".join(rng.choice(letters, int(rng.integers(1, 12)))) for _ in range(2000)]
+    odd = ["J\u030c h\u0331 A\u030a \u212a \u0130x", "<|STARTOFTEXT|> <|startoftext|>x a<|endoftext|>b", "it's 'S don'T ×÷ ªº ẞ ŉ", "", None, "x" * 3000, "日本 a1b2 c-d"]
+    texts = [" ".join(many), *odd]
+    got = [ids.tolist() for ids in encoder(pa.array(texts), 2)]
+    assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert len(sent) < 200
+    # A tokenizer that does not mark the ends of words is asked for each word.
+    told = json.loads(raw)
+    assert token_files.ends_of(told) is not None
+    for change in ({"model": told["model"] | {"end_of_word_suffix": None}}, {"normalizer": {"type": "Strip"}}, {"truncation": {"max_length": 9}}, {"added_tokens": [{"content": "pad"}]}):
+        assert token_files.ends_of(told | change) is None
+
+
 def test_long_tokens_are_found_whole(spark):
     texts = [f"see https://user:{'k7' * 42}@host/x", f"https://{'u' * 90}:pw@host", f"ghp_{'aB3' * 20} end", f"AIza{'x-9' * 20} end"]
     found = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), secrets.ADDED_RULES).collect()
