@@ -13,6 +13,7 @@ import json
 import math
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 
 from bronzeflow.sinks.bronze import latest_sidecars
 from bronzeflow.sinks.tables import remove
-from bronzeflow.sources.folders import locate
+from bronzeflow.sources.folders import locate, visible
 from bronzeflow.workspace import materialize
 
 WRITTEN, SAME, KEPT = "written", "same", "kept"
+_ENTRY = "path string, folder boolean"
+_ROWS = 10_000
 _OUTCOME = "metadata_path string, version bigint, outcome string, error_class string, error_text string"
 
 
@@ -107,10 +110,52 @@ def version_in(document: bytes) -> int:
         return 0
 
 
-def read_sidecars(spark: SparkSession, root: str) -> DataFrame:
-    """(metadata_path, metadata_json) of the sidecar files under ``root``."""
-    found = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="metadata.json")
-    # a listing's paths are escaped as in a URI; a plus stays a plus
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    base = F.lit("/" + root.split(":", 1)[-1].strip("/") + "/")
-    return found.select(F.substr(path, F.instr(path, base) + F.length(base)).alias("metadata_path"), F.col("value").alias("metadata_json"))
+def read_sidecars(spark: SparkSession, root: str, files_per_task: int = 512) -> DataFrame:
+    """(metadata_path, metadata_json) of the sidecar files under ``root``.
+
+    The driver lists the root alone, a task each of the folders in it, and tasks
+    walk and read what lies below those. Empty files are no sidecars.
+    """
+    system, top, _ = locate(root)
+    inner = [(x.path, x.type == fs.FileType.Directory) for x in visible(system, top, False)]
+    first = spark.createDataFrame(inner, _ENTRY)
+    listed = first.filter("folder").repartition(max(1, len(inner)), "path").mapInArrow(_lister(root), _ENTRY)
+    entries = materialize(listed.unionAll(first.filter("NOT folder")), "sidecar_folders")
+    tasks = max(1, math.ceil(entries.count() / files_per_task))
+    return entries.repartition(tasks, "path").mapInArrow(_reader(root, len(top.rstrip("/")) + 1), "metadata_path string, metadata_json string")
+
+
+def _lister(root: str):
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _, _ = locate(root)
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                found = visible(system, folder, False)
+                for at in range(0, len(found), _ROWS):
+                    some = found[at : at + _ROWS]
+                    columns = [pa.array([x.path for x in some], pa.string()), pa.array([x.type == fs.FileType.Directory for x in some], pa.bool_())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["path", "folder"])
+
+    return entries
+
+
+def _reader(root: str, start: int):
+    def files(system: fs.FileSystem, batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
+        for batch in batches:
+            for path, folder in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield from (x.path for x in visible(system, path, True) if x.type == fs.FileType.File) if folder else [path]
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _, _ = locate(root)
+        wanted = (path for path in files(system, batches) if path.rsplit("/", 1)[-1] == "metadata.json")
+        while some := list(islice(wanted, files_at_once)):
+            bodies = []
+            for path in some:
+                with system.open_input_stream(path) as stream:
+                    bodies.append(stream.read())
+            rows = [(path[start:], body.decode(errors="replace")) for path, body in zip(some, bodies, strict=True) if body]
+            columns = [pa.array(values, pa.string()) for values in zip(*rows, strict=True)] or [pa.array([], pa.string())] * 2
+            yield pa.RecordBatch.from_arrays(columns, names=["metadata_path", "metadata_json"])
+
+    files_at_once = 256
+    return documents

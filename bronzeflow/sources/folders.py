@@ -57,6 +57,13 @@ def _escaped(path: str) -> str:
     return "".join(c if ord(c) > 127 or c in _PLAIN else quote(c, safe="") for c in path)
 
 
+def visible(system: fs.FileSystem, folder: str, deep: bool) -> list[fs.FileInfo]:
+    """What lies in a folder, or anywhere below it, without hidden names; nothing where there is no folder."""
+    found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True, recursive=deep))
+    start = len(folder.rstrip("/")) + 1
+    return [x for x in found if not any(map(_hidden, x.path[start:].split("/")))]
+
+
 class _Walker:
     """What the batch and the streaming reader share."""
 
@@ -66,24 +73,19 @@ class _Walker:
         if self.depth < 0:
             raise ValueError("depth is not negative")
 
-    def _entries(self, system: fs.FileSystem, folder: str, deep: bool) -> list[fs.FileInfo]:
-        found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True, recursive=deep))
-        start = len(folder.rstrip("/")) + 1
-        return [x for x in found if not any(map(_hidden, x.path[start:].split("/")))]
-
     def prefixes(self, since: int | None = None, until: int | None = None) -> list[Prefix]:
         """Folders `depth` levels down, walked whole, and those above them for their own files."""
         system, path, _ = locate(self.uri)
         level, out = [path], []
         for _ in range(self.depth):
             out += [Prefix(folder, False, since, until) for folder in level]
-            level = [x.path for folder in level for x in self._entries(system, folder, False) if x.type == fs.FileType.Directory]
+            level = [x.path for folder in level for x in visible(system, folder, False) if x.type == fs.FileType.Directory]
         return out + [Prefix(folder, True, since, until) for folder in level]
 
     def walk(self, part: Prefix) -> Iterator[pa.RecordBatch]:
         system, _, lead = locate(self.uri)
         rows: list[tuple[str, int, datetime | None]] = []
-        for x in self._entries(system, part.folder, part.deep):
+        for x in visible(system, part.folder, part.deep):
             if x.type != fs.FileType.File or not fnmatchcase(x.base_name, self.glob):
                 continue
             at = None if x.mtime_ns is None else x.mtime_ns // 1000

@@ -38,6 +38,19 @@ def test_newest_version_wins_in_a_batch_and_over_batches(spark, tmp_path):
     assert back == held(tmp_path)
 
 
+def test_sidecars_are_read_at_any_depth_by_few_tasks(spark, tmp_path):
+    paths = [*(f"source=p/dataset={i}/ingestion_date=d/metadata.json" for i in range(60)), "metadata.json", "source=p/metadata.json", "a/b/c/d/metadata.json"]
+    for path in [*paths, "_x/metadata.json", "source=p/.y/metadata.json", "source=p/dataset=1/other.json", "source=p/empty/metadata.json"]:
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text("" if "empty" in path else path)
+    read = sidecars.read_sidecars(spark, str(tmp_path))
+    assert sorted(map(tuple, read.collect())) == sorted((p, p) for p in paths)
+    # A folder is no task of its own.
+    assert read.rdd.getNumPartitions() == 1
+    (tmp_path / "none").mkdir()
+    assert sidecars.read_sidecars(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_no_rows_leave_nothing(spark, tmp_path):
     assert write(spark, tmp_path, []) == {} and held(tmp_path) == {}
 
