@@ -3,6 +3,7 @@
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -196,3 +197,76 @@ def test_new_objects_come_once(spark, tmp_path):
     (source / "c.csv").write_bytes(b"3")
     time.sleep(0.5)
     assert drain() == drain() == ["a.csv", "b.csv", "c.csv"]
+
+
+class _Counted:
+    """State and timers of one key, with the calls they took."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            if name == "get":
+                return self.value
+            if name == "update":
+                self.value = args[0]
+            elif name == "clear":
+                self.value = None
+            elif name == "registerTimer":
+                self.timers.add(args[0])
+            elif name == "deleteTimer":
+                self.timers.discard(args[0])
+
+        return call
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def _event(at, status):
+    return {"queued_at": at, "queued_seq": 0, "queued": "{}", "status_at": at, "status_seq": 0, "status": status, "done_at": at, "done_seq": 0, "completed_at": None}
+
+
+def test_a_change_sets_no_timer_while_an_earlier_one_stands():
+    kept = _Counted()
+    tracked = state._Tracked(stuck_ms=100, keep_ms=1000)
+    tracked.handle = tracked.held = kept
+    rows = lambda at, status: list(tracked.handleInputRows(("p", "r"), [_event(at * 1000, status)], None))
+    expire = lambda at, mark: list(tracked.handleExpiredTimer(("p", "r"), _Watermark(mark), _Watermark(at)))
+    rows(10, "queued")
+    kept.calls.clear()
+    assert rows(50, "processing")[0].revision == 2
+    assert kept.calls == ["get", "update"] and kept.timers == {110}
+    # The earlier timer is put off to the time of the last change, which then counts.
+    kept.timers.discard(110)
+    assert expire(110, 120) == [] and kept.timers == {150}
+    kept.timers.discard(150)
+    assert expire(150, 150)[0].stuck and kept.timers == set()
+    # Ended work is kept longer; work that is opened again is due before that.
+    rows(200, "completed")
+    assert kept.timers == {1200}
+    rows(300, "queued")
+    assert kept.timers == {400}
+    # A timer that comes late counts at once if the work is due as well.
+    rows(350, "processing")
+    kept.timers.discard(400)
+    assert expire(400, 460)[0].stuck
+
+
+def test_a_task_folds_events_of_several_frames_at_once():
+    frames = [
+        pd.DataFrame({"partition_key": "p", "row_key": "r", "at": [at], "seq": [0], "resets": [True], "ends": [True], "queued": [str(at)], "status": ["queued"], "completed_at": [None]})
+        for at in (3, 1, 2)
+    ]
+    folded = list(state._folded(iter(frames)))
+    assert [len(f) for f in folded] == [1]
+    assert folded[0][["status_at", "queued", "done_at"]].values.tolist() == [[3, "3", 3]]
