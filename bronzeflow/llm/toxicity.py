@@ -251,13 +251,16 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     if not (ordinary and toxic):
         return Model(b"", b"", b"", settings)
     codes, counts = _document_counts(toxic, settings.gram)
-    base_codes, base_counts = _document_counts(ordinary, settings.gram)
-    place = np.minimum(np.searchsorted(base_codes, codes), len(base_codes) - 1)
-    base = np.where(base_codes[place] == codes, base_counts[place], 0)
     common = counts >= max(2, settings.least_share * len(toxic))
-    marked = codes[common & (counts / len(toxic) > settings.contrast * (base + 0.5) / len(ordinary))]
+    codes, counts = codes[common], counts[common]
+    base = np.zeros(len(codes), dtype=np.int64)
+    for text in ordinary:
+        # Only the common ones count: those of all ordinary texts would take far more of the driver's memory.
+        base += np.isin(codes, _codes(text, settings.gram))
+    marked = codes[counts / len(toxic) > settings.contrast * (base + 0.5) / len(ordinary)]
     found = [s for t in toxic for s in _stretches(t, marked, settings.gram)]
-    split = {y: [t.split() for t in parts[y, False]] for y in (0, 1)}
+    one: dict[bytes, bytes] = {}  # equal words as one object
+    split = {y: [[one.setdefault(w, w) for w in t.split()] for t in parts[y, False]] for y in (0, 1)}
     marked_pairs = _marked_pairs(split[1], split[0], settings)
     stretches = [s for words in split[1] for s in _pair_stretches(words, marked_pairs)]
     windows = [b" ".join(w[i : i + 8]) for w in split[0] for i in range(0, len(w), 8)]
