@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from bronzeflow.llm import words
 from bronzeflow.llm.components import components
-from bronzeflow.workspace import materialize
+from bronzeflow.workspace import BATCH_ROWS, materialize
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,7 @@ def features(docs: DataFrame, settings: NearDedup) -> DataFrame:
     """One row per document: set size, set fingerprint (node), band values, bit planes; node is null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = _Signer(settings)
+        signer = words.held_by_worker(_Signer, settings)
         for batch in batches:
             n, nodes, bands, planes = [], [], [], []
             for shingles in shingle_sets(batch.column("text"), settings.shingle):
@@ -227,7 +227,7 @@ def _prefixes(sets: DataFrame, labels: DataFrame, settings: NearDedup) -> DataFr
                     names=["node", "label", "size", "shingle"],
                 )
 
-    opened = materialize(sets.join(labels, "node").select("node", "label", "shingles").mapInArrow(run, "node binary, label binary, size bigint, shingle bigint"), "opened")
+    opened = materialize(sets.join(labels, "node").select("node", "label", "shingles").mapInArrow(run, "node binary, label binary, size bigint, shingle bigint"), "opened", BATCH_ROWS)
     common = materialize(
         opened.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "common"
     )
@@ -288,7 +288,7 @@ def near_components(docs: DataFrame, settings: NearDedup = NearDedup()) -> DataF
 
 def _grouped(docs: DataFrame, settings: NearDedup) -> DataFrame:
     """doc_id, row, n_shingles, component, label of every row; label is the same for linked rows alone, null without words."""
-    found = materialize(features(docs, settings), "signatures")
+    found = materialize(features(docs, settings), "signatures", BATCH_ROWS)
     nodes = materialize(
         found.filter("node is not null")
         .groupBy("node")
@@ -302,7 +302,7 @@ def _grouped(docs: DataFrame, settings: NearDedup) -> DataFrame:
     central = materialize(member.groupBy("node").agg(F.sum("held").alias("weight")), "central")
     member = materialize(member.select("bucket", "node").join(central, "node"), "members")
     wanted = nodes.select("node", "row_key").join(central, "node", "left_semi")
-    sets = materialize(_sets(docs, wanted, settings), "sets")
+    sets = materialize(_sets(docs, wanted, settings), "sets", BATCH_ROWS)
     planes = nodes.select("node", "planes")
 
     labels, tested = None, None
@@ -323,12 +323,12 @@ def _grouped(docs: DataFrame, settings: NearDedup) -> DataFrame:
             .join(planes.withColumnsRenamed({"node": "b", "planes": "planes_b"}), "b")
         )
         near = seen.filter(differing("planes_a", "planes_b", settings) <= settings.most_differing).select("a", "b")
-        new = materialize(_confirmed(near, sets, settings), "links")
+        new = materialize(_confirmed(near, sets, settings), "links", BATCH_ROWS)
         tested = pairs if tested is None else tested.union(pairs)
         labels = _labels(central, new, labels)
     opened = _open(member, labels).select("node", "label").distinct()
     rest = _prefix_pairs(_prefixes(sets, materialize(opened, "open"), settings), planes, settings)
-    labels = _labels(central, materialize(_confirmed(materialize(rest, "rest"), sets, settings), "links"), labels)
+    labels = _labels(central, materialize(_confirmed(materialize(rest, "rest"), sets, settings), "links", BATCH_ROWS), labels)
 
     of_node = found.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(labels, "node", "left")
     of_node = of_node.select("node", "low", F.coalesce("label", "node").alias("label"))

@@ -23,7 +23,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -33,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm.words import Chunk, chunks, runs, same_bytes
-from bronzeflow.workspace import materialize
+from bronzeflow.llm.words import Chunk, chunks, held_by_worker, runs, same_bytes
+from bronzeflow.workspace import BATCH_ROWS, materialize
 
 _LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], dtype=np.uint8)
 
@@ -208,12 +207,6 @@ class _Encoder:
                 yield found.ids
 
 
-@cache
-def _encoder(raw: bytes) -> _Encoder:
-    """One per Python worker."""
-    return _Encoder(raw)
-
-
 def _staged(docs: DataFrame, file: str, end_id: int) -> DataFrame:
     """doc_id, tie, n_tokens and the compressed ids of each document, encoded once."""
 
@@ -221,7 +214,7 @@ def _staged(docs: DataFrame, file: str, end_id: int) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(source.read())  # one tokenizer file, read on the driver
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, squeeze = _encoder(shared.value), zstandard.ZstdCompressor(level=1).compress
+        encode, squeeze = held_by_worker(_Encoder, shared.value), zstandard.ZstdCompressor(level=1).compress
         for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             counts, blobs = [], []
             for ids in encode(batch.column("text"), end_id):
@@ -271,7 +264,7 @@ def write_tokens(docs: DataFrame, path: str, file: str, end_id: int) -> None:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
-    staged = materialize(_staged(rows, file, end_id), "token_ids")
+    staged = materialize(_staged(rows, file, end_id), "token_ids", BATCH_ROWS)
     id_ranks(staged).write.parquet(f"{path}/ranks")
     # At most one row for each id of the vocabulary, whatever the corpus.
     ranked = spark.read.parquet(f"{path}/ranks").toPandas()

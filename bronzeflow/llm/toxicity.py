@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import cached_property, lru_cache
+from functools import cached_property
 from itertools import chain, islice
 
 import numpy as np
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeflow.llm.words import runs
+from bronzeflow.llm.words import held_by_worker, runs
 from bronzeflow.workspace import materialize
 
 #: Words whose distances a Python worker keeps at most.
@@ -343,10 +343,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     return fit(labelled_sample(docs, sampled_ids(labelled_ids(docs, labels, label), settings.sample_rows)), settings)
 
 
-@lru_cache(maxsize=1)
+def _table(model: Model) -> dict[bytes, int]:
+    return {}
+
+
 def _distances(model: Model) -> dict[bytes, int]:
     """A Python worker's table, of the model it scored with last."""
-    return {}
+    return held_by_worker(_table, model)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:

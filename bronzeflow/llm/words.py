@@ -6,7 +6,8 @@ mask finds exactly the words that a regular expression over code points finds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,23 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
 
+_held: dict[tuple, Any] = {}
+
+
+def held_by_worker(make: Callable[..., Any], *args: Hashable) -> Any:
+    """make(*args), kept by a Python worker for its next tasks.
+
+    Only the last one is kept, and what was kept before goes first: Spark reuses workers, and the tables of an
+    operator that has ended would stay in memory beside those of the next.
+    """
+    key = (make, *args)
+    if key not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[key] = make(*args)
+    return _held[key]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread all bits of 64-bit values (an invertible finalizer)."""
     with np.errstate(over="ignore"):

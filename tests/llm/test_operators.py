@@ -552,3 +552,33 @@ def test_near_copies_with_changed_rare_words_are_found(spark):
         found = decontamination.near_contamination(docs, spark.createDataFrame([(7, name)], "item_id bigint, text string")).collect()
         near = {r.doc_id for r in found if r.near_items == ["7"]}
         assert near == ({0, 1, 2, 4} if name == item else {0, 1, 4}) and len(found) == len(texts)
+
+
+def test_a_worker_holds_one_operators_tables():
+    made = []
+
+    def table(name):
+        made.append((name, len(words._held)))
+        return {}
+
+    first = words.held_by_worker(table, "a")
+    assert words.held_by_worker(table, "a") is first
+    words.held_by_worker(table, "b")
+    # What was held goes before the next is made.
+    assert made[1:] == [("b", 0)] and len(words._held) == 1
+    assert words.held_by_worker(table, "a") is not first
+
+
+def test_written_frames_go_to_python_in_small_batches(spark):
+    from bronzeflow import workspace
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, rows = spark.conf.get(name), spark.range(3000, numPartitions=1).mapInArrow(sizes, "n bigint")
+    got = workspace.materialize(rows, "sizes", workspace.BATCH_ROWS)
+    assert sorted(r.n for r in got.collect()) == [952, 1024, 1024]
+    assert spark.conf.get(name) == before
+    assert [r.n for r in workspace.materialize(rows, "sizes").collect()] == [3000]
