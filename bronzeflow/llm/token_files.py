@@ -120,7 +120,7 @@ class _Encoder:
 
     The tokenizer drops white space and never joins across it, nor across the cuts of
     `cuts_of`, so a text's ids are its words' ids in a row: those are gathered by offsets. Words once met are found
-    again by hash, and compared. Their ids lie in `ids` from `begins` on, their bytes in `raw`.
+    again by hash, and compared. Their ids lie in `ids` from `begins` on, their bytes in `raw`; `met` marks those found again.
     """
 
     def __init__(self, raw: bytes):
@@ -130,29 +130,40 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_buffer(raw)
         told = json.loads(raw)
         self.cuts, self.ends = cuts_of(told), ends_of(told)
-        self._forget()
-
-    def _forget(self) -> None:
         self.hashes, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        self.ids, self.raw = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.uint8)
+        self.ids, self.raw, self.met = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=bool)
         self.begins, self.sizes, self.raw_begins, self.raw_sizes = (np.zeros(0, dtype=np.int64) for _ in range(4))
 
+    def _forget(self) -> None:
+        """Only words found again stay, at most half of what is kept: those met first, mostly the commonest."""
+        stay = np.flatnonzero(self.met)[: KEPT_WORDS // 2]
+        number = np.full(len(self.met), -1, dtype=np.int64)
+        number[stay] = np.arange(len(stay))
+        left = number[self.slots] >= 0
+        self.hashes, self.slots = self.hashes[left], number[self.slots[left]]
+        self.ids = self.ids[runs(self.begins[stay], self.sizes[stay])]
+        self.raw = self.raw[runs(self.raw_begins[stay], self.raw_sizes[stay])]
+        self.sizes, self.raw_sizes = self.sizes[stay], self.raw_sizes[stay]
+        self.begins, self.raw_begins = np.cumsum(self.sizes) - self.sizes, np.cumsum(self.raw_sizes) - self.raw_sizes
+        self.met = np.zeros(len(stay), dtype=bool)
+
     def __call__(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
         """The ids of each text and the end id, in order."""
         for chunk in chunks(texts, size=CHUNK, cuts=self.cuts):
-            places, hashes, kind = chunk.distinct()
+            places, kind = chunk.distinct()
             if len(self.sizes) + len(places) > KEPT_WORDS:
                 self._forget()
-            slots = self._slots(chunk, places, hashes)
-            begins, sizes = self.begins[slots], self.sizes[slots]
-            for first, last in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True):
-                own = kind[first:last]
-                found = self.ids[runs(begins[own], sizes[own])]
-                yield np.append(found, np.array([end_id], dtype="<u4"))
-
-    def _slots(self, chunk: Chunk, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+            slots = self._slots(chunk, places)[kind]
+            sizes = self.sizes[slots]
+            found = self.ids[runs(self.begins[slots], sizes)]
+            stops = np.concatenate(([0], np.cumsum(sizes)))[chunk.bounds].tolist()
+            end = np.array([end_id], dtype="<u4")
+            for first, last in zip(stops[:-1], stops[1:], strict=True):
+                yield np.concatenate((found[first:last], end))
+
+    def _slots(self, chunk: Chunk, places: np.ndarray) -> np.ndarray:
         """Slot of each word; new words are encoded and kept."""
-        slots = np.full(len(places), -1, dtype=np.int64)
+        slots, hashes = np.full(len(places), -1, dtype=np.int64), chunk.hashes(places)
         starts, lengths = chunk.starts[places], chunk.ends[places] - chunk.starts[places]
         at = np.searchsorted(self.hashes, hashes)
         met = np.flatnonzero(at < len(self.hashes))
@@ -160,6 +171,7 @@ class _Encoder:
         held = self.slots[at[met]]
         equal = same_bytes(chunk.data, starts[met], lengths[met], self.raw, self.raw_begins[held], self.raw_sizes[held])
         slots[met[equal]] = held[equal]
+        self.met[held[equal]] = True
         new = np.flatnonzero(slots < 0)
         if not len(new):
             return slots
@@ -172,6 +184,7 @@ class _Encoder:
         self.raw_begins = np.append(self.raw_begins, len(self.raw) + raw_ends - lengths[new])
         self.sizes, self.raw_sizes = np.append(self.sizes, sizes), np.append(self.raw_sizes, lengths[new])
         self.ids, self.raw = np.append(self.ids, ids), np.append(self.raw, raw)
+        self.met = np.append(self.met, np.zeros(len(new), dtype=bool))
         # Of words that share a hash, the first met is the one that is found again.
         self.hashes, first = np.unique(np.append(self.hashes, hashes[new]), return_index=True)
         self.slots = np.append(self.slots, slots[new])[first]

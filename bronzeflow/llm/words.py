@@ -100,10 +100,11 @@ class Chunk:
         self.texts = len(ends)
         self._lower = lower
 
-    def hashes(self) -> np.ndarray:
-        """One 64-bit hash per word."""
-        out = np.empty(len(self.starts), dtype=np.uint64)
-        lengths = self.ends - self.starts
+    def hashes(self, places: np.ndarray | None = None) -> np.ndarray:
+        """One 64-bit hash per word, or per word at the places."""
+        starts, ends = (self.starts, self.ends) if places is None else (self.starts[places], self.ends[places])
+        out = np.empty(len(starts), dtype=np.uint64)
+        lengths = ends - starts
         if not len(out):
             return out
         table = powers(_BASE, int(lengths.max()))
@@ -117,23 +118,27 @@ class Chunk:
             size = lengths[at:to]
             begin = np.cumsum(size) - size
             offset = np.arange(int(size.sum())) - np.repeat(begin, size)
-            place = offset + np.repeat(self.starts[at:to], size)
+            place = offset + np.repeat(starts[at:to], size)
             with np.errstate(over="ignore"):
                 out[at:to] = np.add.reduceat(shift[self.data[place]] * table[offset], begin)
                 out[at:to] += size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             at = to
         return mix(out)
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places of one word of each kind, their hashes, kind of every word); words are of a kind if their bytes are equal."""
-        hashes = self.hashes()
-        _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        alike = same_bytes(self.data, self.starts, self.ends - self.starts, self.data, self.starts[first[kind]], (self.ends - self.starts)[first[kind]])
-        # Words that only share another one's hash are kinds of their own.
-        odd = np.flatnonzero(~alike)
-        kind[odd] = len(first) + np.arange(len(odd))
-        places = np.concatenate((first, odd))
-        return places, hashes[places], kind
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """(places of one word of each kind, kind of every word); words are of a kind if their bytes are equal."""
+        if not len(self.starts):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        # Words and the gaps between them in turn, told apart as they are: a gap is empty or white space, so no word.
+        edges = np.column_stack((self.starts, self.ends)).reshape(-1)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(self.data))])
+        kind = parts.dictionary_encode().indices.to_numpy()[::2]
+        # Kinds come in the order they are met in: the first word of each is where a number not yet seen stands.
+        fresh = np.concatenate(([True], kind[1:] > np.maximum.accumulate(kind)[:-1]))
+        number = np.zeros(int(kind.max()) + 1, dtype=np.int64)
+        places = np.flatnonzero(fresh)
+        number[kind[places]] = np.arange(len(places))
+        return places, number[kind]
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()

@@ -582,3 +582,37 @@ def test_written_frames_go_to_python_in_small_batches(spark):
     assert sorted(r.n for r in got.collect()) == [952, 1024, 1024]
     assert spark.conf.get(name) == before
     assert [r.n for r in workspace.materialize(rows, "sizes").collect()] == [3000]
+
+
+def test_words_of_a_chunk_are_told_apart_by_their_bytes():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["a", "A", "ab", "é", "a\x00", "b-c", "1a"], 50)) for _ in range(20)] + ["", " \t\n", None, "x", "a\x1fb  a"]
+    for chunk in (next(words.chunks(pa.array(texts))), next(words.chunks(pa.array([None, " "]))), next(words.chunks(pa.array(["zz", *texts])[1:]))):
+        places, kind = chunk.distinct()
+        every = [chunk.word(i) for i in range(len(chunk.starts))]
+        assert [every[i] for i in places] == list(dict.fromkeys(every))
+        assert [every[places[k]] for k in kind] == every
+        assert (chunk.hashes(places) == chunk.hashes()[places]).all()
+
+
+def test_an_encoder_that_is_full_keeps_words_found_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    with open(queries.tokenizer_file(), "rb") as source:
+        raw = source.read()
+    plain, encoder, sent = Tokenizer.from_buffer(raw), token_files._Encoder(raw), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(w for t in texts for w in t.split())
+            return plain.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 60)
+    letters = "abcdefghij"
+    texts = [" ".join(["often", "met", *(f"{letters[i]}{a}{b}é" for a in letters[:4] for b in letters[:5])]) for i in range(10)]
+    for text in [*texts, *texts]:
+        got = [ids.tolist() for ids in encoder(pa.array([text, None]), 2)]
+        assert got == [[*plain.encode(text, add_special_tokens=False).ids, 2], [2]]
+        assert len(encoder.met) == len(encoder.sizes) <= 60
+    assert sent.count("often") == sent.count("met") == 1
