@@ -18,10 +18,10 @@ half. Runs show abuse made of ordinary words, whose pairs then save bytes.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeflow.llm.words import held_by_worker, runs
+from bronzeflow.llm.words import held_by_worker, mix, runs
 from bronzeflow.workspace import materialize
 
 #: Words whose distances a Python worker keeps at most.
@@ -211,9 +211,62 @@ def _codes(text: bytes, gram: int) -> np.ndarray:
     return out
 
 
-def _document_counts(texts: list[bytes], gram: int) -> tuple[np.ndarray, np.ndarray]:
-    held = [np.unique(_codes(t, gram)) for t in texts]
-    return np.unique(np.concatenate(held or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    """Sorted, each once; on short arrays of 64-bit integers many times faster than np.unique."""
+    codes = np.sort(codes)
+    return codes[np.diff(codes, prepend=~codes[:1]) != 0]
+
+
+def _blocks(arrays: Iterable[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    """The arrays one after another, about `size` numbers at a time."""
+    waiting: list[np.ndarray] = []
+    count = 0
+    for some in arrays:
+        waiting.append(some)
+        count += len(some)
+        if count >= size:
+            yield np.concatenate(waiting)
+            waiting, count = [], 0
+    if waiting:
+        yield np.concatenate(waiting)
+
+
+def _buckets(texts: list[bytes]) -> int:
+    """A power of two, so that a bucket has about eight of the texts' n-grams."""
+    return 1 << max(16, (sum(map(len, texts)) >> 3).bit_length())
+
+
+def _tally(places: Iterable[np.ndarray], size: int) -> np.ndarray:
+    """How many of the places are each of the `size` buckets: nothing occurs more often than its bucket."""
+    out = np.zeros(size, dtype=np.int64)
+    for block in _blocks(places, size >> 2):
+        out += np.bincount(block, minlength=size)
+    return out
+
+
+def _common_codes(texts: list[bytes], gram: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted n-grams that at least so many texts hold, in how many of them).
+
+    Only n-grams of full buckets are gathered: the distinct ones of all texts would take many times the texts' memory.
+    """
+    size = _buckets(texts)
+    places = lambda codes: (mix(codes) & np.uint64(size - 1)).astype(np.int64)
+    full = _tally((places(_codes(t, gram)) for t in texts), size) >= least
+    found = np.zeros(0, dtype=np.uint64)
+    for block in _blocks((codes[full[places(codes)]] for codes in (_codes(t, gram) for t in texts)), size >> 2):
+        found = _distinct(np.concatenate((found, block)))
+    counts = _texts_with(found, texts, gram)
+    return found[counts >= least], counts[counts >= least]
+
+
+def _texts_with(codes: np.ndarray, texts: list[bytes], gram: int) -> np.ndarray:
+    """In how many of the texts each of the sorted n-grams occurs."""
+    out = np.zeros(len(codes), dtype=np.int64)
+    for text in texts if len(codes) else ():
+        held = _distinct(_codes(text, gram))
+        at = np.minimum(np.searchsorted(codes, held), len(codes) - 1)
+        out[at[codes[at] == held]] += 1
+    return out
 
 
 def _stretches(text: bytes, marked: np.ndarray, gram: int) -> list[bytes]:
@@ -223,17 +276,26 @@ def _stretches(text: bytes, marked: np.ndarray, gram: int) -> list[bytes]:
     return [text[max(0, a - 1) : b + gram] for a, b in edges.reshape(-1, 2).tolist()]
 
 
-def _marked_pairs(toxic: list[list[bytes]], ordinary: list[list[bytes]], settings: Settings) -> set[tuple[bytes, bytes]]:
-    """Pairs of neighbouring words that far more toxic than ordinary documents hold."""
-    counts = Counter(p for words in toxic for p in set(zip(words, words[1:], strict=False)))
-    least = max(2, settings.least_share * len(toxic))
+def _pairs(text: bytes) -> list[tuple[bytes, bytes]]:
+    """Distinct pairs of neighbouring words."""
+    words = text.split()
+    return list(set(zip(words, words[1:], strict=False)))
+
+
+def _marked_pairs(toxic: list[bytes], ordinary: list[bytes], settings: Settings) -> set[tuple[bytes, bytes]]:
+    """Pairs of neighbouring words that far more toxic than ordinary documents hold; only those of full buckets are kept and counted."""
+    least, size = max(2, settings.least_share * len(toxic)), _buckets(toxic)
+    places = lambda pairs: np.fromiter(map(hash, pairs), dtype=np.int64, count=len(pairs)) & (size - 1)
+    full = _tally((places(_pairs(t)) for t in toxic), size) >= least
+    counts = Counter(chain.from_iterable(compress(pairs, full[places(pairs)].tolist()) for pairs in map(_pairs, toxic)))
     common = {p for p, n in counts.items() if n >= least}
-    base = Counter(p for words in ordinary for p in common.intersection(zip(words, words[1:], strict=False)))
+    base = Counter(p for text in ordinary for p in common.intersection(_pairs(text)))
     return {p for p in common if counts[p] / len(toxic) > settings.contrast * (base[p] + 0.5) / len(ordinary)}
 
 
-def _pair_stretches(words: list[bytes], marked: set[tuple[bytes, bytes]]) -> list[bytes]:
+def _pair_stretches(text: bytes, marked: set[tuple[bytes, bytes]]) -> list[bytes]:
     """Maximal runs of words whose neighbouring pairs are all marked."""
+    words = text.split()
     hit = np.array([False, *(p in marked for p in zip(words, words[1:], strict=False)), False], dtype=np.int8)
     edges = np.flatnonzero(np.diff(hit))
     return [b" ".join(words[a : b + 1]) for a, b in edges.reshape(-1, 2).tolist()]
@@ -250,24 +312,18 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     ordinary, toxic = parts[0, False], parts[1, False]
     if not (ordinary and toxic):
         return Model(b"", b"", b"", settings)
-    codes, counts = _document_counts(toxic, settings.gram)
-    common = counts >= max(2, settings.least_share * len(toxic))
-    codes, counts = codes[common], counts[common]
-    base = np.zeros(len(codes), dtype=np.int64)
-    for text in ordinary:
-        # Only the common ones count: those of all ordinary texts would take far more of the driver's memory.
-        base += np.isin(codes, _codes(text, settings.gram))
+    # Texts are split again for each step: the words and n-grams of all of them would take far more of the driver's memory.
+    codes, counts = _common_codes(toxic, settings.gram, max(2, settings.least_share * len(toxic)))
+    base = _texts_with(codes, ordinary, settings.gram)
     marked = codes[counts / len(toxic) > settings.contrast * (base + 0.5) / len(ordinary)]
     found = [s for t in toxic for s in _stretches(t, marked, settings.gram)]
-    one: dict[bytes, bytes] = {}  # equal words as one object
-    split = {y: [[one.setdefault(w, w) for w in t.split()] for t in parts[y, False]] for y in (0, 1)}
-    marked_pairs = _marked_pairs(split[1], split[0], settings)
-    stretches = [s for words in split[1] for s in _pair_stretches(words, marked_pairs)]
-    windows = [b" ".join(w[i : i + 8]) for w in split[0] for i in range(0, len(w), 8)]
-    step = max(1, len(windows) // settings.ordinary_windows)
+    marked_pairs = _marked_pairs(toxic, ordinary, settings)
+    stretches = [s for t in toxic for s in _pair_stretches(t, marked_pairs)]
+    step = max(1, sum(-(-len(t.split()) // 8) for t in ordinary) // settings.ordinary_windows)
+    windows = (b" ".join(w[i : i + 8]) for w in (t.split() for t in ordinary) for i in range(0, len(w), 8))
     groups = [b"".join(found[i : i + 6]) for i in range(0, len(found), 6)]
     model = Model(
-        _trained(windows[::step], settings.ordinary_bytes),
+        _trained(list(islice(windows, 0, None, step)), settings.ordinary_bytes),
         _trained(groups, settings.toxic_bytes, k=24, d=6) if groups else b"",
         _commonest(stretches, settings.pair_bytes),
         settings,

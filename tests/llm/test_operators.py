@@ -1,6 +1,8 @@
 """Each operator on odd rows, on empty tables and against plain Python."""
 
 import re
+import tracemalloc
+from collections import Counter
 
 import brute
 import numpy as np
@@ -389,6 +391,34 @@ def test_a_worker_keeps_the_distances_of_one_model():
     assert toxicity._distances(second) == {} and toxicity._distances(first) == {}
 
 
+def test_training_takes_few_times_the_memory_of_its_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "PIECE", 1 << 15)  # few texts are scored at once, so that counting words and n-grams takes most
+    rng = np.random.default_rng(3)
+    rows = [(" ".join(map("{:x}".format, rng.integers(0, 1 << 12, 400))) + " vile scum" * (i % 2 * 4), i % 2) for i in range(900)]
+    tracemalloc.start()
+    model = toxicity.fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert b"vile scum" in model.pairs and peak < 7 * sum(len(t) for t, _ in rows)
+
+
+def test_common_ngrams_and_pairs_are_those_of_plain_counts(monkeypatch):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(map(str, rng.integers(0, 12, int(rng.integers(0, 60))))).encode() for _ in range(80)]
+    toxic, ordinary = [b"", b"a", *texts[:50]], [b"", *texts[50:]]
+    grams = Counter(g for t in toxic for g in {t[i : i + 5] for i in range(len(t) - 4)})
+    pairs = lambda texts: Counter(p for t in texts for p in {*zip(t.split(), t.split()[1:], strict=False)})
+    for size in (4, 1 << 16):  # four buckets: all are full, so that only the counts tell
+        monkeypatch.setattr(toxicity, "_buckets", lambda texts, size=size: size)
+        for least in (2, 2.5, 20, 1000):
+            want = {int.from_bytes(g): n for g, n in grams.items() if n >= least}
+            assert dict(zip(*map(np.ndarray.tolist, toxicity._common_codes(toxic, 5, least)), strict=True)) == want
+        settings = toxicity.Settings(least_share=0.1, contrast=1.0)
+        found, base = pairs(toxic), pairs(ordinary)
+        want = {p for p, n in found.items() if n >= 0.1 * len(toxic) and n / len(toxic) > (base[p] + 0.5) / len(ordinary)}
+        assert want and toxicity._marked_pairs(toxic, ordinary, settings) == want
+
+
 def test_quality_of_held_out_rows(spark):
     assert accuracy(spark, "/root/testdata/sf0.01", queries.op9_quality, "quality") > 0.95
 
