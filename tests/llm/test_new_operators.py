@@ -1,10 +1,12 @@
 """Filter audit, SentencePiece pieces and hard negatives against plain versions."""
 
 import random
+import time
 from itertools import permutations
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,6 +210,46 @@ def test_negatives_of_random_rows(spark, mining):
     assert sorted(map(tuple, found.collect()), key=repr) == mined(rows, mining)
 
 
+@pytest.mark.parametrize(("top", "real"), [(1 << 9, np.float32), (1 << 20, np.float64), (1 << 28, None)])
+def test_negatives_of_large_components_are_exact(spark, top, real):
+    rng = random.Random(top)
+    rows = [(i, i % 3, [rng.randint(top // 2, top) for _ in range(rng.choice([9, 10]))], i % 5 == 0) for i in range(100)]
+    # scores that differ by one, which floats of half the bits would not tell apart
+    rows += [(200 + i, i % 3, [top] * 9 + [i], i < 3) for i in range(12)]
+    assert hard_negatives.Shape(10, top.bit_length() + 1, top + 1).real is real
+    frame = spark.createDataFrame(rows, "id bigint, label int, vector array<bigint>, chosen boolean").repartition(3)
+    for mining in (hard_negatives.Mining(most_percent=100), hard_negatives.Mining(3, 2, table_bytes=9000, rows_per_task=10, tile=(4, 9))):
+        assert sorted(map(tuple, hard_negatives.mine(frame, F.col("chosen"), mining).collect()), key=repr) == mined(rows, mining)
+
+
+def test_many_anchors_are_mined_in_time(spark):
+    rng, count = np.random.default_rng(6), 20_000
+    vectors, labels = rng.integers(-99, 100, (count, 16)), rng.integers(0, 4, count)
+    rows = pa.table([np.arange(count), labels, pa.array(vectors.tolist()), np.arange(count) % 5 < 2], names=["id", "label", "vector", "chosen"])
+    start = time.perf_counter()
+    found = hard_negatives.mine(spark.createDataFrame(rows), F.col("chosen")).filter("anchor_id % 2000 = 0").collect()
+    assert time.perf_counter() - start < 90
+    scores, want = vectors @ vectors[::2000].T, []
+    for column, anchor in enumerate(range(0, count, 2000)):
+        order = np.lexsort((np.arange(count), -scores[:, column]))
+        best = [i for i in order[: count // 2].tolist() if i != anchor]
+        for positive in [i for i in best if labels[i] == labels[anchor]][:5]:
+            s = int(scores[positive, column])
+            fits = [i for i in best if labels[i] != labels[anchor] and 50 * s <= 100 * scores[i, column] <= 95 * s][:3]
+            want += [(anchor, positive, rank, i, s, int(scores[i, column])) for rank, i in enumerate(fits, 1)]
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_a_small_table_is_mined_by_as_many_tasks_as_it_has_rows_for(spark, monkeypatch):
+    seen = []
+    mapped = hard_negatives._mapped
+    monkeypatch.setattr(hard_negatives, "_mapped", lambda df, *more: seen.append(df.rdd.getNumPartitions()) or mapped(df, *more))
+    frame = spark.range(1000).selectExpr("id", "id % 2 AS label", "array(id % 7, id % 5) AS vector").coalesce(1)
+    hard_negatives.mine(frame, F.col("id") == 0, hard_negatives.Mining(rows_per_task=200))
+    hard_negatives.mine(frame, F.col("id") == 0, hard_negatives.Mining(rows_per_task=1))
+    assert seen == [5, 5] + [4 * spark.sparkContext.defaultParallelism] * 2
+
+
 def test_negatives_of_tables_without_anchors(spark):
     schema = "id bigint, label int, vector array<bigint>"
     for rows in ([], [(1, 1, [1, 2])], [(0, None, [1]), (0, 1, None)]):
