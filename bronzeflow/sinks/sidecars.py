@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from itertools import islice
 
 import pyarrow as pa
@@ -23,15 +25,23 @@ from pyspark.sql import functions as F
 
 from bronzeflow.sinks.bronze import latest_sidecars
 from bronzeflow.sinks.tables import remove
-from bronzeflow.sources.folders import locate, visible
+from bronzeflow.sources.folders import hidden, locate, visible
 from bronzeflow.workspace import materialize
 
 WRITTEN, SAME, KEPT = "written", "same", "kept"
 _ENTRY = "path string, folder boolean"
 _ROWS = 10_000
+#: Files of a task at most: some seconds, so that a task that is tried again costs little.
+_MOST = 16_384
 _OUTCOME = "metadata_path string, version bigint, outcome string, error_class string, error_text string"
 
 
+def _tasks(spark: SparkSession, files: int, least: int) -> int:
+    """Tasks of at least so many files; no more of them than keep all cores busy, but for tasks of too many files."""
+    even = min(math.ceil(files / least), 4 * spark.sparkContext.defaultParallelism)
+    return max(1, even, math.ceil(files / _MOST))
+
+
 def write_sidecars(sidecars: DataFrame, root: str, files_per_task: int = 64) -> DataFrame:
     """Put the newest of (metadata_path, version, metadata_json) by path under ``root``; what became of each path.
 
@@ -39,12 +49,13 @@ def write_sidecars(sidecars: DataFrame, root: str, files_per_task: int = 64) ->
     ``kept`` (a newer version was). Where a file could not be written it is null
     and the error is told, for the classifier; other paths are not affected. Rows
     without a path or a document have no file and are left out. One writer at a time, as for all tables.
+    A task writes ``files_per_task`` files at least, and more where there are many.
     """
     spark = sidecars.sparkSession
     known = sidecars.filter("metadata_path IS NOT NULL AND metadata_json IS NOT NULL")
     last = materialize(latest_sidecars(known), "sidecars_last")
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    tasks = max(1, math.ceil(last.count() / files_per_task))
+    tasks = _tasks(spark, last.count(), files_per_task)
     # paths are unique by now, so no two tasks meet at a file
     rows = last.select("metadata_path", F.col("version").cast("bigint").alias("version"), "metadata_json")
     put = rows.repartition(tasks, "metadata_path").mapInArrow(_writer(root.rstrip("/"), staging), _OUTCOME)
@@ -55,7 +66,7 @@ def write_sidecars(sidecars: DataFrame, root: str, files_per_task: int = 64) ->
 
 
 def _writer(root: str, staging: str):
-    def put(path: str, version: int, document: str, part: str) -> str:
+    def put(path: str, version: int, document: str, part: str, made: set[str]) -> str:
         system, target, _ = locate(f"{root}/{path}")
         body = document.encode()
         held = read(system, target)
@@ -64,8 +75,11 @@ def _writer(root: str, staging: str):
         if held is not None and version_in(held) > version:
             return KEPT
         _, staged, _ = locate(part)
-        for name in (staged, target):
-            system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        # Tasks wait for each other where they make folders in one place, also such as are there.
+        if (own := staged.rsplit("/", 1)[0]) not in made:
+            system.create_dir(own, recursive=True)
+            made.add(own)
+        system.create_dir(target.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(staged) as out:
             out.write(body)
         try:
@@ -85,13 +99,13 @@ def _writer(root: str, staging: str):
             return stream.read()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        attempt, number = TaskContext.get().taskAttemptId(), 0
+        attempt, number, made = TaskContext.get().taskAttemptId(), 0, set()
         for batch in batches:
             ends = []
             for path, version, document in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 number += 1
                 try:
-                    ends.append((put(path, version, document, f"{staging}/{attempt}-{number}"), None, None))
+                    ends.append((put(path, version, document, f"{staging}/{attempt}/{number}", made), None, None))
                 except PermissionError as error:
                     ends.append((None, "PermissionError", str(error)))
                 except OSError as error:
@@ -121,7 +135,7 @@ def read_sidecars(spark: SparkSession, root: str, files_per_task: int = 512) ->
     first = spark.createDataFrame(inner, _ENTRY)
     listed = first.filter("folder").repartition(max(1, len(inner)), "path").mapInArrow(_lister(root), _ENTRY)
     entries = materialize(listed.unionAll(first.filter("NOT folder")), "sidecar_folders")
-    tasks = max(1, math.ceil(entries.count() / files_per_task))
+    tasks = _tasks(spark, entries.count(), files_per_task)
     return entries.repartition(tasks, "path").mapInArrow(_reader(root, len(top.rstrip("/")) + 1), "metadata_path string, metadata_json string")
 
 
@@ -130,15 +144,28 @@ def _lister(root: str):
         system, _, _ = locate(root)
         for batch in batches:
             for folder in batch.column("path").to_pylist():
-                found = visible(system, folder, False)
-                for at in range(0, len(found), _ROWS):
-                    some = found[at : at + _ROWS]
-                    columns = [pa.array([x.path for x in some], pa.string()), pa.array([x.type == fs.FileType.Directory for x in some], pa.bool_())]
+                for some in _inside(system, folder):
+                    columns = [pa.array(values, kind) for values, kind in zip(zip(*some), (pa.string(), pa.bool_()), strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=["path", "folder"])
 
     return entries
 
 
+def _inside(system: fs.FileSystem, folder: str) -> Iterator[list[tuple[str, bool]]]:
+    """(path, whether it is a folder) of what ``visible`` finds right in a folder, in parts.
+
+    A local folder is read entry by entry: one may hold a folder of each dataset.
+    """
+    if isinstance(system, fs.LocalFileSystem):
+        with suppress(FileNotFoundError), os.scandir(folder) as found:
+            shown = ((x.path, x.is_dir()) for x in found if not hidden(x.name))
+            while some := list(islice(shown, _ROWS)):
+                yield some
+    else:
+        every = [(x.path, x.type == fs.FileType.Directory) for x in visible(system, folder, False)]
+        yield from (every[at : at + _ROWS] for at in range(0, len(every), _ROWS))
+
+
 def _reader(root: str, start: int):
     def files(system: fs.FileSystem, batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
         for batch in batches:

@@ -47,7 +47,7 @@ def locate(uri: str) -> tuple[fs.FileSystem, str, str]:
     return system, path, uri.rstrip("/").removesuffix(path)
 
 
-def _hidden(name: str) -> bool:
+def hidden(name: str) -> bool:
     """Names that Spark's readers skip as well: marks, logs and unfinished writes."""
     return name.startswith(("_", ".")) and "=" not in name
 
@@ -61,7 +61,7 @@ def visible(system: fs.FileSystem, folder: str, deep: bool) -> list[fs.FileInfo]
     """What lies in a folder, or anywhere below it, without hidden names; nothing where there is no folder."""
     found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True, recursive=deep))
     start = len(folder.rstrip("/")) + 1
-    return [x for x in found if not any(map(_hidden, x.path[start:].split("/")))]
+    return [x for x in found if not any(map(hidden, x.path[start:].split("/")))]
 
 
 class _Walker:

@@ -4,12 +4,14 @@ import json
 from pathlib import Path
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from bronzeflow.catalog.adapters import CONTEXT
 from bronzeflow.plans import worker
 from bronzeflow.sinks import bronze, sidecars
 from bronzeflow.sinks.tables import Tables
+from bronzeflow.sources import folders
 from test_worker import BATCH, CONTENTS, ID
 
 
@@ -51,6 +53,38 @@ def test_sidecars_are_read_at_any_depth_by_few_tasks(spark, tmp_path):
     assert sidecars.read_sidecars(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_many_files_are_written_and_read_by_a_few_tasks_a_core(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(600).selectExpr(
+        "concat('source=p/dataset=', id, '/metadata.json') AS metadata_path", "1 AS version",
+        "concat('{\"dataset\": {\"version\": 1}, \"id\": ', id, '}') AS metadata_json",
+    )
+    put = sidecars.write_sidecars(rows, str(tmp_path), files_per_task=1)
+    assert put.filter("outcome = 'written'").count() == 600 and len(put.inputFiles()) <= 4 * cores
+    read = sidecars.read_sidecars(spark, str(tmp_path), files_per_task=1)
+    assert read.rdd.getNumPartitions() == 4 * cores
+    assert sorted(map(tuple, read.collect())) == sorted((r.metadata_path, r.metadata_json) for r in rows.collect())
+    # nothing is left beside the files, and no task gets too many
+    assert [x.name for x in tmp_path.iterdir()] == ["source=p"]
+    monkeypatch.setattr(sidecars, "_MOST", 5)
+    assert sidecars.read_sidecars(spark, str(tmp_path), files_per_task=400).rdd.getNumPartitions() == 120
+
+
+def test_a_folder_is_listed_in_parts(tmp_path, monkeypatch):
+    for name in ("a", "b", "_c", ".d", "_e=1"):
+        (tmp_path / name).mkdir()
+    for name in ("f", "_g", "h=é.json"):
+        (tmp_path / name).write_text("x")
+    monkeypatch.setattr(sidecars, "_ROWS", 2)
+    system, top, _ = folders.locate(str(tmp_path))
+    elsewhere = fs.SubTreeFileSystem(str(tmp_path.parent), system)  # no local file system by its type
+    for where, folder in ((system, top), (elsewhere, tmp_path.name)):
+        want = sorted((x.path, x.type == fs.FileType.Directory) for x in folders.visible(where, folder, False))
+        parts = list(sidecars._inside(where, folder))
+        assert [len(x) for x in parts] == [2, 2, 1] and sorted(sum(parts, [])) == want
+        assert list(sidecars._inside(where, f"{folder}/none")) == []
+
+
 def test_no_rows_leave_nothing(spark, tmp_path):
     assert write(spark, tmp_path, []) == {} and held(tmp_path) == {}
 
